@@ -82,17 +82,20 @@ def ensure_dim_table(
     if pk not in columns:
         raise ValueError(f"dimension {sink_table}: key {pk!r} is not among its columns {columns}")
     table = dim_table_name(schema, sink_table)
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(schema)}")
+    at = (lambda path: f" LOCATION {_literal(path)}") if location else (lambda path: "")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(schema)}{at(f'{location}/_schema')}")
     known = spark.catalog.tableExists(table)
-    place = f" LOCATION {_literal(f'{location}/{sink_table.upper()}')}" if location else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ("
         + ", ".join(f"{_quoted(name)} STRING" for name in columns)
         + ", _present ARRAY<STRING>, _version BIGINT) USING parquet PARTITIONED BY (_version)"
-        + place
+        + at(f"{location}/{sink_table.upper()}")
         + f" TBLPROPERTIES ('sink_pk' = {_literal(pk)}, 'sink_extend' = {_literal(sink_extend or '')})"
     )
     if not known and location:
+        # A table over a folder that an earlier session filled finds its versions again.
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{location}/{sink_table.upper()}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
         spark.sql(f"MSCK REPAIR TABLE {table}")
     if known:
         missing = [name for name in columns if name not in spark.table(table).columns]

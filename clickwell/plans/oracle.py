@@ -304,3 +304,35 @@ ORACLE: dict[str, str] = {
     "order_stats_by_category": _stats("p_type AS category3_name", "LEFT JOIN part ON sku_id = p_partkey"),
     "order_stats_by_brand": _stats("p_brand AS tm_name", "LEFT JOIN part ON sku_id = p_partkey"),
 }
+
+# Streaming jobs have to give what the batch operators give.
+_VALID_DAYS = """
+    SELECT *, CASE WHEN is_new = '1' AND visit_day >
+                   min(CASE WHEN is_new = '1' THEN visit_day END) OVER (PARTITION BY mid)
+              THEN '0' ELSE is_new END AS flag
+    FROM valid_log
+"""
+
+ORACLE |= {
+    "stream_flag_repair": _sql(PAGE_LOG, f"SELECT mid, ts, flag AS is_new FROM ({_VALID_DAYS})"),
+    "stream_log_split": _sql(PAGE_LOG, """
+        SELECT 'start' AS kind, CAST(NULL AS VARCHAR) AS page_id, count(*) AS n
+        FROM valid_log WHERE page_id = 'signup'
+        UNION ALL
+        SELECT 'page', page_id, count(*) FROM valid_log WHERE page_id <> 'signup' GROUP BY page_id
+        UNION ALL
+        SELECT 'display', CASE WHEN pos = 1 THEN 'promo' ELSE page_id END AS shown, count(*)
+        FROM valid_log, range(2) AS r(pos) WHERE page_id = 'view' AND pos < k % 3 GROUP BY shown
+    """),
+    "stream_unique_visit": f"SELECT mid, page_id, ts, visit_day FROM ({UNIQUE_VISIT})",
+    "stream_jump": f"SELECT mid, page_id, ts FROM ({JUMP_DETAIL})",
+    "stream_jump_in_time": f"""
+        SELECT 'bounce' AS kind, mid, page_id, ts FROM ({JUMP_DETAIL})
+        UNION ALL
+        SELECT 'in_time', mid, page_id, ts FROM ({JUMP_IN_TIME})
+    """,
+    "stream_interval_join": _sql(ORDERS, """
+        SELECT order_id, detail_id, sku_id, strftime(created, '%Y-%m-%d %H:%M:%S') AS create_time FROM wide
+    """),
+    "stream_cdc_route": _sql(CHANGES, "SELECT sink_table, id, column_name, column_value FROM cells"),
+}

@@ -1,6 +1,7 @@
 """Topics as sources and sinks: a message queue, or a folder with one sub-folder per topic.
 
-The folder form holds one JSON text per line and is what tests and back-fills use.
+The folder form is parquet with one JSON text per row and its position in the batch that wrote
+it; tests and back-fills use it.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 @dataclass(frozen=True)
 class Topics:
     """Where topics live. `options` are source and sink options of the format, such as
-    `kafka.bootstrap.servers`; `root` is the folder of the text form."""
+    `kafka.bootstrap.servers`; `root` is the place of the folder form."""
 
     format: str = "kafka"
     root: str | None = None
@@ -38,51 +39,47 @@ def read_topic(
         rows = reader.format("kafka").option("subscribe", topic).load()
         value = F.col("value").cast("string").alias("value")
         return rows.select(value, "offset", F.col("timestamp").alias("arrival"))
-    rows = reader.format("text").schema("value STRING").load(topics.folder(topic))
-    return rows.select(
-        "value",
-        F.monotonically_increasing_id().alias("offset"),
-        F.col("_metadata.file_modification_time").alias("arrival"),
-    )
+    rows = reader.format("parquet").schema("value STRING, offset BIGINT").load(topics.folder(topic))
+    return rows.select("value", "offset", F.col("_metadata.file_modification_time").alias("arrival"))
+
+
+def _positioned(rows: DataFrame, *names: str) -> DataFrame:
+    return rows.select(*names).withColumn("offset", F.monotonically_increasing_id())
 
 
-def write_topic(rows: DataFrame, topics: Topics, topic: str, batch_id: int | str | None = None) -> None:
-    """Append `value` texts to a topic. With `batch_id`, writing the same batch again replaces
-    it in the folder form; the queue's sink is at-least-once."""
-    values = rows.select("value")
+def write_topic(rows: DataFrame, topics: Topics, topic: str, batch_id: int | str) -> None:
+    """Append `value` texts to a topic. Writing the same batch again replaces it in the folder
+    form; the queue's sink is at-least-once."""
     if topics.format == "kafka":
-        values.write.format("kafka").options(**topics.options).option("topic", topic).save()
-    elif batch_id is None:
-        values.write.mode("append").text(topics.folder(topic))
+        rows.select("value").write.format("kafka").options(**topics.options).option("topic", topic).save()
     else:
-        values.write.mode("overwrite").text(f"{topics.folder(topic)}/batch_id={batch_id}")
+        batch = f"{topics.folder(topic)}/batch_id={batch_id}"
+        _positioned(rows, "value").write.mode("overwrite").parquet(batch)
 
 
 def write_routed(messages: DataFrame, topics: Topics, batch_id: int | str) -> None:
     """Write (topic, value) rows, each to its own topic."""
-    rows = messages.select("topic", "value")
     if topics.format == "kafka":
-        rows.write.format("kafka").options(**topics.options).save()
+        messages.select("topic", "value").write.format("kafka").options(**topics.options).save()
     else:
         # batch_id is the inner level, so a topic folder can be read on its own; only the
         # partitions this batch writes are replaced when it is replayed.
         (
-            rows.withColumn("batch_id", F.lit(batch_id))
+            _positioned(messages, "topic", "value").withColumn("batch_id", F.lit(batch_id))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("topic", "batch_id").text(topics.root)
+            .partitionBy("topic", "batch_id").parquet(topics.root)
         )
 
 
 def stream_to_topic(
     rows: DataFrame, topics: Topics, topic: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Write a streaming DataFrame of `value` texts to a topic in append mode. The folder sink
-    is exactly-once."""
+    """Write a streaming DataFrame of `value` texts to a topic in append mode."""
     writer = rows.select("value").writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.queryName(f"to_{topic}").trigger(**(trigger or {"processingTime": "5 seconds"}))
     if topics.format == "kafka":
         return writer.format("kafka").options(**topics.options).option("topic", topic).start()
-    return writer.format("text").start(topics.folder(topic))
+    return writer.foreachBatch(lambda batch, batch_id: write_topic(batch, topics, topic, batch_id)).start()
 
 
 def stream_to_console(rows: DataFrame, label: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
