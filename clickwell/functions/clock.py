@@ -20,14 +20,9 @@ def day_text(ts: str | Column = "ts", pattern: str = DAY_DASHED) -> Column:
 
 def parse_time(text: str | Column) -> Column:
     """`yyyy-MM-dd[ HH:mm:ss[.SSS]]` to a timestamp; anything else is null."""
-    text = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(
-        text.try_cast("timestamp"),
-        F.try_to_timestamp(F.substring(text, 1, 10), F.lit(DAY_DASHED)),
-    )
+    return (F.col(text) if isinstance(text, str) else text).try_cast("timestamp")
 
 
 def parse_day(text: str | Column) -> Column:
     """The calendar day a date-time text starts with, at midnight; the rest is ignored."""
-    text = F.col(text) if isinstance(text, str) else text
-    return F.try_to_timestamp(F.substring(text, 1, 10), F.lit(DAY_DASHED))
+    return F.substring(text, 1, 10).try_cast("date").cast("timestamp")

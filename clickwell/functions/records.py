@@ -6,7 +6,7 @@ can be parsed, changed in one place and written back whole.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickwell.schemas import OPEN_RECORD
 
@@ -16,6 +16,16 @@ def parse_json(value: str | Column, schema: str, strict: bool = False) -> Column
     return F.from_json(value, schema, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
 
 
+def with_once(rows: DataFrame, name: str, item: Column) -> DataFrame:
+    """Add a column that is costly to compute and read several times later.
+
+    The optimizer would copy the expression into every filter and projection that reads it and
+    so parse the same text again and again. It does not move them past a generator, hence the
+    explode of a one-element array.
+    """
+    return rows.select("*", F.explode(F.array(item)).alias(name))
+
+
 def open_record(value: str | Column, strict: bool = False) -> Column:
     return parse_json(value, OPEN_RECORD, strict)
 

@@ -12,40 +12,40 @@ MIN_COLUMNS = 4
 
 def parse_cdc(lines: DataFrame, strict: bool = False) -> DataFrame:
     """Add `table`, `type`, `ts`, `data` and the whole open `record` to the `value` text."""
-    parsed = lines.withColumn("record", records.open_record("value", strict))
+    record = F.col("record")
+    parsed = records.with_once(lines, "record", records.open_record("value", strict))
+    parsed = records.with_once(parsed, "data", records.object_of(record["data"]))
     return parsed.withColumns({
-        "table": records.text_of(F.col("record")["table"]),
-        "type": records.text_of(F.col("record")["type"]),
-        "ts": records.text_of(F.col("record")["ts"]).try_cast("bigint"),
-        "data": records.object_of(F.col("record")["data"]),
+        "table": records.text_of(record["table"]),
+        "type": records.text_of(record["type"]),
+        "ts": records.text_of(record["ts"]).try_cast("bigint"),
     })
 
 
-def _accepted(min_columns: int):
-    # A JSON object's text is longer than three characters exactly when it has a key,
-    # so the text-length test on `data` is the size test with a lower bound of one.
-    wide_enough = F.size("data") >= max(min_columns, 1)
-    return F.coalesce(
-        F.col("table").isNotNull() & F.col("type").isNotNull() & F.col("data").isNotNull() & wide_enough,
-        F.lit(False),
+def fault(min_columns: int = MIN_COLUMNS):
+    """Why a change cannot be used, or null: it needs a table, an operation and a `data` object
+    with at least `min_columns` columns.
+
+    The text of a JSON object is longer than three characters exactly when it has a key, so
+    the length test on the text of `data` is the width test with a bound of one.
+    """
+    return (
+        F.when(F.col("record").isNull(), "malformed")
+        .when(F.col("table").isNull(), "no_table")
+        .when(F.col("type").isNull(), "no_type")
+        .when(F.col("data").isNull(), "no_data")
+        .when(F.size("data") < max(min_columns, 1), "too_narrow")
     )
 
 
 def cdc_valid(changes: DataFrame, min_columns: int = MIN_COLUMNS) -> DataFrame:
     """Records with a table, an operation and a wide enough `data` object."""
-    return changes.where(_accepted(min_columns))
+    return changes.where(fault(min_columns).isNull())
 
 
 def cdc_rejects(changes: DataFrame, min_columns: int = MIN_COLUMNS) -> DataFrame:
     """The complement of `cdc_valid`, with the reason."""
-    reason = (
-        F.when(F.col("record").isNull(), "malformed")
-        .when(F.col("table").isNull(), "no_table")
-        .when(F.col("type").isNull(), "no_type")
-        .when(F.col("data").isNull(), "no_data")
-        .otherwise("too_narrow")
-    )
-    return changes.where(~_accepted(min_columns)).withColumn("reason", reason)
+    return changes.withColumn("reason", fault(min_columns)).where("reason IS NOT NULL")
 
 
 def cdc_normalize(changes: DataFrame) -> DataFrame:
@@ -112,23 +112,28 @@ def cdc_project(routed: DataFrame) -> DataFrame:
     return routed.withColumn("data", F.when(F.col("keep").isNull(), F.col("data")).otherwise(kept))
 
 
-def fact_messages(projected: DataFrame) -> DataFrame:
-    """(topic, value): the whole record with the normalised type, projected data and the
+def fact_text():
+    """The whole record as text, with the normalised type, the projected data and the
     destination put in."""
-    record = records.put(
+    return F.to_json(records.put(
         F.col("record"),
         type=records.variant_of(F.col("type")),
         data=F.to_variant_object("data"),
         sink_table=records.variant_of(F.col("sink_table")),
-    )
-    return projected.select(F.col("sink_table").alias("topic"), F.to_json(record).alias("value"))
+    ))
+
+
+def dim_entries():
+    """The projected data as a map of text: dimension columns are all text."""
+    return F.transform_values("data", lambda _, item: records.text_of(item))
+
+
+def fact_messages(projected: DataFrame) -> DataFrame:
+    """(topic, value) of the fact changes."""
+    return projected.select(F.col("sink_table").alias("topic"), fact_text().alias("value"))
 
 
 def dim_changes(projected: DataFrame) -> DataFrame:
-    """(sink_table, data as text map, ts, offset) of the dimension changes. Dimension columns
-    are all text."""
-    as_text = F.transform_values("data", lambda _, item: records.text_of(item))
-    extra = [name for name in ("seq", "offset") if name in projected.columns]
-    return projected.select("sink_table", "sink_pk", as_text.alias("data"), "ts", *extra).where(
-        F.size("data") > 0
-    )
+    """(sink_table, data, ts, offset) of the dimension changes that set anything."""
+    order = [name for name in ("ts", "seq", "offset") if name in projected.columns]
+    return projected.where(F.size("data") > 0).select("sink_table", dim_entries().alias("data"), *order)

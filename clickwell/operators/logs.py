@@ -15,7 +15,7 @@ def parse_log(lines: DataFrame, strict: bool = False) -> DataFrame:
     Bad text gives null columns (or fails the job when `strict`); see `log_valid` and
     `log_rejects`.
     """
-    parsed = lines.withColumn("_r", records.parse_json("value", LOG_RECORD, strict))
+    parsed = records.with_once(lines, "_r", records.parse_json("value", LOG_RECORD, strict))
     return parsed.withColumns({
         "mid": F.col("_r.common.mid"),
         "is_new": F.col("_r.common.is_new"),

@@ -18,7 +18,8 @@ SALTS = 1024
 def _parse(lines: DataFrame, schema: str, strict: bool) -> DataFrame:
     # Routed facts arrive as change records with the row under `data`; bare rows work too.
     row = F.coalesce(F.get_json_object("value", "$.data"), F.col("value"))
-    return lines.select(records.parse_json(row, schema, strict).alias("r")).select("r.*").where("id IS NOT NULL")
+    parsed = records.with_once(lines, "_r", records.parse_json(row, schema, strict))
+    return parsed.select("_r.*").where("id IS NOT NULL")
 
 
 def parse_order_info(lines: DataFrame, strict: bool = False) -> DataFrame:
@@ -64,7 +65,8 @@ def interval_join(
 
     Inputs come from `header_part` and `line_part`. Time cells join the id in the key: an id
     with very many rows is spread over tasks, and only rows of touching cells are compared.
-    A header falls into at most two cells, a line into one, so no pair appears twice.
+    A header falls into at most two cells, a line into one, so no pair appears twice. Both
+    sides are facts that grow with the data, so neither is ever broadcast.
     """
     width = CELL_FACTOR * max(upper_ms - lower_ms, 1)
     low = cell_start(F.col("header_ts") + lower_ms, width)
@@ -76,7 +78,7 @@ def interval_join(
         & (F.col("_cell") == F.col("_line_cell"))
         & (F.col("line_ts") - F.col("header_ts")).between(lower_ms, upper_ms)
     )
-    return spread.join(placed, matches, "inner").drop("_cell", "_line_cell")
+    return spread.join(placed.hint("merge"), matches, "inner").drop("_cell", "_line_cell")
 
 
 def wide_columns(parts: DataFrame) -> DataFrame:

@@ -119,19 +119,27 @@ class ChangeStep:
         spark = batch_session(batch)
         routes = cdc.route_table(read_route_config(self.load_config(spark)))
         tables = self.dim_tables(spark, routes)
-        parsed = cdc.parse_cdc(batch.select("value", "offset"))
-        valid = cdc.cdc_normalize(cdc.cdc_valid(parsed, self.min_columns))
-        with kept(cdc.cdc_project(cdc.cdc_classify(valid, routes))) as classified:
-            write_routed(cdc.fact_messages(cdc.cdc_facts(classified)), self.topics, batch_id)
-            changes = cdc.dim_changes(cdc.cdc_dims(classified))
+        parsed = cdc.cdc_normalize(cdc.parse_cdc(batch.select("value", "offset")))
+        with_fault = parsed.withColumn("fault", cdc.fault(self.min_columns))
+        projected = cdc.cdc_project(cdc.cdc_classify(with_fault, routes))
+        target = F.coalesce("fault", "target")
+        outcome = projected.select(
+            target.alias("target"), "sink_table", "ts", "offset",
+            F.when(target == "fact", cdc.fact_text()).otherwise(F.col("value")).alias("value"),
+            F.when(target == "dim", cdc.dim_entries()).alias("data"),
+        )
+        with kept(outcome) as outcome:
+            changes = outcome.where("target = 'dim' AND size(data) > 0")
             for sink_table, table in tables.items():
                 own = changes.where(F.col("sink_table") == sink_table)
                 dims.append_changes(spark, table, own, batch_id, order=("ts", "offset"))
                 if batch_id % self.compact_every == self.compact_every - 1:
                     dims.compact_dim(spark, table)
-            unrouted = classified.where(~F.col("target").isin("fact", "dim")).select("value")
-            rejected = cdc.cdc_rejects(parsed, self.min_columns).select("value")
-            write_topic(unrouted.unionByName(rejected), self.topics, TOPIC_DB_REJECTS, batch_id)
+            rejected = outcome.where("target NOT IN ('fact', 'dim')")
+            write_topic(rejected, self.topics, TOPIC_DB_REJECTS, batch_id)
+            # Last: writing below the topics' common folder drops what is held of its topics.
+            facts = outcome.where("target = 'fact'").withColumnRenamed("sink_table", "topic")
+            write_routed(facts, self.topics, batch_id)
 
     def dim_tables(self, spark: SparkSession, routes: DataFrame) -> dict[str, str]:
         """Create the configured dimension tables: sink table to table name. Columns of all
