@@ -93,10 +93,7 @@ def ensure_dim_table(
         + f" TBLPROPERTIES ('sink_pk' = {_literal(pk)}, 'sink_extend' = {_literal(sink_extend or '')})"
     )
     if not known and location:
-        # A table over a folder that an earlier session filled finds its versions again.
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{location}/{sink_table.upper()}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
-        spark.sql(f"MSCK REPAIR TABLE {table}")
+        _register_versions(spark, table, f"{location}/{sink_table.upper()}")
     if known:
         missing = [name for name in columns if name not in spark.table(table).columns]
         if missing:
@@ -119,10 +116,41 @@ def _versions(spark: SparkSession, table: str) -> list[int]:
     return sorted(int(row[0].split("=")[1]) for row in spark.sql(f"SHOW PARTITIONS {table}").collect())
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path in shared storage with its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _register_versions(spark: SparkSession, table: str, location: str) -> None:
+    """Versions an earlier session wrote to the folder; unfinished ones are left out."""
+    files, folder = _folder(spark, location)
+    files.mkdirs(folder)
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("_version=") and files.exists(_folder(spark, f"{location}/{name}/_SUCCESS")[1]):
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (_version = {int(name.split('=')[1])})")
+
+
+def _version_path(spark: SparkSession, table: str, version: int) -> str:
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+    return f"{place}/_version={version}"
+
+
 def _write_version(rows: DataFrame, table: str, version: int) -> None:
-    stored = rows.sparkSession.table(table).columns
-    stamped = rows.withColumn("_version", F.lit(version).cast("bigint")).select(*stored)
-    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    """Write one version, then make it visible."""
+    spark = rows.sparkSession
+    stored = [name for name in spark.table(table).columns if name != "_version"]
+    rows.select(*stored).write.mode("overwrite").parquet(_version_path(spark, table, version))
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (_version = {version})")
+    spark.catalog.refreshTable(table)
+
+
+def _drop_version(spark: SparkSession, table: str, version: int) -> None:
+    files, folder = _folder(spark, _version_path(spark, table, version))
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (_version = {version})")
+    files.delete(folder, True)
+    spark.catalog.refreshTable(table)
 
 
 def append_changes(
@@ -154,4 +182,4 @@ def compact_dim(spark: SparkSession, table: str) -> None:
         newest += 1
     for version in versions:
         if version < newest:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (_version = {version})")
+            _drop_version(spark, table, version)

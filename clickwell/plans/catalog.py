@@ -37,7 +37,9 @@ def plain(rows: DataFrame) -> DataFrame:
 
 
 def query(build: Query) -> Query:
+    """Register a query under its function name. The test tables are in UTC."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         return plain(build(tune(spark), sf_dir.rstrip("/")))
 
     QUERIES[build.__name__] = run

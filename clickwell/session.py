@@ -11,7 +11,6 @@ from pyspark.sql import SparkSession
 # only when its measured size is below spark.sql.autoBroadcastJoinThreshold, otherwise
 # AQE runs a sort-merge join and splits partitions that a hot key has blown up.
 ENGINE_CONF = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -35,7 +34,8 @@ def get_session(app_name: str = "clickwell", time_zone: str = "UTC", **conf: str
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the engine settings to a session somebody else made."""
+    """Apply the engine settings to a session somebody else made. Its time zone is kept: it
+    decides where a day begins."""
     for key, value in ENGINE_CONF.items():
         spark.conf.set(key, value)
     return spark
