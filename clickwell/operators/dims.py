@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickwell.session import drop_folder, files_at
+
 DEFAULT_KEY = "id"
 
 
@@ -116,19 +118,13 @@ def _versions(spark: SparkSession, table: str) -> list[int]:
     return sorted(int(row[0].split("=")[1]) for row in spark.sql(f"SHOW PARTITIONS {table}").collect())
 
 
-def _folder(spark: SparkSession, path: str):
-    """A path in shared storage with its file system."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
-
-
 def _register_versions(spark: SparkSession, table: str, location: str) -> None:
     """Versions an earlier session wrote to the folder; unfinished ones are left out."""
-    files, folder = _folder(spark, location)
+    files, folder = files_at(spark, location)
     files.mkdirs(folder)
     for status in files.listStatus(folder):
         name = status.getPath().getName()
-        if name.startswith("_version=") and files.exists(_folder(spark, f"{location}/{name}/_SUCCESS")[1]):
+        if name.startswith("_version=") and files.exists(files_at(spark, f"{location}/{name}/_SUCCESS")[1]):
             spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (_version = {int(name.split('=')[1])})")
 
 
@@ -147,9 +143,9 @@ def _write_version(rows: DataFrame, table: str, version: int) -> None:
 
 
 def _drop_version(spark: SparkSession, table: str, version: int) -> None:
-    files, folder = _folder(spark, _version_path(spark, table, version))
+    path = _version_path(spark, table, version)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (_version = {version})")
-    files.delete(folder, True)
+    drop_folder(spark, path)
     spark.catalog.refreshTable(table)
 
 

@@ -58,16 +58,27 @@ def first_claims(log: DataFrame) -> DataFrame:
     return claims.groupBy("mid").agg(F.min(day_text("ts", "yyyyMMdd")).alias("first_day"))
 
 
+def _text_with_flag(flag: str):
+    """The record text with another `is_new`; everything else in it stays."""
+    record = records.open_record("value")
+    common = records.put(records.object_of(record["common"]), is_new=records.variant_of(F.lit(flag)))
+    return F.to_json(records.put(record, common=F.to_variant_object(common)))
+
+
 def repair_flags(log: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Turn `is_new` from '1' to '0' on days after the visitor's first day.
+    """Turn `is_new` from '1' to '0' on days after the visitor's first day, in the column and,
+    where the log carries it, in the record text `value`.
 
-    Only records that claim '1' are joined; the rest passes by without a shuffle.
+    Only records that claim '1' are joined; the rest passes by without a shuffle. Text is
+    rewritten for repaired records only and passes verbatim otherwise.
     """
     is_claim = F.col("is_new").eqNullSafe("1")
     claims = log.where(is_claim).join(firsts, "mid", "left")
     returning = day_text("ts", "yyyyMMdd") > F.col("first_day")
-    repaired = claims.withColumn("is_new", F.when(returning, "0").otherwise(F.col("is_new")))
-    return repaired.select(*log.columns).unionByName(log.where(~is_claim))
+    repaired = {"is_new": F.when(returning, "0").otherwise(F.col("is_new"))}
+    if "value" in log.columns:
+        repaired["value"] = F.when(returning, _text_with_flag("0")).otherwise(F.col("value"))
+    return claims.withColumns(repaired).select(*log.columns).unionByName(log.where(~is_claim))
 
 
 def visitor_flag_repair(log: DataFrame) -> DataFrame:
@@ -75,17 +86,6 @@ def visitor_flag_repair(log: DataFrame) -> DataFrame:
     return repair_flags(log, first_claims(log))
 
 
-def record_text(log: DataFrame) -> DataFrame:
-    """Put a repaired `is_new` back into the record text; unchanged records pass verbatim."""
-    record = records.open_record("value")
-    common = records.object_of(record["common"])
-    stated = records.text_of(common["is_new"])
-    common = records.put(common, is_new=records.variant_of(F.col("is_new")))
-    rebuilt = F.to_json(records.put(record, common=F.to_variant_object(common)))
-    changed = F.col("is_new").isNotNull() & (stated != F.col("is_new"))
-    return log.withColumn("value", F.when(changed, rebuilt).otherwise(F.col("value")))
-
-
 def is_start():
     """Start record: a non-empty `start` object."""
     return F.coalesce(F.size("start"), F.lit(0)) > 0

@@ -12,7 +12,6 @@ from clickwell.functions.clock import DAY_DASHED, parse_day, parse_time
 from clickwell.schemas import ORDER_DETAIL, ORDER_INFO, WIDE_FACT_COLUMNS
 
 JOIN_BOUND_MS = 5_000
-SALTS = 1024
 
 
 def _parse(lines: DataFrame, schema: str, strict: bool) -> DataFrame:
@@ -97,28 +96,21 @@ def order_wide(
 
 
 def order_wide_merge(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Complete wide records from a second source: per column the first non-null wins.
+    """Complete wide records from a second source: per column the first non-null wins, `left`
+    before `right`. Records without a key are passed through, each on its own.
 
-    `key` names one record on each side. Records without a key match nothing; they get a
-    salt so that a large share of them does not land in one task.
+    Written as an aggregation over both inputs, not as a full join: records of a key that is
+    repeated, once or very often, are combined in the map tasks and never paired.
     """
-    def salted(side: DataFrame, prefix: str) -> DataFrame:
-        salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*side.columns), F.lit(SALTS))).otherwise(0)
-        return side.withColumn("_salt", salt).select(
-            *[F.col(name).alias(f"{prefix}{name}") for name in [*side.columns, "_salt"]]
-        )
-
-    a, b = salted(left, "a_"), salted(right, "b_")
-    same = (F.col(f"a_{key}") == F.col(f"b_{key}")) & (F.col("a__salt") == F.col("b__salt"))
-    both = a.join(b, same, "full")
-    names = list(dict.fromkeys([*left.columns, *right.columns]))
-    return both.select(*[
-        F.coalesce(*[
-            F.col(f"{prefix}{name}")
-            for prefix, side in (("a_", left), ("b_", right)) if name in side.columns
-        ]).alias(name)
-        for name in names
+    both = left.withColumn("_side", F.lit(0)).unionByName(
+        right.withColumn("_side", F.lit(1)), allowMissingColumns=True
+    )
+    names = [name for name in both.columns if name not in (key, "_side")]
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    merged = both.withColumn("_alone", alone).groupBy(key, "_alone").agg(*[
+        F.min_by(name, F.when(F.col(name).isNotNull(), F.col("_side"))).alias(name) for name in names
     ])
+    return merged.select(*[name for name in both.columns if name != "_side"])
 
 
 def sku_dimension(sku: DataFrame, spu: DataFrame, trademark: DataFrame, category3: DataFrame) -> DataFrame:

@@ -56,3 +56,14 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run, below the shared folder."""
     return f"{shared_dir(spark)}/clickwell/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def files_at(spark: SparkSession, path: str):
+    """The file system of a path in shared storage, and the path as it wants it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    files, folder = files_at(spark, path)
+    files.delete(folder, True)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickwell.operators import cdc, dims, logs, visits
 from clickwell.schemas import TOPIC_DISPLAY, TOPIC_PAGE, TOPIC_START, TOPIC_USER_JUMP
+from clickwell.session import drop_folder
 from clickwell.sources.tables import read_route_config
 from clickwell.sources.topics import Topics, write_routed, write_topic
 
@@ -67,6 +68,7 @@ class FirstVisits:
         if batch_id % self.fold_every == 0:
             last = reader.parquet(self._folder(batch_id - 1)).drop("batch_id")
             last.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id - 1}")
+            drop_folder(spark, self._folder(batch_id - 1 - self.fold_every))
         return reader.parquet(folder).where(F.col("batch_id") < batch_id)
 
     @contextmanager
@@ -94,7 +96,7 @@ class LogStep:
         with kept(logs.parse_log(batch.select("value", "offset"))) as parsed:
             log = logs.log_valid(parsed)
             with self.first_visits.resolved(log, batch_id) as firsts, kept(
-                logs.record_text(logs.repair_flags(log, firsts))
+                logs.repair_flags(log, firsts)
             ) as repaired:
                 write_topic(logs.start_records(repaired), self.topics, TOPIC_START, batch_id)
                 write_topic(logs.page_records(repaired), self.topics, TOPIC_PAGE, batch_id)
@@ -203,6 +205,8 @@ class JumpStep:
                 rows.where(F.col("ts") > edge - self.within_ms).withColumn("watermark", F.lit(mark))
                 .write.mode("overwrite").parquet(f"{self.carry}/batch_id={batch_id}")
             )
+        # A replay of this batch needs its predecessor only.
+        drop_folder(spark, f"{self.carry}/batch_id={batch_id - 2}")
 
     def carried(self, spark: SparkSession, batch_id: int) -> tuple[DataFrame, int | None]:
         if batch_id == 0:

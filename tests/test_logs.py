@@ -85,7 +85,7 @@ def test_repaired_text_loses_nothing(spark):
               "err": {"code": 7}}
     first = {"common": {"mid": "m", "is_new": 1}, "ts": 0, "page": {"page_id": "p"}}
     log = logs.log_valid(logs.parse_log(lines(spark, [first, record])))
-    out = [r.value for r in logs.record_text(logs.visitor_flag_repair(log)).orderBy("seq").collect()]
+    out = [r.value for r in logs.visitor_flag_repair(log).orderBy("seq").collect()]
     assert out[0] == json.dumps(first)
     record["common"]["is_new"] = "0"
     assert json.loads(out[1]) == record

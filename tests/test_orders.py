@@ -95,13 +95,20 @@ def test_join_of_facts_is_never_broadcast(spark):
 def test_completion(spark):
     schema = "order_id BIGINT, a STRING, b STRING"
     left = spark.createDataFrame([(1, "l", None), (2, None, None), (None, "x", None), (None, "x", None)], schema)
-    right = spark.createDataFrame([(1, "r", "r"), (3, "r", None), (None, "y", "y")], f"{schema}, c STRING".replace(", c STRING", ""))
+    right = spark.createDataFrame([(1, "r", "r"), (3, "r", None), (None, "y", "y")], schema)
     merged = orders.order_wide_merge(left, right, "order_id")
     assert sorted((tuple(r) for r in merged.collect()), key=str) == sorted(
         [(1, "l", "r"), (2, None, None), (3, "r", None), (None, "x", None), (None, "x", None), (None, "y", "y")], key=str
     )
 
 
+def test_completion_with_a_repeated_key(spark):
+    """A key with thousands of copies on both sides gives one record, not their product."""
+    copies = lambda a, b: spark.range(3000).selectExpr("1L AS order_id", f"{a} AS a", f"{b} AS b")
+    merged = orders.order_wide_merge(copies("'l'", "CAST(NULL AS STRING)"), copies("'r'", "'r'"), "order_id")
+    assert [tuple(r) for r in merged.collect()] == [(1, "l", "r")]
+
+
 def test_unknown_dimension_keys_stay_null(spark):
     wide = spark.sql("SELECT 1L AS sku_id, 2L AS user_id, 3L AS province_id")
     table = lambda cols: spark.sql(f"SELECT {cols} WHERE false")
