@@ -6,12 +6,12 @@ can be parsed, changed in one place and written back whole.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from clickwell.schemas import OPEN_RECORD
 
 
-def parse_json(value: str | Column, schema: str, strict: bool = False) -> Column:
+def parse_json(value: str | Column, schema: str | T.StructType, strict: bool = False) -> Column:
     """Parse JSON text. Bad text gives nulls, or fails the job when `strict`."""
     return F.from_json(value, schema, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
 

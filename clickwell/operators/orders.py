@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from clickwell.functions import records
 from clickwell.functions.cells import CELL_FACTOR, cell_start
@@ -14,11 +14,17 @@ from clickwell.schemas import ORDER_DETAIL, ORDER_INFO, WIDE_FACT_COLUMNS
 JOIN_BOUND_MS = 5_000
 
 
-def _parse(lines: DataFrame, schema: str, strict: bool) -> DataFrame:
+def _parse(lines: DataFrame, layout: str, strict: bool) -> DataFrame:
     # Routed facts arrive as change records with the row under `data`; bare rows work too.
-    row = F.coalesce(F.get_json_object("value", "$.data"), F.col("value"))
-    parsed = records.with_once(lines, "_r", records.parse_json(row, schema, strict))
-    return parsed.select("_r.*").where("id IS NOT NULL")
+    row = T.StructType.fromDDL(layout)
+    either = T.StructType([*row.fields, T.StructField("data", row)])
+    parsed = records.with_once(lines, "_r", records.parse_json("value", either, strict))
+    routed = F.col("_r.data").isNotNull()
+    fields = [
+        F.when(routed, F.col(f"_r.data.{name}")).otherwise(F.col(f"_r.{name}")).alias(name)
+        for name in row.fieldNames()
+    ]
+    return parsed.select(*fields).where("id IS NOT NULL")
 
 
 def parse_order_info(lines: DataFrame, strict: bool = False) -> DataFrame:

@@ -15,6 +15,7 @@ from clickwell.operators.orders import JOIN_BOUND_MS, wide_columns
 from clickwell.operators.visits import BOUNCE_MS, entry_pages
 
 NO_DELAY = "0 seconds"
+DEDUP_SALTS = 32
 
 
 def with_event_time(log: DataFrame, delay: str = NO_DELAY) -> DataFrame:
@@ -41,15 +42,19 @@ def unique_visit_stream(
     """First entry page per visitor and day.
 
     `day_end` gives the earliest one by event time once the day is over; records are combined
-    before the shuffle. `first_seen` gives the first one met, at once. State of a day leaves
-    with the day. `day_start` shifts midnight from UTC: "16 hours" for UTC+8; it has to agree
-    with the session time zone.
+    before the shuffle. `first_seen` gives the first one met, at once; duplicates go in two
+    steps, first per (visitor, day, salt), so that a hot visitor's records are spread over
+    tasks and only a few of them meet in the second step. State of a day leaves with the day.
+    `day_start` shifts midnight from UTC: "16 hours" for UTC+8; it has to agree with the
+    session time zone.
     """
     day = F.window("at", "1 day", startTime=day_start)
     visits = with_event_time(entry_pages(log), delay)
     if emit == "first_seen":
-        kept = visits.withColumn("day", day).drop("at").dropDuplicates(["mid", "day"]).drop("day")
-        return kept.withColumn("visit_day", day_text("ts"))
+        salt = F.pmod(F.xxhash64("ts", "value"), F.lit(DEDUP_SALTS))
+        salted = visits.withColumn("day", day).drop("at").withColumn("salt", salt)
+        kept = salted.dropDuplicates(["mid", "day", "salt"]).dropDuplicates(["mid", "day"])
+        return kept.drop("day", "salt").withColumn("visit_day", day_text("ts"))
     payload = F.struct(*[name for name in log.columns])
     firsts = visits.groupBy("mid", day).agg(F.min_by(payload, F.struct("ts", "offset")).alias("first"))
     return firsts.select("first.*").withColumn("visit_day", day_text("ts"))
