@@ -31,29 +31,33 @@ def with_neighbours(
     prev_fields: dict[str, Column] | None = None,
     cell: int | None = None,
 ) -> DataFrame:
-    """Add `next` and/or `prev`: a struct of the named fields of the immediately following
-    or preceding row of the same key in (ts, seq) order, if it is less than `within` away;
-    null otherwise. `key` and `ts` must not be null.
+    """Add `next` and/or `prev`: a struct of the time and the named fields of the immediately
+    following or preceding row of the same key in (ts, seq) order, if it is less than `within`
+    away; null otherwise. `key` and `ts` must not be null.
     """
     cell = cell or CELL_FACTOR * within
     if cell < within:
         raise ValueError("a cell must be at least as wide as the bound")
     at = F.col(ts)
     own, offset = cell_start(at, cell), F.pmod(at, F.lit(cell))
-    homes = [own]
+    nowhere = F.array().cast("array<bigint>")
+    homes = [F.array(own)]
     if next_fields is not None:
-        homes.append(F.when(offset < within, own - cell))
+        homes.append(F.when(offset < within, F.array(own - cell)).otherwise(nowhere))
     if prev_fields is not None:
-        homes.append(F.when(offset > cell - within, own + cell))
+        homes.append(F.when(offset > cell - within, F.array(own + cell)).otherwise(nowhere))
 
-    spread = rows.withColumn("_cell", F.explode(F.array_compact(F.array(*homes))))
+    spread = rows.withColumn("_cell", F.explode(F.concat(*homes)))
     ordered = Window.partitionBy(key, "_cell").orderBy(ts, seq)
-    picks = {}
+    picked, near = {}, {}
     for name, fields, pick in (("next", next_fields, F.lead), ("prev", prev_fields, F.lag)):
         if fields is not None:
-            picked = F.struct(at.alias("_at"), *[item.alias(field) for field, item in fields.items()])
-            picks[name] = pick(picked).over(ordered)
-
-    placed = spread.withColumns(picks).where(F.col("_cell") == cell_start(at, cell)).drop("_cell")
-    near = {name: F.when(F.abs(F.col(f"{name}._at") - at) < within, F.col(name)) for name in picks}
-    return placed.withColumns(near)
+            picked[f"_{name}_at"] = pick(at).over(ordered)
+            picked |= {f"_{name}_{field}": pick(item).over(ordered) for field, item in fields.items()}
+            found = F.struct(
+                F.col(f"_{name}_at").alias(ts), *[F.col(f"_{name}_{field}").alias(field) for field in fields]
+            )
+            near[name] = F.when(F.abs(F.col(f"_{name}_at") - at) < within, found)
+
+    placed = spread.withColumns(picked).where(F.col("_cell") == cell_start(at, cell))
+    return placed.withColumns(near).drop("_cell", *picked)
