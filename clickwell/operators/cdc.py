@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from clickwell.functions import records
-from clickwell.schemas import SINK_DIMENSION, SINK_FACT
-
-MIN_COLUMNS = 4
+from clickwell.schemas import MIN_COLUMNS, SINK_DIMENSION, SINK_FACT, SNAPSHOT_INSERT
 
 
 def parse_cdc(lines: DataFrame, strict: bool = False) -> DataFrame:
@@ -50,7 +48,7 @@ def cdc_rejects(changes: DataFrame, min_columns: int = MIN_COLUMNS) -> DataFrame
 
 def cdc_normalize(changes: DataFrame) -> DataFrame:
     """Rows of a snapshot load count as inserts."""
-    kind = F.when(F.col("type") == "bootstrap-insert", "insert").otherwise(F.col("type"))
+    kind = F.when(F.col("type") == SNAPSHOT_INSERT, "insert").otherwise(F.col("type"))
     return changes.withColumn("type", kind)
 
 

@@ -12,10 +12,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickwell.schemas import DEFAULT_KEY
 from clickwell.session import drop_folder, files_at
 
-DEFAULT_KEY = "id"
-
 
 def _fold(rows: DataFrame, pk: str, columns: list[str], value, order) -> DataFrame:
     """One row per key: the latest value of each column, `value(c)`, by `order(c)`, which is

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickwell.functions.cells import with_neighbours
 from clickwell.functions.clock import day_text
-from clickwell.operators.visits import BOUNCE_MS, entry_pages, is_entry
+from clickwell.operators.visits import entry_pages, is_entry
+from clickwell.schemas import BOUNCE_MS
 
 
 def daily_uv(log: DataFrame) -> DataFrame:

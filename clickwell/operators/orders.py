@@ -8,10 +8,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from clickwell.functions import records
 from clickwell.functions.cells import CELL_FACTOR, cell_start
-from clickwell.functions.clock import DAY_DASHED, parse_day, parse_time
-from clickwell.schemas import ORDER_DETAIL, ORDER_INFO, WIDE_FACT_COLUMNS
-
-JOIN_BOUND_MS = 5_000
+from clickwell.functions.clock import parse_day, parse_time
+from clickwell.schemas import JOIN_BOUND_MS, ORDER_DETAIL, ORDER_INFO, WIDE_FACT_COLUMNS
 
 
 def _parse(lines: DataFrame, layout: str, strict: bool) -> DataFrame:
@@ -38,18 +36,19 @@ def parse_order_detail(lines: DataFrame, strict: bool = False) -> DataFrame:
 def order_event_time(rows: DataFrame, precision: str = "exact") -> DataFrame:
     """Set `create_ts` (epoch ms) from `create_time`: to the millisecond, or to the day."""
     at = {"exact": parse_time, "day": parse_day}[precision]("create_time")
-    return rows.withColumn("create_ts", F.unix_millis(at))
+    return records.with_once(rows.drop("create_ts"), "create_ts", F.unix_millis(at))
 
 
 def header_part(headers: DataFrame) -> DataFrame:
-    """Order header columns under their wide names, plus `header_ts`."""
-    created = parse_time("create_time")
+    """Order header columns under their wide names, plus `header_ts`. Day and hour are the
+    leading parts of `create_time` where the header does not state them."""
+    part = lambda start, size: F.nullif(F.substring("create_time", start, size), F.lit(""))
     return headers.select(
         F.col("id").alias("order_id"), "province_id", "order_status", "user_id", "total_amount",
         "activity_reduce_amount", "coupon_reduce_amount", "original_total_amount", "feight_fee",
         "expire_time", "create_time", "operate_time",
-        F.coalesce("create_date", F.date_format(created, DAY_DASHED)).alias("create_date"),
-        F.coalesce("create_hour", F.date_format(created, "HH")).alias("create_hour"),
+        F.coalesce("create_date", part(1, 10)).alias("create_date"),
+        F.coalesce("create_hour", part(12, 2)).alias("create_hour"),
         F.col("create_ts").alias("header_ts"),
     )
 

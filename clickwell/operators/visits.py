@@ -7,8 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from clickwell.functions.cells import with_neighbours
 from clickwell.functions.clock import day_text
 from clickwell.functions.records import is_blank
-
-BOUNCE_MS = 10_000
+from clickwell.schemas import BOUNCE_MS
 
 
 def is_entry() -> Column:

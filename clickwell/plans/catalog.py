@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from clickwell import schemas
 from clickwell.operators import cdc, dims, logs, metrics, orders, visits
 from clickwell.plans import adapters
 from clickwell.session import tune
@@ -241,12 +242,12 @@ def order_interval_join(spark, sf_dir):
 
 @query
 def order_interval_join_5s(spark, sf_dir):
-    return _pairs(spark, sf_dir, "exact", orders.JOIN_BOUND_MS)
+    return _pairs(spark, sf_dir, "exact", schemas.JOIN_BOUND_MS)
 
 
 @query
 def order_same_day_join(spark, sf_dir):
-    return _pairs(spark, sf_dir, "day", orders.JOIN_BOUND_MS)
+    return _pairs(spark, sf_dir, "day", schemas.JOIN_BOUND_MS)
 
 
 @query

@@ -61,6 +61,15 @@ TOPIC_UNIQUE_VISIT = "DWM_UNIQUE_VISIT"
 TOPIC_USER_JUMP = "DWM_USER_JUMP_DETAIL"
 TOPIC_ORDER_WIDE = "DWM_ORDER_WIDE"
 
-# Sink types of the routing configuration.
+TOPIC_DEFAULT = "DEFAULT_DATA"  # routed records without a destination of their own
+
+# Words of the change records and of the routing configuration.
 SINK_DIMENSION = "HBASE"
 SINK_FACT = "KAFKA"
+SNAPSHOT_INSERT = "bootstrap-insert"
+DEFAULT_KEY = "id"
+
+# Bounds and thresholds the jobs start from; all are parameters.
+BOUNCE_MS = 10_000
+JOIN_BOUND_MS = 5_000
+MIN_COLUMNS = 4

@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from clickwell.schemas import TOPIC_DEFAULT
+
 
 @dataclass(frozen=True)
 class Topics:
@@ -58,7 +60,8 @@ def write_topic(rows: DataFrame, topics: Topics, topic: str, batch_id: int | str
 
 
 def write_routed(messages: DataFrame, topics: Topics, batch_id: int | str) -> None:
-    """Write (topic, value) rows, each to its own topic."""
+    """Write (topic, value) rows, each to its own topic; rows that name none go to a default."""
+    messages = messages.withColumn("topic", F.coalesce("topic", F.lit(TOPIC_DEFAULT)))
     if topics.format == "kafka":
         messages.select("topic", "value").write.format("kafka").options(**topics.options).save()
     else:

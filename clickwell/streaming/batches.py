@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickwell.operators import cdc, dims, logs, visits
-from clickwell.schemas import TOPIC_DISPLAY, TOPIC_PAGE, TOPIC_START, TOPIC_USER_JUMP
+from clickwell.schemas import BOUNCE_MS, MIN_COLUMNS, TOPIC_DISPLAY, TOPIC_PAGE, TOPIC_START, TOPIC_USER_JUMP
 from clickwell.session import drop_folder
 from clickwell.sources.tables import read_route_config
 from clickwell.sources.topics import Topics, write_routed, write_topic
@@ -114,7 +114,7 @@ class ChangeStep:
     load_config: Callable[[SparkSession], DataFrame]
     schema: str
     location: str | None = None
-    min_columns: int = cdc.MIN_COLUMNS
+    min_columns: int = MIN_COLUMNS
     compact_every: int = 100
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -167,7 +167,7 @@ class JumpStep:
 
     topics: Topics
     carry: str
-    within_ms: int = visits.BOUNCE_MS
+    within_ms: int = BOUNCE_MS
     delay_ms: int = 0
     cell_ms: int | None = None
 

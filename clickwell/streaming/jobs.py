@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickwell.operators import logs, orders, visits
+from clickwell.operators import logs, orders
 from clickwell.schemas import (
-    TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO, TOPIC_ORDER_WIDE, TOPIC_PAGE, TOPIC_RAW_DB,
+    BOUNCE_MS, JOIN_BOUND_MS, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO, TOPIC_ORDER_WIDE, TOPIC_PAGE, TOPIC_RAW_DB,
     TOPIC_RAW_LOG, TOPIC_UNIQUE_VISIT, TOPIC_USER_JUMP,
 )
 from clickwell.session import tune
@@ -78,7 +78,7 @@ def unique_visit_job(
 
 
 def bounce_job(
-    spark: SparkSession, topics: Topics, state: str, within_ms: int = visits.BOUNCE_MS,
+    spark: SparkSession, topics: Topics, state: str, within_ms: int = BOUNCE_MS,
     trigger: dict | None = None, delay: str = transforms.NO_DELAY, **limits: str,
 ) -> StreamingQuery:
     """Page log to bounces, from session windows."""
@@ -87,7 +87,7 @@ def bounce_job(
 
 
 def jump_job(
-    spark: SparkSession, topics: Topics, state: str, within_ms: int = visits.BOUNCE_MS,
+    spark: SparkSession, topics: Topics, state: str, within_ms: int = BOUNCE_MS,
     delay_ms: int = 0, trigger: dict | None = None, **limits: str,
 ) -> StreamingQuery:
     """Page log to bounces and in-time follow-ups."""
@@ -110,7 +110,7 @@ def order_wide_stream(
 
 def order_wide_job(
     spark: SparkSession, topics: Topics, state: str,
-    lower_ms: int = -orders.JOIN_BOUND_MS, upper_ms: int = orders.JOIN_BOUND_MS, precision: str = "exact",
+    lower_ms: int = -JOIN_BOUND_MS, upper_ms: int = JOIN_BOUND_MS, precision: str = "exact",
     add_dims: Callable[[DataFrame], DataFrame] | None = None,
     trigger: dict | None = None, delay: str = transforms.NO_DELAY, **limits: str,
 ) -> StreamingQuery:

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, functions as F
 from clickwell.functions.cells import CELL_FACTOR, cell_start
 from clickwell.functions.clock import day_text, event_time
 from clickwell.functions.records import is_blank
-from clickwell.operators.orders import JOIN_BOUND_MS, wide_columns
-from clickwell.operators.visits import BOUNCE_MS, entry_pages
+from clickwell.operators.orders import wide_columns
+from clickwell.operators.visits import entry_pages
+from clickwell.schemas import BOUNCE_MS, JOIN_BOUND_MS
 
 NO_DELAY = "0 seconds"
 DEDUP_SALTS = 32

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clickwell.operators import dims, logs, metrics, visits
 from clickwell.schemas import (
-    ROUTE_CONFIG, TOPIC_DISPLAY, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO, TOPIC_ORDER_WIDE, TOPIC_PAGE, TOPIC_RAW_DB,
+    ROUTE_CONFIG, TOPIC_DEFAULT, TOPIC_DISPLAY, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO, TOPIC_ORDER_WIDE, TOPIC_PAGE, TOPIC_RAW_DB,
     TOPIC_RAW_LOG, TOPIC_START, TOPIC_UNIQUE_VISIT, TOPIC_USER_JUMP,
 )
 from clickwell.sources import tables
@@ -247,13 +247,15 @@ def test_order_wide_job(spark, topics, tmp_path):
 
 
 def test_topics(spark, topics):
-    messages = spark.createDataFrame([("a", "1"), ("b", "2"), ("a", "3")], "topic STRING, value STRING")
+    rows = [("a", "1"), ("b", "2"), ("a", "3"), (None, "4")]
+    messages = spark.createDataFrame(rows, "topic STRING, value STRING")
     write_routed(messages, topics, 0)
     write_routed(messages, topics, 0)
     assert sorted(get_texts(spark, topics, "a")) == ["1", "3"]
     write_routed(messages, topics, 1)
     assert sorted(get_texts(spark, topics, "a")) == ["1", "1", "3", "3"]
     assert get_texts(spark, topics, "b") == ["2", "2"]
+    assert get_texts(spark, topics, TOPIC_DEFAULT) == ["4", "4"]
 
 
 def test_raw_lines_land_by_arrival_day(spark, topics, tmp_path):
