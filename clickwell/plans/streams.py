@@ -30,6 +30,16 @@ def folder_topics(root: str) -> Topics:
     return Topics(format="parquet", root=f"{root}/topics")
 
 
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder for one run. On a single machine the state is kept in no more partitions
+    than it has cores: each is a state store of its own, and streams do not coalesce them."""
+    context = spark.sparkContext
+    if context.master.startswith("local"):
+        fitting = min(int(spark.conf.get("spark.sql.shuffle.partitions")), context.defaultParallelism)
+        spark.conf.set("spark.sql.shuffle.partitions", str(fitting))
+    return run_dir(spark, name)
+
+
 def land(rows: DataFrame, topics: Topics, topic: str, end: str | None = None) -> None:
     write_topic(rows, topics, topic, "0-data")
     if end is not None:
@@ -53,7 +63,7 @@ def read_log(spark: SparkSession, topics: Topics, topic: str) -> DataFrame:
 
 
 def _base_log(spark: SparkSession, sf_dir: str, name: str) -> Topics:
-    root = run_dir(spark, name)
+    root = work_dir(spark, name)
     topics = folder_topics(root)
     land(adapters.app_log(spark, sf_dir).select("value"), topics, TOPIC_RAW_LOG)
     jobs.log_job(spark, topics, f"{root}/state", ONCE).awaitTermination()
@@ -83,7 +93,7 @@ def stream_log_split(spark, sf_dir):
 
 @query
 def stream_unique_visit(spark, sf_dir):
-    root = run_dir(spark, "unique-visit")
+    root = work_dir(spark, "unique-visit")
     topics = folder_topics(root)
     land_pages(spark, sf_dir, topics)
     jobs.unique_visit_job(spark, topics, f"{root}/state", ONCE, emit="day_end").awaitTermination()
@@ -94,7 +104,7 @@ def stream_unique_visit(spark, sf_dir):
 
 @query
 def stream_jump(spark, sf_dir):
-    root = run_dir(spark, "jump")
+    root = work_dir(spark, "jump")
     topics = folder_topics(root)
     land_pages(spark, sf_dir, topics)
     jobs.bounce_job(spark, topics, f"{root}/state", BOUNCE_MS, ONCE).awaitTermination()
@@ -103,7 +113,7 @@ def stream_jump(spark, sf_dir):
 
 @query
 def stream_jump_in_time(spark, sf_dir):
-    root = run_dir(spark, "jump-in-time")
+    root = work_dir(spark, "jump-in-time")
     topics = folder_topics(root)
     land_pages(spark, sf_dir, topics)
     jobs.jump_job(spark, topics, f"{root}/state", BOUNCE_MS, trigger=ONCE).awaitTermination()
@@ -117,7 +127,7 @@ def stream_jump_in_time(spark, sf_dir):
 
 @query
 def stream_interval_join(spark, sf_dir):
-    root = run_dir(spark, "interval-join")
+    root = work_dir(spark, "interval-join")
     topics = folder_topics(root)
     for topic, rows in (
         (TOPIC_ORDER_INFO, adapters.order_info(spark, sf_dir)),
@@ -133,7 +143,7 @@ def stream_interval_join(spark, sf_dir):
 @query
 def stream_cdc_route(spark, sf_dir):
     """Fact messages, and the rows of the dimension tables, one column value per row."""
-    root = run_dir(spark, "cdc-route")
+    root = work_dir(spark, "cdc-route")
     topics = folder_topics(root)
     land(adapters.cdc_log(spark, sf_dir), topics, TOPIC_RAW_DB)
     schema, location = "dim_" + root.rsplit("-", 1)[1], f"{root}/dims"
