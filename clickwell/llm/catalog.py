@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from clickwell.llm import bpe, chat, exact_dedup, secrets
+from clickwell.llm import bpe, chat, exact_dedup, packing, secrets, toxicity
 from clickwell.llm.common import Query
 
 QUERIES: dict[str, Query] = {run.__name__: run for run in (
-    secrets.op1_secrets, exact_dedup.op3_exact_dedup, bpe.op7_bpe, chat.op10_chat,
+    secrets.op1_secrets, exact_dedup.op3_exact_dedup, packing.op5_packing,
+    bpe.op7_bpe, toxicity.op8_toxicity, chat.op10_chat,
 )}
 
 ORACLE: dict[str, str] = {
