@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -11,8 +12,18 @@ from clickwell.session import run_dir, tune
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings; Python workers find this package where the
+    driver has it (on a cluster: an install on all nodes, or --py-files)."""
+    root = str(Path(__file__).resolve().parents[2])
+    held = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in held.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{held}".rstrip(":")
+    return tune(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def written(rows: DataFrame, name: str) -> DataFrame:
