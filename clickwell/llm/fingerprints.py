@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clickwell.llm import common
 
-SAMPLES = 64
-GRID = 512
+SAMPLES = 32
+R_BITS, C_BITS = 9, 11  # of uniform numbers; twice their sum and 24 bits make a 64-bit hash
 ROWS_PER_RANGE = 2_000
 CELLS = 64
 
@@ -34,32 +34,32 @@ def gamma_at(share: np.ndarray) -> np.ndarray:
     return (low + high) / 2
 
 
-def constants(values: np.ndarray) -> str:
-    """SQL for a constant array; folded to a literal when the query is planned."""
-    return "cast(split('" + ",".join(f"{v:.12g}" for v in values) + "', ',') as array<double>)"
+def constants(values: np.ndarray) -> Column:
+    """A constant array; folded to a literal when the query is planned."""
+    return F.split(F.lit(",".join(f"{v:.12g}" for v in values)), ",").cast("array<double>")
 
 
 # The larger of two uniform numbers is below s with probability s * s. On that scale the quantile
-# is smooth down to 0, so a small grid does: r takes its midpoints, c is interpolated.
-R_GRID = constants(gamma_at(((np.arange(GRID) + 0.5) / GRID) ** 2))
-C_GRID = constants(gamma_at(np.minimum((np.arange(GRID + 1) / GRID) ** 2, 1 - 2.0**-20)))
-
-
-def sample(k: int) -> Column:
-    """Sample k of a row (term, weight) as a whole number: the rank in the upper 32 bits, what is
-    sampled in the lower. The smallest over a bag's terms is the bag's sample."""
-    h = f"xxhash64(term, {k})"
-    bits = lambda shift, n: f"(shiftrightunsigned({h}, {shift}) & {(1 << n) - 1})"
-    r = f"get({R_GRID}, cast(greatest({bits(0, 9)}, {bits(9, 9)}) as int))"
-    place = f"greatest({bits(18, 14)}, {bits(32, 14)})"
-    cell = f"cast(shiftright({place}, 5) as int)"
-    c = f"(get({C_GRID}, {cell}) + (get({C_GRID}, {cell} + 1) - get({C_GRID}, {cell})) * (({place} & 31) / 32D))"
-    b = f"({bits(46, 18)} / 262144D)"
-    t = f"floor(log_weight / {r} + {b})"
-    # The rank's logarithm keeps 31 bits: steps of 2^-23 over a range of 256.
-    log_a = f"ln(greatest({c}, 1e-9D)) - {r} * ({t} - {b} + 1)"
-    rank = f"cast((least(greatest({log_a}, -200D), 50D) + 200D) * 8388608D as bigint)"
-    return F.expr(f"shiftleft({rank}, 32) | (xxhash64(term, {k}, {t}) & 4294967295L)")
+# is close to linear near 0, so an even grid serves small values as well; grids hold midpoints.
+R_GRID = gamma_at(((np.arange(1 << R_BITS) + 0.5) / (1 << R_BITS)) ** 2)
+LOG_C_GRID = np.log(gamma_at(((np.arange(1 << C_BITS) + 0.5) / (1 << C_BITS)) ** 2))
+
+
+def sample(k: int, r_grid: Column, log_c_grid: Column) -> Column:
+    """Sample k of a row (term, log_weight) as a whole number: the rank in the upper 32 bits, what
+    is sampled in the lower. The smallest over a bag's terms is the bag's sample."""
+    h = F.xxhash64("term", F.lit(k))
+    part = lambda shift, n: F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << n) - 1))
+    larger = lambda shift, n: F.greatest(part(shift, n), part(shift + n, n)).cast("int")
+    r = F.coalesce(F.get(r_grid, larger(0, R_BITS)), F.lit(1.0))
+    log_c = F.coalesce(F.get(log_c_grid, larger(2 * R_BITS, C_BITS)), F.lit(0.0))
+    b = part(2 * R_BITS + 2 * C_BITS, 24) * F.lit(2.0**-24)
+    # A weight of one, the usual case, has t = 0.
+    t = F.when(F.col("log_weight") == 0, F.lit(0).cast("bigint")).otherwise(F.floor(F.col("log_weight") / r + b))
+    # The logarithm of the rank lies within -200 and 50 and keeps 31 bits.
+    log_a = log_c - r * (t - b + 1.0)
+    rank = ((F.greatest(log_a, F.lit(-200.0)) + 200.0) * 8388608.0).cast("bigint")
+    return F.shiftleft(rank, 32).bitwiseOR(h.bitwiseXOR(t).bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
 def terms(text: Column) -> Column:
@@ -126,7 +126,8 @@ def sampled(rows: DataFrame, keys: list[str]) -> DataFrame:
     (32 bits each). One row per distinct combination of keys."""
     bag = rows.select(*keys, F.inline(terms(F.col("text"))))
     bag = bag.select(*keys, "term", F.ln("weight").alias("log_weight"))
-    least = bag.groupBy(*keys).agg(*[F.min(sample(k)).alias(f"s{k}") for k in range(SAMPLES)])
+    grids = constants(R_GRID), constants(LOG_C_GRID)
+    least = bag.groupBy(*keys).agg(*[F.min(sample(k, *grids)).alias(f"s{k}") for k in range(SAMPLES)])
     return least.select(*keys, F.array(*[
         F.col(f"s{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(SAMPLES)]).alias("samples"))
 
