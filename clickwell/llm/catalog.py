@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from clickwell.llm import bpe, chat, exact_dedup, fingerprints, licenses, packing, secrets, toxicity
+from clickwell.llm import bpe, chat, exact_dedup, fingerprints, licenses, near_dedup, packing, secrets, toxicity
 from clickwell.llm.common import Query
 
 QUERIES: dict[str, Query] = {run.__name__: run for run in (
     secrets.op1_secrets, exact_dedup.op3_exact_dedup, licenses.op4_licenses,
-    packing.op5_packing, fingerprints.op6_fingerprints, bpe.op7_bpe, toxicity.op8_toxicity, chat.op10_chat,
+    packing.op5_packing, fingerprints.op6_fingerprints, bpe.op7_bpe, toxicity.op8_toxicity,
+    near_dedup.op9_near_dedup, chat.op10_chat,
 )}
 
 ORACLE: dict[str, str] = {

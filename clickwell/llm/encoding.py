@@ -12,7 +12,10 @@ from collections.abc import Callable
 import numpy as np
 from tokenizers import Tokenizer
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 500_000
+
+# Signs that end words.
+SIGNS = ".,;:!?|&$%#*)]}\""
 
 _open: dict[str, Tokenizer] = {}
 
@@ -28,19 +31,32 @@ def tokenizer(path: str) -> Tokenizer:
 
 
 class Words(dict):
-    """Word -> its ids as bytes of 32-bit numbers. Forgets all when full."""
+    """Word -> its ids as bytes of 32-bit numbers. When full, the words so far become the older
+    half; of these the ones met again come back, the others are forgotten at the next change."""
 
     def __init__(self, encode: Callable[[str], list[int]], limit: int = CACHE_WORDS):
         super().__init__()
         self.encode, self.limit = encode, limit
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.made(word)
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        ids = np.array(self.encode(word), dtype="<u4").tobytes()
         self[word] = ids
         return ids
 
+    def made(self, word: str) -> bytes:
+        """The ids of a new word. A letter or digit before signs that end the word ends its
+        pre-token in any context, so the word is put together from what stands before and after."""
+        core = word.rstrip(SIGNS)
+        if core and core != word and core[-1].isalnum() and len(core[-1].lower()) == 1:
+            return self[core] + self[word[len(core):]]
+        return np.array(self.encode(word), dtype="<u4").tobytes()
+
 
 def ids_by(path: str) -> Callable[[str], list[int]]:
     encoder = tokenizer(path)

@@ -29,27 +29,15 @@ POOL_TOKENS = 2_000_000
 STEP_TOKENS = 65_536
 END_ID = 2
 
-# Signs that end words: a letter or digit before one of them ends its pre-token in any context.
-SIGNS = ".,;:!?|&$%#*)]}\""
-
 PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, tier bigint, step_group bigint"
 
 class Words(encoding.Words):
-    """Word -> ids. A new word is looked up without the signs at its end and, as the vocabulary
-    is one of lower case, in lower case (of A-Z only) before the library is asked."""
-
-    def __missing__(self, word: str) -> bytes:
-        core = word.rstrip(SIGNS)
-        plain = core.lower() if core.isascii() else core
-        if core and core != word and core[-1].isalnum() and len(core[-1].lower()) == 1:
-            ids = self[plain] + self[word[len(core):]]
-        elif core == word and plain != word:
-            ids = self[plain]
-        else:
-            return super().__missing__(word)
-        if len(self) < self.limit:
-            self[word] = ids
-        return ids
+    """As the vocabulary is one of lower case, a word is looked up in lower case (of A-Z only)
+    before the library is asked."""
+
+    def made(self, word: str) -> bytes:
+        lower = word.lower() if word.isascii() else word
+        return self[lower] if lower != word else super().made(word)
 
 
 _words: dict[str, Words] = {}
