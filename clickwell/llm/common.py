@@ -45,20 +45,26 @@ def row_id() -> Column:
 
 
 def keep_ids(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of `docs` that survive; `decided` has (doc_id, kept), one row per row of `docs`.
+    """The rows of `docs` that survive; `decided` has (doc_id, text_sha256, kept), one row per row
+    of `docs`.
 
     Ids none of whose rows is kept are removed by an anti-join: they are the few, and texts are
-    not moved when they are few enough to be sent along. Where an id is repeated and only some
-    of its rows are kept, equal rows of it become one. A null id is an id like any other.
+    not moved when the ids are few enough to be sent along. Where an id is repeated and only some
+    of its rows are kept, its texts are looked up too, and equal rows of it become one. A null id
+    is an id like any other.
     """
+    decided = written(decided, "decided")
     ids = decided.groupBy(F.col("doc_id").alias("_id")).agg(
         F.max("kept").alias("_some"), F.min("kept").alias("_all"))
-    ids = written(ids.where("NOT _all"), "decided")
+    ids = written(ids.where("NOT _all"), "ids")
     gone = ids.where("NOT _some").select("_id")
     rest = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")
     partly = ids.where("_some").select("_id")
     if partly.isEmpty():
         return rest
     whole = rest.join(partly, rest["doc_id"].eqNullSafe(partly["_id"]), "left_anti")
+    kept = decided.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_text"))
     twice = rest.join(partly, rest["doc_id"].eqNullSafe(partly["_id"]), "left_semi")
+    of_row = F.sha2(F.coalesce(rest["text"], F.lit("")), 256) == kept["_text"]
+    twice = twice.join(kept, twice["doc_id"].eqNullSafe(kept["_id"]) & of_row, "left_semi")
     return whole.unionByName(twice.dropDuplicates(["doc_id", "text"]))

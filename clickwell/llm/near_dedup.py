@@ -316,7 +316,7 @@ def cross(large: DataFrame, classes: DataFrame, pivot, apart: DataFrame | None =
 
 
 def group(docs: DataFrame) -> DataFrame:
-    """One row per row of `docs`: doc_id, class_id, class_size, kept.
+    """One row per row of `docs`: doc_id, class_id, class_size, kept, text_sha256.
 
     Texts are alike when the generalised Jaccard similarity of their shingles is SIMILARITY or
     more; a class is what such links connect, and identical texts always share one. class_id is
@@ -338,7 +338,8 @@ def group(docs: DataFrame) -> DataFrame:
     whole = labelled.groupBy(F.col("class").alias("of")).agg(F.max("best").alias("head"), F.sum("copies").alias("class_size"))
     final = common.written(labelled.join(whole, F.col("class") == F.col("of")).select("own", "head", "class_size"), "heads")
     return rows.join(final, F.col("text_key") == F.col("own")).select(
-        "doc_id", F.col("head.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("head.row")).alias("kept"))
+        "doc_id", F.col("head.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("head.row")).alias("kept"),
+        F.lower(F.hex("own")).alias("text_sha256"))
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

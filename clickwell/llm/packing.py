@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clickwell.llm import common, encoding
 
 TIERS = (512, 1024, 2048, 4096)
-SMALLEST = 64  # the last windows of a task may be shorter tiers still, down to this one
 POOL_TOKENS = 2_000_000
 STEP_TOKENS = 65_536
 END_ID = 2
@@ -103,14 +102,12 @@ class Packer:
                 left -= size
         if last:
             size = self.longest
-            while left >= SMALLEST:
+            while left:
                 if left >= size:
                     out.append((size, self.fill(size)))
                     left -= size
                 else:
                     size //= 2
-            if left:
-                out.append((self.longest, self.fill(self.longest)))
         return out
 
     def flush(self, last: bool = False) -> Iterator[pa.RecordBatch]:
@@ -147,8 +144,8 @@ def pack(docs: DataFrame, path: str, pool_tokens: int = POOL_TOKENS) -> DataFram
 
     A document is its text's ids and an end id, so null and empty texts are one token. Each id is
     in exactly one piece; repeated rows and null ids are documents like others. A sequence is as
-    long as its tier, a power of two; the last one of a task may be shorter and is to be padded to
-    the longest. Texts of any length are streamed into windows; other columns are not read. An
+    long as its tier, a power of two, so none needs padding; the last few of a task (at most one
+    of each size) are of shorter tiers than TIERS has. Texts of any length are streamed into windows; other columns are not read. An
     empty table gives no rows.
     """
     end = np.array([END_ID], dtype="<u4").tobytes()

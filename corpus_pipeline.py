@@ -28,13 +28,13 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """One row of each text stays: the one with the largest doc_id."""
     common.ready(spark)
     decided = exact_dedup.dedup(docs, exact_dedup.earlier_half(docs))
-    return common.keep_ids(docs, decided.select("doc_id", "kept"))
+    return common.keep_ids(docs, decided.select("doc_id", "text_sha256", "kept"))
 
 
 def drop_near_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates stays: the one with the largest doc_id."""
     common.ready(spark)
-    return common.keep_ids(docs, near_dedup.group(docs).select("doc_id", "kept"))
+    return common.keep_ids(docs, near_dedup.group(docs).select("doc_id", "text_sha256", "kept"))
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,250 @@
+"""Secrets, licenses, fingerprints, toxicity and language-model scores against brute force."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import fixtures
+from clickwell.llm import fingerprints, licenses, lm, secrets, toxicity
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def documents(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+
+
+def base_spans(text):
+    kinds = (
+        ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 6),
+        ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20),
+        ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 24))
+    found = [(m.start(), k, m.end(), name) for k, (name, pattern, good) in enumerate(kinds)
+             for m in re.finditer(pattern, text, re.A) if good(m)]
+    return [(name, start, end) for start, _, end, name in sorted(found)]
+
+
+def test_op1_equals_brute_force(spark):
+    got = {r.doc_id: r for r in secrets.op1_secrets(spark, SF_DIR).collect()}
+    for doc_id, text in documents(spark):
+        spans = base_spans(text)
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+        assert got[doc_id].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert [got[doc_id][f"n_{k}"] for k in secrets.BASE] == [sum(s[0] == k for s in spans) for k in secrets.BASE]
+        assert set(joined.split(",")) - {""} <= set(got[doc_id].spans.split(","))
+
+
+def test_secrets_of_odd_rows(spark):
+    found = secrets.scan(fixtures.table(spark)).collect()
+    want = Counter((d, len(base_spans(t or ""))) for d, t in fixtures.texts())
+    assert Counter((r.doc_id, len(r.base)) for r in found) == want
+    assert secrets.scan(fixtures.table(spark, [])).count() == 0
+
+
+def test_ownership_separates_copies_from_live_secrets(spark):
+    live, copied = "token = Zk3vQ9xL2mT8bN5cW7yR", "token = Hd6sPf1aJ4gK0zXq8UeB"
+    rows = [(1, live, "a/x"), (2, live, "a/y"), (3, copied, "a/x"), (4, copied, "b/x"), (5, "key Ab3dEf6hIj9lMn2pQr5tUv8xZ end", "c/x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = {r.doc_id: r.spans for r in secrets.scan(docs).collect()}
+    assert [found[i][0].live for i in (1, 2, 3, 4)] == [True, True, False, False]
+    assert found[1][0].repositories == 2 and found[3][0].owners == 2
+    assert found[5][0].kind == secrets.KINDS.index("opaque")
+    clean = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert clean[1] == "[SECRET]" and clean[3] == copied and clean[5] == "key [SECRET] end"
+
+
+def test_redaction_keeps_rows_and_columns(spark):
+    docs = fixtures.table(spark)
+    done = secrets.redact(docs)
+    assert done.schema.names == docs.schema.names and done.count() == docs.count()
+    assert sum(r.text is None for r in done.collect()) == 1
+    assert all(r.n_chars == len(r.text or "") for r in done.collect())
+
+
+def license_expected(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    places = sorted(
+        (i, label) for phrase, label in licenses.PHRASES.items() for i in range(len(words))
+        if words[i:i + len(phrase.split())] == phrase.split())
+    return len(words), places
+
+
+def check_licenses(rows, texts):
+    for r, (doc_id, text) in zip(rows, texts):
+        n_words, places = license_expected(text)
+        base = sorted((s.start, s.label) for s in r.spans if s.phrase)
+        assert (r.doc_id, r.n_words, base) == (doc_id, n_words, places)
+        assert all(0 < s.coverage <= 1 and s.end > s.start for s in r.spans)
+
+
+def by_id(rows):
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r.n_words if hasattr(r, "n_words") else license_expected(r[1])[0]))
+
+
+def test_licenses_of_odd_rows(spark):
+    rows = licenses.scan(fixtures.table(spark)).collect()
+    check_licenses(by_id(rows), by_id(fixtures.texts()))
+    assert licenses.scan(fixtures.table(spark, [])).count() == 0
+
+
+def test_op4_equals_brute_force(spark):
+    texts = documents(spark)
+    got = {r.doc_id: r for r in licenses.op4_licenses(spark, SF_DIR).collect()}
+    assert len(got) == len(texts)
+    for doc_id, text in texts:
+        n_words, places = license_expected(text)
+        r = got[doc_id]
+        assert (r.n_words, r.n_base) == (n_words, len(places))
+        assert (r.first_word, r.last_word) == ((places[0][0], places[-1][0]) if places else (None, None))
+        assert r.base_labels == ",".join(sorted({p[1] for p in places}))
+        assert set(r.base_labels.split(",")) - {""} <= set(r.labels.split(",")) and 0 <= r.score <= 1
+
+
+def test_inserted_words_leave_a_license_found(spark):
+    notice = next(n for n, label in licenses.NOTICES.items() if label == "bsd").split()
+    text = " ".join([*notice[:9], "really", *notice[9:]])
+    docs = spark.createDataFrame([(1, text), (2, " ".join(notice[:5]))], "doc_id bigint, text string")
+    found = {r.doc_id: [s.label for s in r.spans] for r in licenses.scan(docs).collect()}
+    assert found == {1: ["bsd"], 2: []}
+
+
+def edited(rows):
+    """(doc_id, text, edited text) in descending order of ids; ties are left out by the callers."""
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)
+    out = []
+    for (doc_id, text), (_, after) in zip(order, [*order[1:], *order[:1]]):
+        text, after = text or "", after or ""
+        cut = len(text) // 3
+        out.append((doc_id, text, text[:len(text) - cut] + after[:cut]))
+    return out
+
+
+@pytest.mark.parametrize("per_range", [2_000, 3])
+def test_edited_texts(spark, monkeypatch, per_range):
+    monkeypatch.setattr(fingerprints, "ROWS_PER_RANGE", per_range)
+    rows = [r for r in fixtures.texts() if r[0] is not None and r[0] != 9] + [(None, "only one without an id")]
+    got = {r.doc_id: r for r in fingerprints.compare(fixtures.table(spark, rows)).collect()}
+    want = edited(rows)
+    assert len(got) == len(want)
+    for doc_id, text, new in want:
+        assert got[doc_id].n_chars == len(text)
+        assert got[doc_id].edited_sha256 == hashlib.sha256(new.encode()).hexdigest()
+    assert got[1].samples == got[2].samples and got[4].samples == got[5].samples
+    assert 0 <= got[3].near_next <= 1
+
+
+def test_fingerprints_of_odd_rows(spark):
+    assert fingerprints.compare(fixtures.table(spark)).count() == len(fixtures.texts())
+    assert fingerprints.compare(fixtures.table(spark, [])).count() == 0
+    one = fingerprints.compare(fixtures.table(spark, [(1, "alone in here")])).collect()
+    assert one[0].near_next == 1
+
+
+def test_collisions_equal_generalised_jaccard(spark):
+    # 40 pairs of weighted bags give 1,280 samples.
+    rng = np.random.default_rng(2)
+    bags, want = [], []
+    for i in range(40):
+        x, y = rng.integers(0, 6, 30), rng.integers(0, 6, 30)
+        want.append(np.minimum(x, y).sum() / np.maximum(x, y).sum())
+        for side, weights in enumerate((x, y)):
+            bags += [(i, side, int(rng.integers(1)) + 1_000 * i + t, int(w)) for t, w in enumerate(weights) if w]
+    rows = spark.createDataFrame(bags, "i int, side int, item bigint, weight int").select(
+        "i", "side", F.xxhash64("item").alias("term"), "weight", F.ln("weight").alias("log_weight"))
+    grids = fingerprints.constants(fingerprints.R_GRID), fingerprints.constants(fingerprints.LOG_C_GRID)
+    found = rows.groupBy("i", "side").agg(*[
+        (F.min(fingerprints.sample(k, *grids)).bitwiseAND(F.lit(0xFFFFFFFF))).alias(f"s{k}") for k in range(16)]).collect()
+    at = {(r.i, r.side): r[2:] for r in found}
+    share = [np.mean([a == b for a, b in zip(at[i, 0], at[i, 1])]) for i in range(40)]
+    assert abs(np.mean(share) - np.mean(want)) < 0.05
+
+
+def test_toxicity_learns_and_is_whole(spark):
+    rows = toxicity.op8_toxicity(spark, "/root/testdata/sf0.01").collect()
+    label = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    assert len({r.doc_id for r in rows}) == len(rows) == 1_000
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    held = [(r.score, label[r.doc_id]) for r in rows if r.held_out and r.doc_id in label]
+    bad, good = [s for s, y in held if y], [s for s, y in held if not y]
+    assert np.mean([b > g for b in bad for g in good]) > 0.75
+
+
+def test_toxicity_of_odd_rows(spark):
+    labels = spark.createDataFrame([(1, 1, 1), (7, 0, 0), (7, 0, 1), (None, 1, 1), (8, 1, None)], "doc_id bigint, quality int, toxic int")
+    docs = fixtures.table(spark)
+    done = toxicity.classify(docs, labels)
+    assert done.count() == docs.count() and done.where("_score IS NULL").count() == 0
+    assert {r._score for r in toxicity.classify(docs, labels.limit(0)).collect()} == {0.5}
+    assert toxicity.classify(docs.limit(0), labels).count() == 0
+
+
+def base_scores(rows):
+    words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + ["\n"]
+    out = lambda d: d is not None and zlib.crc32(str(d).encode()) % 10 == 0
+    counts = Counter(w for d, t in rows if not out(d) for w in words(t))
+    total = sum(counts.values())
+    score = lambda t: sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (len(counts) + 1))) for w in words(t))
+    return sorted(
+        (str(d), out(d), len(words(t)), sum(w in counts for w in words(t)), total, round(score(t), 6)) for d, t in rows)
+
+
+@pytest.mark.parametrize("head", [100_000, 10])
+def test_base_scores(spark, monkeypatch, head):
+    import public_tokenizers
+
+    monkeypatch.setattr(lm, "HEAD_WORDS", head)
+    monkeypatch.setattr(lm, "STEPS", 5)
+    monkeypatch.setattr(lm, "ROUNDS", 1)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = lm.score(fixtures.table(spark), path).collect()
+    got = sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in rows)
+    assert got == base_scores(fixtures.texts())
+    assert all(-math.inf < r.score < 0 for r in rows)
+    assert lm.score(fixtures.table(spark, []), path).count() == 0
+
+
+def test_gradient_is_that_of_the_loss():
+    class Flat:
+        log_class = np.zeros(lm.CLASSES, np.float32)
+
+    p = {name: value.astype(np.float64) for name, value in lm.start(Flat).items()}
+    rng = np.random.default_rng(1)
+    tokens, target = rng.integers(0, 100, (3, lm.WINDOW)), rng.integers(0, lm.CLASSES, (3, lm.WINDOW))
+    live = rng.random((3, lm.WINDOW)) < 0.8
+
+    def loss():
+        logs = lm.log_classes(p, lm.attend(p, tokens)[0][live])
+        return -logs[np.arange(len(logs)), target[live]].mean()
+
+    for name, grad in lm.gradient(p, tokens, target, live).items():
+        at = (tokens[0, 3], 2) if name == "embed" else tuple(s // 2 for s in p[name].shape)
+        held = p[name][at]
+        p[name][at] = held + 1e-5
+        above = loss()
+        p[name][at] = held - 1e-5
+        below = loss()
+        p[name][at] = held
+        assert abs((above - below) / 2e-5 - grad[at]) < 1e-6
+
+
+def test_windows_score_each_token_once():
+    class Ids:
+        inputs, classes = np.arange(100) % 50, np.arange(100) % lm.CLASSES
+        log_class = np.zeros(lm.CLASSES, np.float32)
+
+        def log_within(self, ids, inner):
+            return np.zeros(len(ids), np.float32)
+
+    p, rng = lm.start(Ids), np.random.default_rng(4)
+    texts = [rng.integers(0, 100, n) for n in (1, 5, lm.WINDOW, lm.WINDOW + 1, 200)]
+    ids = np.concatenate(texts)
+    together = lm.log_tokens(p, Ids(), texts, np.zeros(len(ids), bool))
+    apart = np.concatenate([lm.log_tokens(p, Ids(), [t], np.zeros(len(t), bool)) for t in texts])
+    assert len(together) == len(ids) and np.allclose(together, apart, atol=1e-4)
