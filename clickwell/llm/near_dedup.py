@@ -5,8 +5,10 @@ discretised weights: each shingle's weight axis is cut at whole numbers, a proce
 interval [2^i, 2^(i+1)) below the largest weight, and its points are split between the halves of
 the interval down to single levels. A point at a level that the weight reaches lowers one of the
 SIGNATURE registers to its time. Equal registers of two texts are as likely as their weighted
-Jaccard similarity, without bias. Registers are cut into bands; texts that agree in a band are
-compared on their whole multisets.
+Jaccard similarity, without bias. Registers are cut into bands, in several orders; texts that agree in a
+band are compared on their whole multisets. Bands are long, so that texts which merely share a
+passage with very many others seldom agree in one, and many, so that of pairs at the threshold
+itself about one in ten thousand is missed.
 
 Identical texts are one text from the start. Within a bucket of texts that agree in a band, texts
 are compared only until they are connected: a text whose class is known to be that of another is
@@ -30,13 +32,17 @@ from clickwell.llm.toxicity import blocks
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 32, 4
-SIGNATURE = BANDS * ROWS
+SIGNATURE, ROWS, ORDERS = 128, 8, 4
+BANDS = SIGNATURE // ROWS * ORDERS
 BLOCK = 256
 
-SIGNED = "text_key binary, bands array<bigint>"
-BAG = "text_key binary, shingles binary"
-EDGES = "a binary, b binary"
+SIGNED = "text_key binary, doc_id bigint, bands array<bigint>"
+BAG = "id bigint, shingles binary"
+EDGES = "a bigint, b bigint"
+
+# The registers of each band.
+MEMBERS = np.concatenate([
+    np.random.default_rng(order).permutation(SIGNATURE).reshape(-1, ROWS) for order in range(ORDERS)])
 
 _hashes = Hashes()
 
@@ -124,7 +130,7 @@ def signatures(text: np.ndarray, shingle: np.ndarray, n_texts: int) -> np.ndarra
 
 def band_keys(registers: np.ndarray) -> np.ndarray:
     """A 64-bit key of each band; texts with equal registers in a band share it."""
-    bits = registers.view(np.uint64).reshape(len(registers), BANDS, ROWS)
+    bits = registers.view(np.uint64)[:, MEMBERS]
     keys = np.zeros((len(registers), BANDS), dtype=np.uint64)
     for r in range(ROWS):
         keys = mix(keys ^ bits[:, :, r], r + 1)
@@ -132,22 +138,22 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
 
 
 def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text_key and band keys of texts; texts without words have none."""
+    """text_key, doc_id and band keys of texts; texts without words have none."""
     for b in batches:
         at = 0
-        for texts in blocks(b.column(1), 300_000):
+        for texts in blocks(b.column(2), 300_000):
             text, shingle = shingles_of(texts)
             keys = band_keys(signatures(text, shingle, len(texts)))
             some = np.unique(text)
             flat = pa.array(keys[some].view(np.int64).reshape(-1))
             ends = pa.array(np.arange(len(some) + 1, dtype=np.int32) * BANDS)
-            own = b.column(0).slice(at, len(texts)).take(pa.array(some))
-            yield pa.RecordBatch.from_arrays([own, pa.ListArray.from_arrays(ends, flat)], ["text_key", "bands"])
+            own = [b.column(c).slice(at, len(texts)).take(pa.array(some)) for c in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*own, pa.ListArray.from_arrays(ends, flat)], ["text_key", "doc_id", "bands"])
             at += len(texts)
 
 
 def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text_key and the sorted shingles of each text, 64 bits each."""
+    """id and the sorted shingles of each text, 64 bits each."""
     for b in batches:
         at = 0
         for texts in blocks(b.column(1), 300_000):
@@ -156,7 +162,7 @@ def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts = np.split(shingle, np.cumsum(np.bincount(text, minlength=len(texts)))[:-1])
             yield pa.RecordBatch.from_arrays([
                 b.column(0).slice(at, len(texts)), pa.array([p.tobytes() for p in parts], pa.binary())],
-                ["text_key", "shingles"])
+                ["id", "shingles"])
             at += len(texts)
 
 
@@ -186,7 +192,7 @@ class Classes:
         self.parent[j] = i
 
 
-def connect(keys: list[bytes], classes: list, bags: list[bytes], sides: list[bool] | None = None) -> list[tuple[bytes, bytes]]:
+def connect(keys: list[int], classes: list, bags: list[bytes], sides: list[bool] | None = None) -> list[tuple[int, int]]:
     """Verified links that connect the texts of a block. Texts of one class (from earlier links)
     count as connected; with `sides`, only pairs of a text of either side are compared.
 
@@ -216,19 +222,15 @@ def connect(keys: list[bytes], classes: list, bags: list[bytes], sides: list[boo
     return links
 
 
-def as_edges(links: list[tuple[bytes, bytes]]) -> pa.Table:
-    return pa.table({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
-
-
 def connect_block(rows: pa.Table) -> pa.Table:
-    rows = rows.sort_by("text_key")
+    rows = rows.sort_by("id")
     sides = rows["side"].to_pylist() if "side" in rows.column_names else None
-    return as_edges(connect(
-        rows["text_key"].to_pylist(), rows["class"].to_pylist(), rows["shingles"].to_pylist(), sides))
+    links = connect(rows["id"].to_pylist(), rows["class"].to_pylist(), rows["shingles"].to_pylist(), sides)
+    return pa.table({name: pa.array([link[i] for link in links], pa.int64()) for i, name in enumerate("ab")})
 
 
 def classes_of(edges: DataFrame) -> DataFrame:
-    """(text_key, class): the smallest key of each connected component, for keys with links.
+    """(id, class): the smallest id of each connected component, for ids with links.
 
     Large stars and small stars in turn: each round links the neighbours of every key to the
     smallest of them. Each round is a written table; it ends when nothing changes.
@@ -253,66 +255,67 @@ def classes_of(edges: DataFrame) -> DataFrame:
         if after == before:
             break
         before, pairs = after, common.written(star(pairs), "links")
-    return pairs.select(F.col("b").alias("text_key"), F.col("a").alias("class")).unionAll(
-        pairs.select(F.col("a").alias("text_key"), F.col("a").alias("class")).distinct())
+    return pairs.select(F.col("b").alias("id"), F.col("a").alias("class")).unionAll(
+        pairs.select(F.col("a").alias("id"), F.col("a").alias("class")).distinct())
 
 
 def links_between(texts: DataFrame, winners: DataFrame) -> DataFrame:
     """Verified links (a, b) between different texts (text_key, doc_id, text) that connect all
-    near duplicates found by the bands. `winners` has the id whose row stands for each text."""
-    signed = texts.select("text_key", "text").mapInArrow(sign, SIGNED).dropDuplicates(["text_key"])
-    buckets = signed.select("text_key", F.explode("bands").alias("band"))
-    # Buckets of the same members are one bucket: the members' hash stands for them.
-    sizes = buckets.groupBy("band").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("text_key")).alias("members"),
-        F.bit_xor(F.xxhash64(F.lit(1), "text_key")).alias("again")).where("n > 1")
-    chosen = sizes.groupBy("n", "members", "again").agg(F.min("band").alias("band")).select(F.col("band").alias("of"), "n")
-    members = common.written(buckets.join(chosen, F.col("band") == F.col("of")).select("text_key", "band", "n"), "buckets")
-    wanted = members.select(F.col("text_key").alias("wanted")).distinct().join(winners, F.col("wanted") == F.col("own")).select(
-        "wanted", F.col("best.doc_id").alias("from"))
-    # Texts of candidates only are moved, each from the one row that stands for it.
-    of_winner = (F.col("text_key") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("from"))
-    bags = common.written(texts.join(wanted, of_winner, "left_semi").select(
-        "text_key", "text").mapInArrow(bag, BAG).dropDuplicates(["text_key"]), "bags")
-    held = bags.withColumnRenamed("text_key", "held")
+    near duplicates found by the bands. `winners` names for each text its id and the doc_id of the
+    row that stands for it."""
+    of_winner = (F.col("text_key") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("best.doc_id"))
+    signed = common.written(texts.select("text_key", "doc_id", "text").mapInArrow(sign, SIGNED).join(
+        winners, of_winner).dropDuplicates(["text_key"]).select("id", "bands"), "signed")
+    buckets = signed.select("id", F.explode("bands").alias("band")).repartition("band")
+    # Buckets of the same members are one bucket: the members' hashes stand for them.
+    chosen = buckets.groupBy("band").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("members"),
+        F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("again"),
+    ).where("n > 1").groupBy("n", "members", "again").agg(F.min("band").alias("of")).select("of", "n")
+    members = common.written(buckets.join(chosen, F.col("band") == F.col("of")).select("id", "band", "n"), "buckets")
+    wanted = members.select(F.col("id").alias("wanted")).distinct().join(winners, F.col("wanted") == F.col("id")).select(
+        "id", "own", "best")
+    # Texts of candidates only go on, each from the one row that stands for it.
+    bags = common.written(texts.join(wanted, of_winner).select("id", "text").mapInArrow(bag, BAG), "bags")
+    held = bags.dropDuplicates(["id"]).withColumnRenamed("id", "held")
 
     def with_bags(rows: DataFrame) -> DataFrame:
-        return rows.join(held, F.col("text_key") == F.col("held")).drop("held")
+        return rows.join(held, F.col("id") == F.col("held")).drop("held")
 
     n_blocks = F.ceil(F.col("n") / BLOCK)
-    blocked = members.withColumn("block", F.pmod(F.xxhash64("text_key"), n_blocks))
-    inner = with_bags(blocked.withColumn("class", F.lit(None).cast("binary"))).groupBy("band", "block").applyInArrow(connect_block, EDGES)
+    blocked = members.withColumn("block", F.pmod(F.xxhash64("id"), n_blocks))
+    inner = with_bags(blocked.withColumn("class", F.lit(None).cast("bigint"))).groupBy("band", "block").applyInArrow(connect_block, EDGES)
     edges = common.written(inner, "edges")
     large = blocked.where(n_blocks > 1)
     if large.isEmpty():
         return edges
     # Each block of a large bucket meets the pivot block.
-    classes = classes_of(edges)
-    crossed = cross(large, classes, F.col("block") == 0)
+    pivot = large.where("block = 0").withColumn("left", F.col("block"))
+    crossed = cross(large, classes_of(edges), pivot)
     edges = common.written(edges.unionAll(with_bags(crossed).groupBy("band", "left", "right").applyInArrow(connect_block, EDGES)), "edges")
-    # Texts outside their bucket's main class meet all blocks.
+    # Texts outside their bucket's main class meet all blocks, in as few blocks as they fill.
     classes = classes_of(edges)
-    labelled = large.join(classes.withColumnRenamed("text_key", "known"), F.col("text_key") == F.col("known"), "left").withColumn(
-        "class", F.coalesce("class", "text_key"))
+    labelled = large.join(classes.withColumnRenamed("id", "known"), F.col("id") == F.col("known"), "left").withColumn(
+        "class", F.coalesce("class", "id"))
     counts = labelled.groupBy("band", "class").agg(F.count("*").alias("many"))
-    main = counts.groupBy(F.col("band").alias("of")).agg(F.max_by("class", F.struct("many", "class")).alias("main"))
-    apart = labelled.join(main, F.col("band") == F.col("of")).where(F.col("class") != F.col("main")).select(*large.columns)
-    crossed = cross(large, classes, None, apart)
+    main = counts.groupBy(F.col("band").alias("of")).agg(
+        F.max_by("class", F.struct("many", "class")).alias("main"), (F.sum("many") - F.max("many")).alias("few"))
+    apart = labelled.join(main, F.col("band") == F.col("of")).where(F.col("class") != F.col("main")).withColumn(
+        "left", F.pmod(F.xxhash64("id"), F.ceil(F.col("few") / BLOCK))).select(*large.columns, "left")
+    crossed = cross(large, classes, common.written(apart, "apart"))
     return edges.unionAll(with_bags(crossed).groupBy("band", "left", "right").applyInArrow(connect_block, EDGES))
 
 
-def cross(large: DataFrame, classes: DataFrame, pivot, apart: DataFrame | None = None) -> DataFrame:
-    """Rows (band, left, right, side, text_key, class): the pivot rows (or those `apart`) against
-    every block of their bucket; `left` numbers the blocks of the first, `right` the second."""
-    first = large.where(pivot) if apart is None else apart
-    blocks_of = F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n") / BLOCK) - 1)
-    ones = first.select("band", F.col("block").alias("left"), F.explode(blocks_of).alias("right"), F.lit(True).alias("side"), "text_key")
-    lefts = first.select(F.col("band").alias("of"), F.col("block").alias("left")).distinct()
+def cross(large: DataFrame, classes: DataFrame, first: DataFrame) -> DataFrame:
+    """Rows (band, left, right, side, id, class): the rows `first`, in their blocks `left`,
+    against every block `right` of their bucket."""
+    rights = F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n") / BLOCK) - 1)
+    ones = first.select("band", "left", F.explode(rights).alias("right"), F.lit(True).alias("side"), "id")
+    lefts = first.select(F.col("band").alias("of"), "left").distinct()
     others = large.join(lefts, F.col("band") == F.col("of")).select(
-        "band", "left", F.col("block").alias("right"), F.lit(False).alias("side"), "text_key")
-    rows = ones.unionAll(others)
-    known = classes.withColumnRenamed("text_key", "known")
-    return rows.join(known, F.col("text_key") == F.col("known"), "left").drop("known")
+        "band", "left", F.col("block").alias("right"), F.lit(False).alias("side"), "id")
+    known = classes.withColumnRenamed("id", "known")
+    return ones.unionAll(others).join(known, F.col("id") == F.col("known"), "left").drop("known")
 
 
 def group(docs: DataFrame) -> DataFrame:
@@ -327,16 +330,18 @@ def group(docs: DataFrame) -> DataFrame:
     rows = common.written(docs.select(
         common.row_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
         F.unhex(F.sha2(common.text_of(), 256)).alias("text_key")), "rows")
-    winners = rows.groupBy(F.col("text_key").alias("own")).agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("copies"))
+    winners = common.written(rows.groupBy(F.col("text_key").alias("own")).agg(
+        F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("copies")).withColumn(
+        "id", F.col("best.row")), "winners")
     texts = docs.select(
         F.unhex(F.sha2(common.text_of(), 256)).alias("text_key"),
         F.col("doc_id").cast("bigint").alias("doc_id"), common.text_of().alias("text"))
     classes = common.written(classes_of(links_between(texts, winners)), "classes").select(
-        F.col("text_key").alias("known"), "class")
-    labelled = winners.join(classes, F.col("own") == F.col("known"), "left").select(
-        "own", "best", "copies", F.coalesce("class", "own").alias("class"))
+        F.col("id").alias("known"), "class")
+    labelled = winners.join(classes, F.col("id") == F.col("known"), "left").select(
+        "own", "best", "copies", F.coalesce("class", "id").alias("class"))
     whole = labelled.groupBy(F.col("class").alias("of")).agg(F.max("best").alias("head"), F.sum("copies").alias("class_size"))
-    final = common.written(labelled.join(whole, F.col("class") == F.col("of")).select("own", "head", "class_size"), "heads")
+    final = labelled.join(whole, F.col("class") == F.col("of")).select("own", "head", "class_size")
     return rows.join(final, F.col("text_key") == F.col("own")).select(
         "doc_id", F.col("head.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("head.row")).alias("kept"),
         F.lower(F.hex("own")).alias("text_sha256"))
