@@ -5,8 +5,9 @@ there, so ids give the words back). The model has one layer of causal self-atten
 feed-forward part; it predicts the class of the next subword, and corpus counts tell the subword
 within its class, given the subword before it in the word. Frequent subwords are classes of their
 own, the others are clustered by what stands beside them inside words. The classes, the counts of
-pairs and the counts of words are gathered over all training documents. Attention weights are trained on one window of every
-training document: shards train in parallel, their weights are averaged, several rounds.
+pairs and the counts of words are gathered over all training documents. Attention weights are trained on windows of every
+training document, in proportion to its length: shards train in parallel, their weights are
+averaged, several rounds.
 
 Long texts are scored in overlapping windows: each window after a text's first only scores the
 positions behind the overlap, so each token counts once and sees at least OVERLAP tokens. A
@@ -27,30 +28,47 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from clickwell.llm import common, encoding
 from clickwell.llm.toxicity import blocks
 
-CAPITALS = {c: c + 32 for c in range(65, 91)}
-SPACES = {c: " " for c in range(9, 14)}
-END = "\n"  # the end of a text as a word: no word holds white space
+END = b"\n"  # the end of a text as a word: no word holds white space
 
-WINDOW, OVERLAP, WIDTH, HIDDEN = 24, 6, 16, 32
+WINDOW, OVERLAP, WIDTH, HIDDEN = 24, 6, 16, 16
 STRIDE = WINDOW - OVERLAP
 KNOWN_IDS = 2_048  # subwords with an embedding and a class by cluster: the most frequent ones
 SINGLE, CLUSTERS, SPARE = 48, 15, 64
+TEXT_PER_WINDOW = 1_500  # bytes of a training text per window
+CUT = 480  # bytes of a text that a training window is taken from
 BACKOFF = 10.0  # weight of the class's shares against counts of pairs
 CLASSES = SINGLE + CLUSTERS + 1
 HEAD_WORDS = 100_000  # words whose share of the corpus is sent to all tasks: a bounded table
-SHARE = 0.6  # of that table in the mixture
-ROUNDS, STEPS, BATCH, RATE = 3, 200, 64, 1e-2
+SHARE = 0.5  # of that table in the mixture
+ROUNDS, STEPS, EPOCHS, BATCH, RATE = 3, 200, 6, 64, 1e-2
 
-COUNTS = "word string, n bigint"
-SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, head_log double, score double, word string, n bigint"
+COUNTS = "word binary, n bigint"
+SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, head_log double, score double, word binary"
 
-_words: dict[str, encoding.Words] = {}
+class Ids(dict):
+    """Word (UTF-8) -> its subword ids as bytes of 32-bit numbers."""
 
+    def __init__(self, path: str):
+        super().__init__()
+        plain, end = encoding.ids_by(path), encoding.tokenizer(path).get_vocab_size()
+        self.pieces = encoding.Words(lambda piece: plain(piece) or [end])
+        self.end = np.array([end], dtype="<u4").tobytes()
 
-def words_of(text: str) -> list[str]:
-    """The words of a text, A-Z lower-cased, cut at blanks and the controls 9 to 13."""
-    text = text.lower() if text.isascii() else text.translate(CAPITALS)
-    return [w for w in text.translate(SPACES).split(" ") if w]
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.end if word == END else self.pieces[" " + word.decode("utf-8", "replace")]
+        if len(self) >= encoding.CACHE_WORDS:
+            self.clear()
+        self[word] = ids
+        return ids
+
+
+_ids: dict[str, Ids] = {}
+
+
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a UTF-8 text, A-Z lower-cased, cut at blanks and the controls 9 to 13: what
+    these two methods of bytes mean by letters and white space."""
+    return text.lower().split()
 
 
 def learned(doc_id: Column) -> Column:
@@ -58,12 +76,15 @@ def learned(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 10 != 0, F.lit(True))
 
 
-def subwords(path: str) -> encoding.Words:
-    """Word -> ids, as bytes; the end of a text has the id behind the vocabulary's."""
-    if path not in _words:
-        encode, end = encoding.ids_by(path), encoding.tokenizer(path).get_vocab_size()
-        _words[path] = encoding.Words(lambda w: [end] if w == END else encode(" " + w) or [end])
-    return _words[path]
+def subwords(path: str) -> Ids:
+    """Word -> ids, one table per process; the end of a text has the id behind the vocabulary's."""
+    if path not in _ids:
+        _ids[path] = Ids(path)
+    return _ids[path]
+
+
+def utf8(texts: pa.Array) -> list[bytes]:
+    return texts.cast(pa.binary()).to_pylist()
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -74,11 +95,11 @@ def count_words(docs: DataFrame) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts.keys()), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+                [pa.array(list(counts.keys()), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
         for b in batches:
-            for t in b.column(0):
-                counts.update(words_of(t.as_py()))
+            for t in utf8(b.column(0)):
+                counts.update(words_of(t))
                 counts[END] += 1
                 if len(counts) > 300_000:
                     yield out()
@@ -213,14 +234,35 @@ def log_classes(p: dict, g: np.ndarray) -> np.ndarray:
     return z - np.log(np.exp(z).sum(axis=-1, keepdims=True))
 
 
-def log_target(p: dict, g: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Log probability of one class for each hidden state."""
-    z = g @ p["out"]
+def prepared(p: dict) -> dict[str, np.ndarray]:
+    """The weights as scoring wants them: the scale of attention within those of the queries."""
+    qkv = p["qkv"].copy()
+    qkv[:, :WIDTH] *= np.float32(WIDTH**-0.5)
+    return p | {"qkv": qkv, "before": np.tril(np.ones((WINDOW, WINDOW), dtype=np.float32)),
+                "ones": np.ones(CLASSES, dtype=np.float32)}
+
+
+def log_target(p: dict, tokens: np.ndarray, live: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log probability of the target class at each live place of windows: what attend() and
+    log_classes() give, in fewer passes. Exponents are not shifted, so weights beyond a float's
+    range give no finite number; such a block goes the longer way."""
+    x = p["embed"][tokens] + p["place"]
+    qkv = (x.reshape(-1, WIDTH) @ p["qkv"]).reshape(*x.shape[:2], 3 * WIDTH)
+    a = qkv[:, :, :WIDTH] @ qkv[:, :, WIDTH:2 * WIDTH].transpose(0, 2, 1)
+    np.exp(a, out=a)
+    a *= p["before"]
+    o = a @ qkv[:, :, 2 * WIDTH:]
+    o /= (a.reshape(-1, WINDOW) @ p["ones"][:WINDOW]).reshape(*x.shape[:2], 1)
+    h = x[live] + o[live] @ p["mix"]
+    u = h @ p["up"]
+    u += p["up0"]
+    np.maximum(u, 0, out=u)
+    h += u @ p["down"]
+    z = h @ p["out"]
     z += p["out0"]
-    np.minimum(z, 60, out=z)
     own = z[np.arange(len(z)), target]
     np.exp(z, out=z)
-    return own - np.log(z @ np.ones(CLASSES, dtype=z.dtype))
+    return own - np.log(z @ p["ones"])
 
 
 def gradient(p: dict, tokens: np.ndarray, target: np.ndarray, live: np.ndarray) -> dict[str, np.ndarray]:
@@ -275,10 +317,10 @@ def windows_of(ids: np.ndarray, starts: list[int], begin: int) -> np.ndarray:
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, path: str) -> dict[str, np.ndarray]:
-    """The attention weights: ROUNDS times STEPS steps on each shard, averaged after each round.
+    """The attention weights: ROUNDS times up to STEPS steps on each shard, averaged after each.
 
-    Each training document gives one window, at a place drawn by its id; what is trained on grows
-    with the corpus, and a shard holds the windows of one task's documents.
+    Each training document gives a window per TEXT_PER_WINDOW bytes, one at least, at places drawn
+    by its id; what is trained on grows with the corpus, and a shard holds one task's windows.
     """
     sc = docs.sparkSession.sparkContext
     sent = sc.broadcast(vocabulary)
@@ -288,20 +330,21 @@ def train(docs: DataFrame, vocabulary: Vocabulary, path: str) -> dict[str, np.nd
         table, v = subwords(path), sent.value
         for b in batches:
             rows = []
-            for seed, t in zip(b.column(0).to_pylist(), b.column(1)):
-                words = words_of(t.as_py())
-                # Enough words for a window, from a place anywhere in the text.
-                at = seed % max(1, len(words) - WINDOW + 2)
-                part = words[at:at + WINDOW] + [END] * (at + WINDOW > len(words))
-                ids = np.frombuffer(b"".join([table[w] for w in part]), dtype="<u4").astype(np.int64)
-                held = ids[:WINDOW]
-                # Inside a text the window's first token is only context.
-                target = np.full(WINDOW, -1)
-                target[:len(held)] = v.classes[held]
-                if at:
-                    target[0] = -1
-                tokens = windows_of(v.inputs[held], [0], begin)[0]
-                rows.append((tokens.astype(np.int32).tobytes(), target.astype(np.int32).tobytes()))
+            for seed, t in zip(b.column(0).to_pylist(), utf8(b.column(1))):
+                for k in range(1, 2 + len(t) // TEXT_PER_WINDOW):
+                    # A cut of enough words for a window, from a place anywhere in the text; the
+                    # word at a cut's edge may be part of one and is left out.
+                    at = seed * k % max(1, len(t) - CUT // 2)
+                    part = words_of(t[at:at + CUT])[at > 0:]
+                    part = (part[:-1] if at + CUT < len(t) else [*part, END])[:WINDOW]
+                    held = np.frombuffer(b"".join([table[w] for w in part]), dtype="<u4").astype(np.int64)[:WINDOW]
+                    # Inside a text the window's first token is only context.
+                    target = np.full(WINDOW, -1)
+                    target[:len(held)] = v.classes[held]
+                    if at:
+                        target[0] = -1
+                    tokens = windows_of(v.inputs[held], [0], begin)[0]
+                    rows.append((tokens.astype(np.int32).tobytes(), target.astype(np.int32).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)], ["tokens", "target"])
 
     seed = F.pmod(F.xxhash64("doc_id", F.length(common.text_of())), F.lit(1 << 30))
@@ -318,7 +361,8 @@ def train(docs: DataFrame, vocabulary: Vocabulary, path: str) -> dict[str, np.nd
             rows = pa.concat_tables(held)
             tokens, target = (
                 np.frombuffer(b"".join(rows[c].to_pylist()), dtype=np.int32).reshape(-1, WINDOW) for c in ("tokens", "target"))
-            fitted = fit(now.value, tokens, target, STEPS, round_)
+            steps = min(STEPS, 1 + EPOCHS * len(tokens) // BATCH)
+            fitted = fit(now.value, tokens, target, steps, round_)
             flat = np.concatenate([fitted[name].ravel() for name in sorted(fitted)]).astype(np.float64) * len(tokens)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat),
                                               pa.array(np.full(len(flat), len(tokens)))], ["place", "value", "n"])
@@ -337,29 +381,43 @@ def train(docs: DataFrame, vocabulary: Vocabulary, path: str) -> dict[str, np.nd
 
 
 def log_tokens(p: dict, v: Vocabulary, texts: list[np.ndarray], inner: np.ndarray) -> np.ndarray:
-    """Log probabilities of all ids of all texts, one after another; `inner` marks the ids that
+    """Log probabilities of all ids of all texts, one after another, by prepared() weights; `inner` marks the ids that
     continue a word. Windows of several texts go
     through the model together."""
-    begin = KNOWN_IDS + SPARE
-    windows, target, live, ids = [], [], [], np.concatenate(texts)
-    for own in texts:
-        starts = [0, *range(STRIDE, len(own) - OVERLAP, STRIDE)]
-        windows.append(windows_of(v.inputs[own], starts, begin))
-        places = np.asarray(starts)[:, None] + np.arange(WINDOW)
-        fresh = places < len(own)
-        fresh[1:, :OVERLAP] = False
-        live.append(fresh)
-    windows, live = np.concatenate(windows), np.concatenate(live)
+    begin, ids = KNOWN_IDS + SPARE, np.concatenate(texts)
+    sizes = np.array([len(own) for own in texts])
+    many = 1 + np.maximum(0, -(-(sizes - WINDOW) // STRIDE))
+    inputs = v.inputs[ids]
+    # Places of all windows among the ids; the input at a place is the token before it.
+    text = np.repeat(np.arange(len(texts)), many)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
+    within = (nth * STRIDE)[:, None] + np.arange(WINDOW)
+    live = within < sizes[text][:, None]
+    live[nth > 0, :OVERLAP] = False
+    before = (np.cumsum(sizes) - sizes)[text][:, None] + within - 1
+    tokens = np.where((within > 0) & (within <= sizes[text][:, None]), inputs[np.clip(before, 0, len(ids) - 1)], begin)
     want = v.classes[ids]
     out, at = np.empty(len(ids), dtype=np.float32), 0
-    for i in range(0, len(windows), 256):
-        g, _ = attend(p, windows[i:i + 256])
-        flat = g[live[i:i + 256]]
-        out[at:at + len(flat)] = log_target(p, flat, want[at:at + len(flat)])
-        at += len(flat)
+    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+        for i in range(0, len(tokens), 256):
+            part, fresh = tokens[i:i + 256], live[i:i + 256]
+            target = want[at:at + int(fresh.sum())]
+            found = log_target(p, part, fresh, target)
+            if not np.isfinite(found).all():
+                plain = p | {"qkv": p["qkv"] * np.repeat(np.float32([WIDTH**0.5, 1, 1]), WIDTH)}
+                found = log_classes(plain, attend(plain, part)[0][fresh])[np.arange(len(target)), target]
+            out[at:at + len(found)] = found
+            at += len(found)
     return out + v.log_within(ids, inner)
 
 
+class Frequent(dict):
+    """Word -> its number among the frequent words, -1 for others."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 def score(docs: DataFrame, path: str) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score.
@@ -386,49 +444,50 @@ def score(docs: DataFrame, path: str) -> DataFrame:
     head = counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).toArrow()
     log_of = lambda c: math.log10((c + 0.1) / (total + 0.1 * (distinct + 1)))
     in_head = max(1, sum(head["n"].to_pylist()))
-    frequent = {w: (log_of(c), SHARE * c / in_head) for w, c in zip(head["word"].to_pylist(), head["n"].to_pylist())}
-    sent = sc.broadcast((weights, vocabulary, frequent))
+    frequent = {w: i for i, w in enumerate(head["word"].to_pylist())}
+    # The last place is that of all other words.
+    base_log = np.array([*map(log_of, head["n"].to_pylist()), 0.0])
+    direct = np.append(head["n"].to_numpy() * (SHARE / in_head), 0.0)
+    sent = sc.broadcast((prepared(weights), vocabulary, frequent, base_log, direct))
     share = SHARE if frequent else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p, v, known = sent.value
-        table = subwords(path)
+        p, v, frequent, base_log, direct = sent.value
+        known, table = Frequent(frequent), subwords(path)
         names = [f.split()[0] for f in SCORED.split(", ")]
         for b in batches:
             at = 0
-            for texts in blocks(b.column(3), 200_000):
-                words = [[*words_of(t), END] for t in texts]
+            for texts in blocks(b.column(3).cast(pa.binary()), 400_000):
+                words = [words_of(t) for t in texts]
+                for own in words:
+                    own.append(END)
                 flat = [w for own in words for w in own]
                 each = np.array([len(own) for own in words])
                 first = np.cumsum(each) - each
                 parts = [table[w] for w in flat]
-                length = np.array([len(q) // 4 for q in parts])
+                length = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
                 ids = np.frombuffer(b"".join(parts), dtype="<u4").astype(np.int64)
-                ends = np.add.reduceat(length, first)
                 begins = np.cumsum(length) - length
                 inner = np.ones(len(ids), dtype=bool)
                 inner[begins] = False
-                logs = log_tokens(p, v, np.split(ids, np.cumsum(ends)[:-1]), inner)
+                ends = np.cumsum(np.add.reduceat(length, first))
+                logs = log_tokens(p, v, np.split(ids, ends[:-1]), inner)
                 by_word = np.add.reduceat(logs.astype(np.float64), begins)
-                found = [known.get(w) for w in flat]
-                base = np.array([f[0] if f else 0.0 for f in found])
-                direct = np.array([f[1] if f else 0.0 for f in found])
-                mixed = np.log10(direct + (1 - share) * np.exp(np.maximum(by_word, -600)))
+                found = np.fromiter(map(known.__getitem__, flat), dtype=np.int64, count=len(flat))
+                mixed = np.log10(direct[found] + (1 - share) * np.exp(np.maximum(by_word, -600)))
+                total_of = lambda values, first=first: pa.array(np.add.reduceat(values, first))
                 rows = b.column(0).slice(at, len(texts))
-                none = pa.nulls(len(texts), pa.string())
                 yield pa.RecordBatch.from_arrays([
                     rows, b.column(1).slice(at, len(texts)), b.column(2).slice(at, len(texts)), pa.array(each),
-                    pa.array(np.add.reduceat(np.array([f is not None for f in found], dtype=np.int64), first)),
-                    pa.array(np.add.reduceat(base, first)), pa.array(np.add.reduceat(mixed, first)),
-                    none, pa.nulls(len(texts), pa.int64())], names)
+                    total_of((found >= 0).astype(np.int64)), total_of(base_log[found]), total_of(mixed),
+                    pa.nulls(len(texts), pa.binary())], names)
                 # Words that are not among the frequent ones get their counts by a join.
-                rest = [i for i, f in enumerate(found) if f is None]
-                null = lambda kind: pa.nulls(len(rest), kind)
-                text = np.repeat(np.arange(len(texts)), each)[np.array(rest, dtype=np.int64)]
+                rest = np.flatnonzero(found < 0)
+                kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
                 yield pa.RecordBatch.from_arrays([
-                    rows.take(pa.array(text)), null(pa.int64()), null(pa.bool_()), null(pa.int64()),
-                    null(pa.int64()), null(pa.float64()), null(pa.float64()),
-                    pa.array([flat[i] for i in rest], pa.string()), pa.array(np.ones(len(rest), dtype=np.int64))], names)
+                    rows.take(pa.array(np.repeat(np.arange(len(texts)), each)[rest])),
+                    *[pa.nulls(len(rest), kind) for kind in kinds],
+                    pa.array([flat[i] for i in rest.tolist()], pa.binary())], names)
                 at += len(texts)
 
     scored = common.written(docs.select(
@@ -437,8 +496,8 @@ def score(docs: DataFrame, path: str) -> DataFrame:
     seen = counts.select(F.col("word").alias("seen"), F.col("n").alias("c"))
     rare = scored.where("word IS NOT NULL").join(seen, F.col("word") == F.col("seen"), "left")
     rest = rare.groupBy(F.col("row").alias("of")).agg(
-        F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(total + 0.1 * (distinct + 1)))).alias("rest_log"),
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rest_known"))
+        F.sum(F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(total + 0.1 * (distinct + 1)))).alias("rest_log"),
+        F.count("c").alias("rest_known"))
     return scored.where("word IS NULL").join(rest, F.col("row") == F.col("of"), "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),

@@ -242,9 +242,13 @@ def test_windows_score_each_token_once():
         def log_within(self, ids, inner):
             return np.zeros(len(ids), np.float32)
 
-    p, rng = lm.start(Ids), np.random.default_rng(4)
+    weights, rng = lm.start(Ids), np.random.default_rng(4)
+    p = lm.prepared(weights)
     texts = [rng.integers(0, 100, n) for n in (1, 5, lm.WINDOW, lm.WINDOW + 1, 200)]
     ids = np.concatenate(texts)
     together = lm.log_tokens(p, Ids(), texts, np.zeros(len(ids), bool))
     apart = np.concatenate([lm.log_tokens(p, Ids(), [t], np.zeros(len(t), bool)) for t in texts])
     assert len(together) == len(ids) and np.allclose(together, apart, atol=1e-4)
+    window = lm.windows_of(Ids.inputs[texts[2]], [0], lm.KNOWN_IDS + lm.SPARE)
+    plain = lm.log_classes(weights, lm.attend(weights, window)[0][0])[np.arange(lm.WINDOW), Ids.classes[texts[2]]]
+    assert np.allclose(together[6:6 + lm.WINDOW], plain, atol=1e-4)
