@@ -12,7 +12,7 @@ from collections.abc import Callable
 import numpy as np
 from tokenizers import Tokenizer
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 # Signs that end words.
 SIGNS = ".,;:!?|&$%#*)]}\""
