@@ -158,10 +158,8 @@ def append_changes(
 
 def read_dim(spark: SparkSession, table: str) -> DataFrame:
     """The present image of a dimension table."""
-    columns, stored = dim_columns(spark, table), spark.table(table)
-    if len(_versions(spark, table)) <= 1:
-        return stored.select(*columns)
-    return fold_versions(stored, dim_key(spark, table), columns).select(*columns)
+    columns = dim_columns(spark, table)
+    return fold_versions(spark.table(table), dim_key(spark, table), columns).select(*columns)
 
 
 def compact_dim(spark: SparkSession, table: str) -> None:

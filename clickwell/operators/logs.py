@@ -55,7 +55,8 @@ def first_claims(log: DataFrame) -> DataFrame:
     """First day each visitor claimed to be new. Combined map-side, so one busy visitor
     reaches the shuffle as one row per task."""
     claims = log.where(F.col("is_new") == "1")
-    return claims.groupBy("mid").agg(F.min(day_text("ts", "yyyyMMdd")).alias("first_day"))
+    firsts = claims.groupBy("mid").agg(F.min("ts").alias("ts"))
+    return firsts.select("mid", day_text("ts", "yyyyMMdd").alias("first_day"))
 
 
 def _text_with_flag(flag: str):

@@ -13,24 +13,34 @@ from clickwell.schemas import JOIN_BOUND_MS, ORDER_DETAIL, ORDER_INFO, WIDE_FACT
 
 
 def _parse(lines: DataFrame, layout: str, strict: bool) -> DataFrame:
+    """Typed order records, `value` kept. Numbers are read as text first, so quoted ones count."""
     # Routed facts arrive as change records with the row under `data`; bare rows work too.
-    row = T.StructType.fromDDL(layout)
+    kinds = T.StructType.fromDDL(layout)
+    row = T.StructType([T.StructField(field.name, T.StringType()) for field in kinds.fields])
     either = T.StructType([*row.fields, T.StructField("data", row)])
     parsed = records.with_once(lines, "_r", records.parse_json("value", either, strict))
     routed = F.col("_r.data").isNotNull()
     fields = [
-        F.when(routed, F.col(f"_r.data.{name}")).otherwise(F.col(f"_r.{name}")).alias(name)
-        for name in row.fieldNames()
+        F.when(routed, F.col(f"_r.data.{field.name}")).otherwise(F.col(f"_r.{field.name}"))
+        .try_cast(field.dataType).alias(field.name)
+        for field in kinds.fields
     ]
-    return parsed.select(*fields).where("id IS NOT NULL")
+    return parsed.select("value", *fields)
 
 
 def parse_order_info(lines: DataFrame, strict: bool = False) -> DataFrame:
-    return _parse(lines, ORDER_INFO, strict)
+    return _parse(lines, ORDER_INFO, strict).where("id IS NOT NULL").drop("value")
 
 
 def parse_order_detail(lines: DataFrame, strict: bool = False) -> DataFrame:
-    return _parse(lines, ORDER_DETAIL, strict)
+    return _parse(lines, ORDER_DETAIL, strict).where("id IS NOT NULL").drop("value")
+
+
+def order_rejects(lines: DataFrame, layout: str) -> DataFrame:
+    """(value, reason) of the order texts that the parsers and the event time leave out."""
+    parsed = _parse(lines, layout, False)
+    reason = F.when(F.col("id").isNull(), "no_id").when(parse_time("create_time").isNull(), "no_time")
+    return parsed.select("value", reason.alias("reason")).where("reason IS NOT NULL")
 
 
 def order_event_time(rows: DataFrame, precision: str = "exact") -> DataFrame:
@@ -102,7 +112,8 @@ def order_wide(
 
 def order_wide_merge(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Complete wide records from a second source: per column the first non-null wins, `left`
-    before `right`. Records without a key are passed through, each on its own.
+    before `right`, of several on one side the smallest. Records without a key are passed
+    through, each on its own.
 
     Written as an aggregation over both inputs, not as a full join: records of a key that is
     repeated, once or very often, are combined in the map tasks and never paired.
@@ -113,7 +124,7 @@ def order_wide_merge(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     names = [name for name in both.columns if name not in (key, "_side")]
     alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
     merged = both.withColumn("_alone", alone).groupBy(key, "_alone").agg(*[
-        F.min_by(name, F.when(F.col(name).isNotNull(), F.col("_side"))).alias(name) for name in names
+        F.min_by(name, F.when(F.col(name).isNotNull(), F.struct("_side", name))).alias(name) for name in names
     ])
     return merged.select(*[name for name in both.columns if name != "_side"])
 

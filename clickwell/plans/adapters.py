@@ -229,7 +229,7 @@ def dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_sku(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`part` as SKUs: the size is the SPU, the brand the trademark, the type the category."""
     part = read_table(spark, sf_dir, "part")
-    tm_id = F.substring("p_brand", 7, 10).cast("bigint")
+    tm_id = F.expr("substr(p_brand, 7)").cast("bigint")
     category_id = (F.length("p_type") * 100 + F.ascii("p_type")).cast("bigint")
     sku = part.select(
         F.col("p_partkey").alias("id"), F.col("p_size").cast("bigint").alias("spu_id"),

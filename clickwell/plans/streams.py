@@ -1,12 +1,19 @@
 """Streaming jobs as queries: land a topic from the test tables, work it off, read the sink.
 
-The landed topic is followed by one record far in the future, which moves the watermark past
-all real ones, so that the last sessions, days and undecided records come out too.
+A topic is landed in BATCHES files of successive time ranges, each read as a micro-batch of its
+own. Where a job takes a delay, records are up to DISORDER_MS out of order within and across the
+files. The first half is worked off by one run and the rest by another, which resumes from the
+checkpoint. The topic is followed by one record far in the future, which moves the
+watermark past all real ones, so that the last sessions, days and undecided records come out too.
+A run fails if a stateful operator drops a row as late.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from clickwell.operators import dims, logs
 from clickwell.plans import adapters
@@ -15,12 +22,17 @@ from clickwell.schemas import (
     TOPIC_DISPLAY, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO, TOPIC_ORDER_WIDE, TOPIC_PAGE, TOPIC_RAW_DB,
     TOPIC_RAW_LOG, TOPIC_START, TOPIC_UNIQUE_VISIT, TOPIC_USER_JUMP,
 )
-from clickwell.session import run_dir
+from clickwell.session import run_dir, tune
 from clickwell.sources.topics import Topics, read_topic, write_topic
 from clickwell.streaming import jobs
 from clickwell.streaming.batches import TOPIC_IN_TIME
 
 ONCE = {"availableNow": True}
+ONE_FILE = {"maxFilesPerTrigger": "1"}
+BATCHES = 4
+DISORDER_MS = adapters.HOUR_MS
+DELAY = "1 hour"
+STATE_PARTITIONS = 8
 END_TS = 4_102_444_800_000
 END_MID = "end-of-log"
 END_PAGE = f'{{"common":{{"mid":"{END_MID}"}},"page":{{"page_id":"end"}},"ts":{END_TS}}}'
@@ -30,21 +42,56 @@ def folder_topics(root: str) -> Topics:
     return Topics(format="parquet", root=f"{root}/topics")
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one run. On a single machine the state is kept in no more partitions
-    than it has cores: each is a state store of its own, and streams do not coalesce them."""
-    context = spark.sparkContext
-    if context.master.startswith("local"):
-        fitting = min(int(spark.conf.get("spark.sql.shuffle.partitions")), context.defaultParallelism)
-        spark.conf.set("spark.sql.shuffle.partitions", str(fitting))
-    return run_dir(spark, name)
+def job_session(spark: SparkSession, state_partitions: int = STATE_PARTITIONS) -> SparkSession:
+    """A session for a job, so that the caller's keeps its settings. Each state partition is a
+    store of its own that every micro-batch opens: their number is a parameter of the job."""
+    own = tune(spark.newSession())
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    return own
+
+
+def land(
+    rows: DataFrame, topics: Topics, topic: str, at: Column, disorder_ms: int = DISORDER_MS, end: str | None = None
+) -> Callable[[], None]:
+    """Land the first half of `value` texts by their time `at`, moved by up to `disorder_ms` per
+    record; what is returned lands the rest."""
+    moved = F.coalesce(at, F.lit(0)) + (F.pmod(F.xxhash64("value"), F.lit(disorder_ms)) if disorder_ms else F.lit(0))
+    rows = rows.select("value", moved.alias("_at"))
+    cuts = rows.agg(F.percentile_approx("_at", [i / BATCHES for i in range(1, BATCHES)], 10_000)).first()[0] or []
+    part = sum((F.col("_at") > cut).cast("int") for cut in cuts) + F.lit(0)
+
+    def write(parts: range) -> None:
+        for i in parts:
+            write_topic(rows.where(part == i).coalesce(1), topics, topic, i)
+
+    def rest() -> None:
+        write(range(BATCHES // 2, len(cuts) + 1))
+        if end is not None:
+            write_topic(rows.sparkSession.range(1).select(F.lit(end).alias("value")), topics, topic, len(cuts) + 1)
+
+    write(range(min(BATCHES // 2, len(cuts) + 1)))
+    return rest
+
+
+def work_off(start: Callable[[], StreamingQuery], *rests: Callable[[], None]) -> None:
+    """Run a job until its topics are worked off, land the rest, and resume from the checkpoint.
+    No stateful operator may have dropped a row."""
+    progress = []
+    for lands in ((), rests):
+        for rest in lands:
+            rest()
+        query = start()
+        query.awaitTermination()
+        progress += query.recentProgress
+    for p in progress:
+        dropped = sum(s["numRowsDroppedByWatermark"] for s in p["stateOperators"])
+        if dropped:
+            raise RuntimeError(f"batch {p['batchId']} of {p['name']} dropped {dropped} late rows")
 
 
-def land(rows: DataFrame, topics: Topics, topic: str, end: str | None = None) -> None:
-    write_topic(rows, topics, topic, "0-data")
-    if end is not None:
-        spark = rows.sparkSession
-        write_topic(spark.range(1).select(F.lit(end).alias("value")), topics, topic, "1-end")
+def time_in(field: str = "ts") -> Column:
+    return F.get_json_object("value", f"$.{field}").try_cast("bigint")
 
 
 def page_text() -> Column:
@@ -53,8 +100,8 @@ def page_text() -> Column:
     )).alias("value")
 
 
-def land_pages(spark: SparkSession, sf_dir: str, topics: Topics) -> None:
-    land(adapters.page_log(spark, sf_dir).select(page_text()), topics, TOPIC_PAGE, END_PAGE)
+def land_pages(spark: SparkSession, sf_dir: str, topics: Topics) -> Callable[[], None]:
+    return land(adapters.page_log(spark, sf_dir).select(page_text()), topics, TOPIC_PAGE, time_in(), end=END_PAGE)
 
 
 def read_log(spark: SparkSession, topics: Topics, topic: str) -> DataFrame:
@@ -63,10 +110,12 @@ def read_log(spark: SparkSession, topics: Topics, topic: str) -> DataFrame:
 
 
 def _base_log(spark: SparkSession, sf_dir: str, name: str) -> Topics:
-    root = work_dir(spark, name)
+    root = run_dir(spark, name)
     topics = folder_topics(root)
-    land(adapters.app_log(spark, sf_dir).select("value"), topics, TOPIC_RAW_LOG)
-    jobs.log_job(spark, topics, f"{root}/state", ONCE).awaitTermination()
+    # The flag goes by what came first, so the files are in order of time.
+    rest = land(adapters.app_log(spark, sf_dir).select("value"), topics, TOPIC_RAW_LOG, time_in(), disorder_ms=0)
+    own = job_session(spark)
+    work_off(lambda: jobs.log_job(own, topics, f"{root}/state", ONCE, **ONE_FILE), rest)
     return topics
 
 
@@ -93,10 +142,12 @@ def stream_log_split(spark, sf_dir):
 
 @query
 def stream_unique_visit(spark, sf_dir):
-    root = work_dir(spark, "unique-visit")
+    root = run_dir(spark, "unique-visit")
     topics = folder_topics(root)
-    land_pages(spark, sf_dir, topics)
-    jobs.unique_visit_job(spark, topics, f"{root}/state", ONCE, emit="day_end").awaitTermination()
+    rest = land_pages(spark, sf_dir, topics)
+    own = job_session(spark)
+    work_off(lambda: jobs.unique_visit_job(
+        own, topics, f"{root}/state", ONCE, emit="day_end", delay=DELAY, **ONE_FILE), rest)
     return logs.log_dates(read_log(spark, topics, TOPIC_UNIQUE_VISIT)).select(
         "mid", "page_id", "ts", F.col("day_dashed").alias("visit_day")
     )
@@ -104,19 +155,21 @@ def stream_unique_visit(spark, sf_dir):
 
 @query
 def stream_jump(spark, sf_dir):
-    root = work_dir(spark, "jump")
+    root = run_dir(spark, "jump")
     topics = folder_topics(root)
-    land_pages(spark, sf_dir, topics)
-    jobs.bounce_job(spark, topics, f"{root}/state", BOUNCE_MS, ONCE).awaitTermination()
+    rest = land_pages(spark, sf_dir, topics)
+    own = job_session(spark)
+    work_off(lambda: jobs.bounce_job(own, topics, f"{root}/state", BOUNCE_MS, ONCE, DELAY, **ONE_FILE), rest)
     return read_log(spark, topics, TOPIC_USER_JUMP).select("mid", "page_id", "ts")
 
 
 @query
 def stream_jump_in_time(spark, sf_dir):
-    root = work_dir(spark, "jump-in-time")
+    root = run_dir(spark, "jump-in-time")
     topics = folder_topics(root)
-    land_pages(spark, sf_dir, topics)
-    jobs.jump_job(spark, topics, f"{root}/state", BOUNCE_MS, trigger=ONCE).awaitTermination()
+    rest = land_pages(spark, sf_dir, topics)
+    own = job_session(spark)
+    work_off(lambda: jobs.jump_job(own, topics, f"{root}/state", BOUNCE_MS, DISORDER_MS, ONCE, **ONE_FILE), rest)
     outputs = {"bounce": TOPIC_USER_JUMP, "in_time": TOPIC_IN_TIME}
     rows = [
         read_log(spark, topics, topic).select(F.lit(kind).alias("kind"), "mid", "page_id", "ts")
@@ -127,14 +180,17 @@ def stream_jump_in_time(spark, sf_dir):
 
 @query
 def stream_interval_join(spark, sf_dir):
-    root = work_dir(spark, "interval-join")
+    root = run_dir(spark, "interval-join")
     topics = folder_topics(root)
+    rests = []
     for topic, rows in (
         (TOPIC_ORDER_INFO, adapters.order_info(spark, sf_dir)),
         (TOPIC_ORDER_DETAIL, adapters.order_detail(spark, sf_dir)),
     ):
-        land(rows.select(F.to_json(F.struct("*")).alias("value")), topics, topic)
-    jobs.order_wide_job(spark, topics, f"{root}/state", -JOIN_MS, JOIN_MS, trigger=ONCE).awaitTermination()
+        rests.append(land(rows.select(F.to_json(F.struct("*")).alias("value")), topics, topic, time_in("create_ts")))
+    own = job_session(spark)
+    work_off(lambda: jobs.order_wide_job(
+        own, topics, f"{root}/state", -JOIN_MS, JOIN_MS, trigger=ONCE, delay=DELAY, **ONE_FILE), *rests)
     values = read_topic(spark, topics, TOPIC_ORDER_WIDE, stream=False)
     wide = F.from_json("value", "order_id BIGINT, detail_id BIGINT, sku_id BIGINT, create_time STRING")
     return values.select(wide.alias("w")).select("w.*")
@@ -143,13 +199,13 @@ def stream_interval_join(spark, sf_dir):
 @query
 def stream_cdc_route(spark, sf_dir):
     """Fact messages, and the rows of the dimension tables, one column value per row."""
-    root = work_dir(spark, "cdc-route")
+    root = run_dir(spark, "cdc-route")
     topics = folder_topics(root)
-    land(adapters.cdc_log(spark, sf_dir), topics, TOPIC_RAW_DB)
+    rest = land(adapters.cdc_log(spark, sf_dir), topics, TOPIC_RAW_DB, time_in())
     schema, location = "dim_" + root.rsplit("-", 1)[1], f"{root}/dims"
-    jobs.change_job(
-        spark, topics, adapters.route_config, schema, f"{root}/state", location, ONCE
-    ).awaitTermination()
+    own = job_session(spark)
+    work_off(lambda: jobs.change_job(
+        own, topics, adapters.route_config, schema, f"{root}/state", location, ONCE, **ONE_FILE), rest)
 
     facts = [
         read_topic(spark, topics, topic, stream=False).select(
@@ -164,11 +220,12 @@ def stream_cdc_route(spark, sf_dir):
     for sink_table in ("dim_customer", "dim_part"):
         table = dims.dim_table_name(schema, sink_table)
         columns = [c for c in dims.dim_columns(spark, table) if c != "id"]
-        image = dims.fold_versions(spark.read.parquet(f"{location}/{sink_table.upper()}"), "id", ["id", *columns])
+        image = dims.read_dim(spark, table)
         entries = F.map_from_arrays(F.array(*[F.lit(c) for c in ["id", *columns]]), F.array("id", *columns))
         rows = rows.unionByName(image.select(
             F.lit(sink_table).alias("sink_table"), F.col("id").cast("bigint").alias("id"),
             F.explode(entries).alias("column_name", "column_value"),
         ).where("column_value IS NOT NULL"))
+    rows.write.parquet(f"{root}/result")
     spark.sql(f"DROP SCHEMA {schema} CASCADE")
-    return rows
+    return spark.read.parquet(f"{root}/result")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +17,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Of a key that a JSON object repeats, the last entry counts.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Sessions of one visitor are merged inside each map task before the shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.stateStore.providerClass":
@@ -41,16 +46,23 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder. A private one is made only where none is configured."""
+    """The cluster's shared folder. Where none is configured it is one of our own below the
+    warehouse, which all executors reach as well; on a local disk it goes with the process."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    made = tempfile.mkdtemp(prefix="clickwell-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    application = spark.sparkContext.applicationId
+    if application not in _own_dirs:
+        own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work-{uuid.uuid4().hex[:12]}"
+        place = urlparse(own)
+        if place.scheme in ("", "file"):
+            atexit.register(shutil.rmtree, place.path, ignore_errors=True)
+        _own_dirs[application] = own
+    return _own_dirs[application]
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

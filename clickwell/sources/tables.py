@@ -7,13 +7,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickwell.schemas import ROUTE_CONFIG
 
-# The routing configuration has one row per (table, operation) of the source database. Up to
-# this many rows it is held as a local relation; a larger one stays a distributed table.
-MAX_LOCAL_ROUTES = 10_000
 
-
-def jdbc_options(url: str, query: str, **options: str) -> dict[str, str]:
-    return {"url": url, "query": query, **options}
+def jdbc_options(
+    url: str, query: str, split_by: str | None = None, lower: object = None, upper: object = None,
+    splits: int = 1, **options: str,
+) -> dict[str, str]:
+    """Reader options of a query. With `split_by` (a number, date or timestamp column of it) and
+    its bounds, `splits` tasks read a range each; rows beyond the bounds go to the outer ranges."""
+    if split_by is None:
+        return {"url": url, "query": query, **options}
+    if lower is None or upper is None or splits < 1:
+        raise ValueError("a split query needs bounds and at least one split")
+    return {
+        "url": url, "dbtable": f"({query}) t", "partitionColumn": split_by, "lowerBound": str(lower),
+        "upperBound": str(upper), "numPartitions": str(splits), **options,
+    }
 
 
 def camel_case(name: str) -> str:
@@ -26,7 +34,7 @@ def camel_columns(rows: DataFrame) -> DataFrame:
     return rows.withColumnsRenamed({name: camel_case(name) for name in rows.columns})
 
 
-def query_list(spark: SparkSession, url: str, query: str, to_camel: bool = False, **options: str) -> DataFrame:
+def query_list(spark: SparkSession, url: str, query: str, to_camel: bool = False, **options) -> DataFrame:
     """Rows of a query, with all the columns it returns."""
     rows = spark.read.format("jdbc").options(**jdbc_options(url, query, **options)).load()
     return camel_columns(rows) if to_camel else rows
@@ -42,19 +50,15 @@ def local_rows(spark: SparkSession, rows: list[dict], ddl: str) -> DataFrame:
     return spark.createDataFrame(arrow, schema=schema)
 
 
-def read_route_config(config: DataFrame, max_local: int = MAX_LOCAL_ROUTES) -> DataFrame:
-    """Read the routing configuration afresh; `row_no` keeps its row order. An empty
-    configuration is an error."""
+def read_route_config(config: DataFrame) -> DataFrame:
+    """The routing configuration; `row_no` keeps its row order. An empty one is an error."""
     names = [part.split()[0] for part in ROUTE_CONFIG.split(",")]
     if "row_no" not in config.columns:
         config = config.withColumn("row_no", F.monotonically_increasing_id())
     config = config.select(*names, F.col("row_no").cast("bigint").alias("row_no"))
-    head = config.limit(max_local + 1).collect()
-    if not head:
+    if config.isEmpty():
         raise ValueError("the routing configuration is empty")
-    if len(head) > max_local:
-        return config
-    return local_rows(config.sparkSession, [row.asDict() for row in head], f"{ROUTE_CONFIG}, row_no BIGINT")
+    return config
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -13,6 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickwell.schemas import TOPIC_DEFAULT
 
+# Room for the positions of one written batch: 1,024 tasks of 2^33 rows.
+BATCH_POSITIONS = 1 << 43
+
 
 @dataclass(frozen=True)
 class Topics:
@@ -42,7 +45,10 @@ def read_topic(
         value = F.col("value").cast("string").alias("value")
         return rows.select(value, "offset", F.col("timestamp").alias("arrival"))
     rows = reader.format("parquet").schema("value STRING, offset BIGINT").load(topics.folder(topic))
-    return rows.select("value", "offset", F.col("_metadata.file_modification_time").alias("arrival"))
+    # Positions count within the batch that wrote them; batches follow each other by number.
+    batch = F.regexp_extract("_metadata.file_path", r"batch_id=(\d+)", 1).try_cast("bigint")
+    position = F.coalesce(batch, F.lit(0)) * BATCH_POSITIONS + F.col("offset")
+    return rows.select("value", position.alias("offset"), F.col("_metadata.file_modification_time").alias("arrival"))
 
 
 def _positioned(rows: DataFrame, *names: str) -> DataFrame:

@@ -15,9 +15,10 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickwell.functions import records
 from clickwell.operators import cdc, dims, logs, visits
-from clickwell.schemas import BOUNCE_MS, MIN_COLUMNS, TOPIC_DISPLAY, TOPIC_PAGE, TOPIC_START, TOPIC_USER_JUMP
-from clickwell.session import drop_folder
+from clickwell.schemas import BOUNCE_MS, DEFAULT_KEY, MIN_COLUMNS, ROUTE_CONFIG, TOPIC_DISPLAY, TOPIC_PAGE, TOPIC_START, TOPIC_USER_JUMP
+from clickwell.session import drop_folder, files_at
 from clickwell.sources.tables import read_route_config
 from clickwell.sources.topics import Topics, write_routed, write_topic
 
@@ -108,23 +109,31 @@ class LogStep:
 @dataclass
 class ChangeStep:
     """Change records to fact topics and dimension tables, by a configuration that is read
-    again for every micro-batch; the rest to quarantine."""
+    again for every micro-batch; the rest to quarantine.
+
+    The configuration of a batch is written below `snapshots` before it is used, so all its uses
+    and a replay of the batch see the same one. Changes of one key apply in order of arrival,
+    within a batch and across batches.
+    """
 
     topics: Topics
     load_config: Callable[[SparkSession], DataFrame]
     schema: str
+    snapshots: str
     location: str | None = None
     min_columns: int = MIN_COLUMNS
     compact_every: int = 100
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch_session(batch)
-        routes = cdc.route_table(read_route_config(self.load_config(spark)))
-        tables = self.dim_tables(spark, routes)
+        routes = cdc.route_table(self.config_of(spark, batch_id))
         parsed = cdc.cdc_normalize(cdc.parse_cdc(batch.select("value", "offset")))
         with_fault = parsed.withColumn("fault", cdc.fault(self.min_columns))
         projected = cdc.cdc_project(cdc.cdc_classify(with_fault, routes))
         target = F.coalesce("fault", "target")
+        key = F.coalesce(F.nullif("sink_pk", F.lit("")), F.lit(DEFAULT_KEY))
+        keyless = (target == "dim") & (F.size("data") > 0) & records.text_of(F.try_element_at("data", key)).isNull()
+        target = F.when(keyless, "no_key").otherwise(target)
         outcome = projected.select(
             target.alias("target"), "sink_table", "ts", "offset",
             F.when(target == "fact", cdc.fact_text()).otherwise(F.col("value")).alias("value"),
@@ -132,9 +141,9 @@ class ChangeStep:
         )
         with kept(outcome) as outcome:
             changes = outcome.where("target = 'dim' AND size(data) > 0")
-            for sink_table, table in tables.items():
+            for sink_table, table in self.dim_tables(spark, routes, changes).items():
                 own = changes.where(F.col("sink_table") == sink_table)
-                dims.append_changes(spark, table, own, batch_id, order=("ts", "offset"))
+                dims.append_changes(spark, table, own, batch_id, order=("offset",))
                 if batch_id % self.compact_every == self.compact_every - 1:
                     dims.compact_dim(spark, table)
             rejected = outcome.where("target NOT IN ('fact', 'dim')")
@@ -143,13 +152,28 @@ class ChangeStep:
             facts = outcome.where("target = 'fact'").withColumnRenamed("sink_table", "topic")
             write_routed(facts, self.topics, batch_id)
 
-    def dim_tables(self, spark: SparkSession, routes: DataFrame) -> dict[str, str]:
-        """Create the configured dimension tables: sink table to table name. Columns of all
-        operations of a sink table are put together."""
+    def config_of(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The configuration as it was when the batch was first worked on."""
+        path = f"{self.snapshots}/batch_id={batch_id}"
+        files, done = files_at(spark, f"{path}/_SUCCESS")
+        if not files.exists(done):
+            read_route_config(self.load_config(spark)).write.mode("overwrite").parquet(path)
+        drop_folder(spark, f"{self.snapshots}/batch_id={batch_id - 2}")
+        return spark.read.schema(f"{ROUTE_CONFIG}, row_no BIGINT").parquet(path)
+
+    def dim_tables(self, spark: SparkSession, routes: DataFrame, changes: DataFrame) -> dict[str, str]:
+        """The dimension tables that a batch changes, created on demand: sink table to table
+        name. Columns of all operations of a sink table are put together; where an operation
+        keeps all columns, those seen in the batch are added."""
+        seen = changes.select("sink_table", F.explode(F.map_keys("data")).alias("name")).groupBy("sink_table").agg(
+            F.sort_array(F.collect_set("name")).alias("seen"))
         wanted = routes.where("target = 'dim'").groupBy("sink_table").agg(
-            F.array_join(F.array_distinct(F.flatten(F.collect_list(F.split("sink_columns", ",")))), ","),
-            F.max("sink_pk"), F.max("sink_extend"),
-        )
+            F.flatten(F.collect_list(F.split("sink_columns", ","))).alias("listed"),
+            F.max(records.is_blank("sink_columns")).alias("whole"),
+            F.max("sink_pk").alias("pk"), F.max("sink_extend").alias("extend"),
+        ).join(seen, "sink_table").select(
+            "sink_table", F.array_join(F.array_distinct(F.when(
+                F.col("whole"), F.concat("listed", "seen")).otherwise(F.col("listed"))), ","), "pk", "extend")
         return {
             sink: dims.ensure_dim_table(spark, self.schema, sink, columns, pk, extend, self.location)
             for sink, columns, pk, extend in wanted.collect()
@@ -179,7 +203,9 @@ class JumpStep:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch_session(batch)
-        fresh = logs.log_valid(logs.parse_log(batch.select("value", "offset")))
+        parsed = logs.parse_log(batch.select("value", "offset"))
+        write_topic(logs.log_rejects(parsed), self.topics, TOPIC_LOG_REJECTS, f"{batch_id}-jump")
+        fresh = logs.log_valid(parsed)
         arrival = F.struct(F.lit(batch_id).cast("bigint").alias("batch"), "offset")
         fresh = fresh.withColumn("seq", arrival).select(*self.FIELDS)
         with kept(fresh) as fresh:

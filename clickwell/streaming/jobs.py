@@ -58,7 +58,7 @@ def change_job(
 ) -> StreamingQuery:
     """Database changes to fact topics and dimension tables."""
     lines = read_topic(tune(spark), topics, TOPIC_RAW_DB, **limits)
-    return run_batches(lines, ChangeStep(topics, load_config, schema, location), "base_db", state, trigger)
+    return run_batches(lines, ChangeStep(topics, load_config, schema, f"{state}/config", location), "base_db", state, trigger)
 
 
 def page_stream(spark: SparkSession, topics: Topics, **limits: str) -> DataFrame:

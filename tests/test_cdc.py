@@ -96,12 +96,6 @@ def test_empty_configuration_is_an_error(spark):
         config(spark)
 
 
-def test_large_configuration_stays_distributed(spark):
-    rows = [dict(source_table=f"t{i}", operate_type="insert", sink_type="KAFKA", sink_table="x", row_no=i) for i in range(20)]
-    table = local_rows(spark, rows, f"{ROUTE_CONFIG}, row_no BIGINT")
-    assert read_route_config(table, max_local=5).count() == 20
-
-
 def test_small_configuration_is_broadcast_by_its_size(spark):
     routes = config(spark, ("t", "insert", "KAFKA", "dwd_t", None, None, None))
     routed = cdc.cdc_route(changes(spark, change()), routes)

@@ -213,13 +213,13 @@ def test_change_job_reads_its_configuration_anew(spark, topics, tmp_path):
     ])
     run()
     table = dims.dim_table_name("stream_dims", "dim_user")
-    assert [tuple(r) for r in dims.read_dim(spark, table).collect()] == [("1", "new", "3")]
+    assert [tuple(r) for r in dims.read_dim(spark, table).collect()] == [("1", "old", "3")]
     assert len(get_texts(spark, topics, TOPIC_DB_REJECTS)) == 2
 
     routes.append(("order", "insert", "KAFKA", "dwd_order", "id", None, None))
     put(spark, topics, TOPIC_RAW_DB, 1, [change("order", 4, id=8, n=1), change("user", 5, id=1, age=4)])
     run()
-    assert [tuple(r) for r in dims.read_dim(spark, table).collect()] == [("1", "new", "4")]
+    assert [tuple(r) for r in dims.read_dim(spark, table).collect()] == [("1", "old", "4")]
     assert [r["data"] for r in get(spark, topics, "dwd_order")] == [{"id": 8}]
     assert len(get_texts(spark, topics, TOPIC_DB_REJECTS)) == 2
     spark.sql("DROP SCHEMA stream_dims CASCADE")
