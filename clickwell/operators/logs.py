@@ -6,25 +6,27 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickwell.functions import records
 from clickwell.functions.clock import day_text
-from clickwell.schemas import LOG_RECORD
+from clickwell.schemas import LOG_CORE, LOG_OPEN
 
 
 def parse_log(lines: DataFrame, strict: bool = False) -> DataFrame:
-    """`value` text to typed columns; the text itself is kept for lossless output.
+    """`value` text to typed columns; the text itself is kept for lossless output. The open
+    parts, start and exposures, are parsed only where they are read.
 
     Bad text gives null columns (or fails the job when `strict`); see `log_valid` and
     `log_rejects`.
     """
-    parsed = records.with_once(lines, "_r", records.parse_json("value", LOG_RECORD, strict))
+    parsed = records.with_once(lines, "_r", records.parse_json("value", LOG_CORE, strict))
+    parsed = parsed.withColumn("_o", records.parse_json("value", LOG_OPEN, strict))
     return parsed.withColumns({
         "mid": F.col("_r.common.mid"),
         "is_new": F.col("_r.common.is_new"),
         "page_id": F.col("_r.page.page_id"),
         "last_page_id": F.col("_r.page.last_page_id"),
         "ts": F.col("_r.ts").try_cast("bigint"),
-        "start": F.col("_r.start"),
-        "display": F.col("_r.display"),
-    }).drop("_r")
+        "start": F.col("_o.start"),
+        "display": F.col("_o.display"),
+    }).drop("_r", "_o")
 
 
 def log_valid(parsed: DataFrame) -> DataFrame:

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 # Behaviour log. Numbers and flags are read as text first, so that quoted and unquoted
 # forms are both accepted; exposures and start objects stay open.
-LOG_RECORD = """
+LOG_CORE = """
     common STRUCT<mid: STRING, is_new: STRING>,
     page STRUCT<page_id: STRING, last_page_id: STRING>,
-    start MAP<STRING, VARIANT>,
-    display ARRAY<MAP<STRING, VARIANT>>,
     ts STRING
 """
+LOG_OPEN = "start MAP<STRING, VARIANT>, display ARRAY<MAP<STRING, VARIANT>>"
 
 # Any JSON object, with every value kept in its own JSON type.
 OPEN_RECORD = "MAP<STRING, VARIANT>"

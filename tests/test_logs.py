@@ -91,7 +91,8 @@ def test_repaired_text_loses_nothing(spark):
     assert json.loads(out[1]) == record
 
 
-def test_text_is_parsed_once(spark):
-    log = logs.page_records(logs.log_valid(logs.parse_log(lines(spark, []))))
-    plan = log.select("mid", "page_id", "ts")._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json") == 1
+def test_each_part_is_parsed_once_and_only_where_read(spark):
+    log = logs.log_valid(logs.parse_log(lines(spark, [])))
+    plan = lambda rows: rows.select("mid", "page_id", "ts")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(log).count("from_json") == 1 and "start" not in plan(log)
+    assert plan(logs.page_records(log)).count("from_json") == 2
