@@ -193,7 +193,7 @@ class Classes:
 
 
 def connect(keys: list[int], classes: list, bags: list[bytes], sides: list[bool] | None = None) -> list[tuple[int, int]]:
-    """Verified links that connect the texts of a block. Texts of one class (from earlier links)
+    """Links that connect the texts of a block, each implied by verified ones. Texts of one class (from earlier links)
     count as connected; with `sides`, only pairs of a text of either side are compared.
 
     A text is compared with one text after another until all of its links inside the block are
@@ -206,7 +206,7 @@ def connect(keys: list[int], classes: list, bags: list[bytes], sides: list[bool]
             found.join(i, known.setdefault(c, i))
     elements = [np.sort(occurrences(np.frombuffer(b, dtype=np.uint64))) for b in bags]
     sizes = np.array([len(e) for e in elements])
-    links = []
+    joined: set[int] = set()
     for i in range(len(keys)):
         for j in range(i):
             if sides is not None and sides[i] == sides[j]:
@@ -217,9 +217,10 @@ def connect(keys: list[int], classes: list, bags: list[bytes], sides: list[bool]
             both = np.sort(np.concatenate([elements[i], elements[j]]), kind="stable")
             shared = int((both[1:] == both[:-1]).sum())
             if shared >= SIMILARITY * (small + large - shared) - 1e-9:
-                links.append((keys[j], keys[i]))
+                joined |= {i, j}
                 found.join(i, j)
-    return links
+    # Linked to the smallest of their class in the block: stars are short ways to walk.
+    return [(keys[found.root(i)], keys[i]) for i in sorted(joined) if found.root(i) != i]
 
 
 def connect_block(rows: pa.Table) -> pa.Table:
@@ -291,8 +292,10 @@ def links_between(texts: DataFrame, winners: DataFrame) -> DataFrame:
         return edges
     # Each block of a large bucket meets the pivot block.
     pivot = large.where("block = 0").withColumn("left", F.col("block"))
-    crossed = cross(large, classes_of(edges), pivot)
-    edges = common.written(edges.unionAll(with_bags(crossed).groupBy("band", "left", "right").applyInArrow(connect_block, EDGES)), "edges")
+    classes = classes_of(edges)
+    crossed = cross(large, classes, pivot)
+    # From here on the classes so far, as stars, stand for the links that made them.
+    edges = common.written(stars(classes).unionAll(with_bags(crossed).groupBy("band", "left", "right").applyInArrow(connect_block, EDGES)), "edges")
     # Texts outside their bucket's main class meet all blocks, in as few blocks as they fill.
     classes = classes_of(edges)
     labelled = large.join(classes.withColumnRenamed("id", "known"), F.col("id") == F.col("known"), "left").withColumn(
@@ -303,7 +306,11 @@ def links_between(texts: DataFrame, winners: DataFrame) -> DataFrame:
     apart = labelled.join(main, F.col("band") == F.col("of")).where(F.col("class") != F.col("main")).withColumn(
         "left", F.pmod(F.xxhash64("id"), F.ceil(F.col("few") / BLOCK))).select(*large.columns, "left")
     crossed = cross(large, classes, common.written(apart, "apart"))
-    return edges.unionAll(with_bags(crossed).groupBy("band", "left", "right").applyInArrow(connect_block, EDGES))
+    return stars(classes).unionAll(with_bags(crossed).groupBy("band", "left", "right").applyInArrow(connect_block, EDGES))
+
+
+def stars(classes: DataFrame) -> DataFrame:
+    return classes.where("id <> class").select(F.col("class").alias("a"), F.col("id").alias("b"))
 
 
 def cross(large: DataFrame, classes: DataFrame, first: DataFrame) -> DataFrame:
