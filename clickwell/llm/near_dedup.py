@@ -267,13 +267,17 @@ def links_between(texts: DataFrame, winners: DataFrame) -> DataFrame:
     of_winner = (F.col("text_key") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("best.doc_id"))
     signed = common.written(texts.select("text_key", "doc_id", "text").mapInArrow(sign, SIGNED).join(
         winners, of_winner).dropDuplicates(["text_key"]).select("id", "bands"), "signed")
-    buckets = signed.select("id", F.explode("bands").alias("band")).repartition("band")
+    # Bands of the first order go first, those of the others later.
+    buckets = signed.select("id", F.posexplode("bands").alias("pos", "band")).select(
+        "id", "band", (F.col("pos") >= BANDS // ORDERS).alias("later")).repartition("band")
     # Buckets of the same members are one bucket: the members' hashes stand for them.
     chosen = buckets.groupBy("band").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("members"),
-        F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("again"),
-    ).where("n > 1").groupBy("n", "members", "again").agg(F.min("band").alias("of")).select("of", "n")
-    members = common.written(buckets.join(chosen, F.col("band") == F.col("of")).select("id", "band", "n"), "buckets")
+        F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("again"), F.min("later").alias("later"),
+    ).where("n > 1").groupBy("n", "members", "again").agg(F.min(F.struct("later", "band")).alias("first")).select(
+        F.col("first.band").alias("of"), F.col("first.later").alias("_later"), "n")
+    members = common.written(buckets.join(chosen, F.col("band") == F.col("of")).select(
+        "id", "band", "n", F.col("_later").alias("later")), "buckets")
     wanted = members.select(F.col("id").alias("wanted")).distinct().join(winners, F.col("wanted") == F.col("id")).select(
         "id", "own", "best")
     # Texts of candidates only go on, each from the one row that stands for it.
@@ -285,16 +289,24 @@ def links_between(texts: DataFrame, winners: DataFrame) -> DataFrame:
 
     n_blocks = F.ceil(F.col("n") / BLOCK)
     blocked = members.withColumn("block", F.pmod(F.xxhash64("id"), n_blocks))
-    inner = with_bags(blocked.withColumn("class", F.lit(None).cast("bigint"))).groupBy("band", "block").applyInArrow(connect_block, EDGES)
-    edges = common.written(inner, "edges")
-    large = blocked.where(n_blocks > 1)
+    early = blocked.where("NOT later").withColumn("class", F.lit(None).cast("bigint"))
+    edges = common.written(with_bags(early).groupBy("band", "block").applyInArrow(connect_block, EDGES), "edges")
+    # A later bucket whose members are of one class by now has nothing to add.
+    classes = classes_of(edges)
+    known = classes.withColumnRenamed("id", "known")
+    late = common.written(blocked.where("later").join(known, F.col("id") == F.col("known"), "left").drop("known").withColumn(
+        "class", F.coalesce("class", "id")), "late")
+    mixed = late.groupBy(F.col("band").alias("of")).agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b")
+    late = common.written(late.join(mixed.select("of"), F.col("band") == F.col("of"), "left_semi"), "mixed")
+    edges = common.written(stars(classes).unionAll(
+        with_bags(late).groupBy("band", "block").applyInArrow(connect_block, EDGES)), "edges")
+    large = early.drop("class").unionAll(late.drop("class")).where(n_blocks > 1)
     if large.isEmpty():
         return edges
     # Each block of a large bucket meets the pivot block.
     pivot = large.where("block = 0").withColumn("left", F.col("block"))
     classes = classes_of(edges)
     crossed = cross(large, classes, pivot)
-    # From here on the classes so far, as stars, stand for the links that made them.
     edges = common.written(stars(classes).unionAll(with_bags(crossed).groupBy("band", "left", "right").applyInArrow(connect_block, EDGES)), "edges")
     # Texts outside their bucket's main class meet all blocks, in as few blocks as they fill.
     classes = classes_of(edges)
@@ -310,6 +322,7 @@ def links_between(texts: DataFrame, winners: DataFrame) -> DataFrame:
 
 
 def stars(classes: DataFrame) -> DataFrame:
+    """Known classes as links: they stand for those that made them."""
     return classes.where("id <> class").select(F.col("class").alias("a"), F.col("id").alias("b"))
 
 
