@@ -5,9 +5,9 @@ there, so ids give the words back). The model has one layer of causal self-atten
 feed-forward part; it predicts the class of the next subword, and corpus counts tell the subword
 within its class, given the subword before it in the word. Frequent subwords are classes of their
 own, the others are clustered by what stands beside them inside words. The classes, the counts of
-pairs and the counts of words are gathered over all training documents. Attention weights are trained on windows of every
-training document, in proportion to its length: shards train in parallel, their weights are
-averaged, several rounds.
+pairs and the counts of words are gathered over all training documents. Attention weights are trained on all training texts
+from end to end, each token being a target at least once: shards train in parallel, their weights
+are averaged, several rounds.
 
 Long texts are scored in overlapping windows: each window after a text's first only scores the
 positions behind the overlap, so each token counts once and sees at least OVERLAP tokens. A
@@ -34,13 +34,12 @@ WINDOW, OVERLAP, WIDTH, HIDDEN = 24, 6, 16, 16
 STRIDE = WINDOW - OVERLAP
 KNOWN_IDS = 2_048  # subwords with an embedding and a class by cluster: the most frequent ones
 SINGLE, CLUSTERS, SPARE = 48, 15, 64
-TEXT_PER_WINDOW = 1_500  # bytes of a training text per window
-CUT = 480  # bytes of a text that a training window is taken from
+CHUNK = 65_536  # training windows a task holds at a time; a shard may have any number of them
 BACKOFF = 10.0  # weight of the class's shares against counts of pairs
 CLASSES = SINGLE + CLUSTERS + 1
 HEAD_WORDS = 100_000  # words whose share of the corpus is sent to all tasks: a bounded table
 SHARE = 0.5  # of that table in the mixture
-ROUNDS, STEPS, EPOCHS, BATCH, RATE = 3, 200, 6, 64, 1e-2
+ROUNDS, STEPS, EPOCHS, BATCH, RATE = 3, 200, 6, 64, 1e-2  # STEPS and EPOCHS bound repeated passes, never the first
 
 COUNTS = "word binary, n bigint"
 SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, head_log double, score double, word binary"
@@ -292,16 +291,23 @@ def gradient(p: dict, tokens: np.ndarray, target: np.ndarray, live: np.ndarray)
     return out
 
 
-def fit(p: dict, tokens: np.ndarray, target: np.ndarray, steps: int, seed: int) -> dict:
-    """Adam over random batches of the windows; -1 marks places without a target."""
+def picks(n: int, seed: int) -> Iterator[np.ndarray]:
+    """Batches of the numbers below n: all of them once, and again while STEPS and EPOCHS allow."""
+    rng = np.random.default_rng(seed)
+    steps = max(-(-n // BATCH), min(STEPS, 1 + EPOCHS * n // BATCH))
+    order = np.concatenate([rng.permutation(n) for _ in range(-(-steps * BATCH // n))])
+    return iter(np.split(order[:steps * BATCH], range(BATCH, steps * BATCH, BATCH)))
+
+
+def fit(p: dict, tokens: np.ndarray, target: np.ndarray, seed: int) -> dict:
+    """Adam over all of the windows in random batches; -1 marks places without a target."""
     p = {name: value.copy() for name, value in p.items()}
     m = {name: np.zeros_like(value) for name, value in p.items()}
     s = {name: np.zeros_like(value) for name, value in p.items()}
-    rng = np.random.default_rng(seed)
-    for step in range(1, steps + 1):
-        pick = rng.integers(0, len(tokens), BATCH)
+    batches = list(picks(len(tokens), seed))
+    for step, pick in enumerate(batches, 1):
         grads = gradient(p, tokens[pick], target[pick], target[pick] >= 0)
-        rate = RATE * min(1, 4 * (1 - step / (steps + 1)))
+        rate = RATE * min(1, 4 * (1 - step / (len(batches) + 1)))
         for name, grad in grads.items():
             m[name] += 0.1 * (grad - m[name])
             s[name] += 0.01 * (grad * grad - s[name])
@@ -316,62 +322,101 @@ def windows_of(ids: np.ndarray, starts: list[int], begin: int) -> np.ndarray:
     return padded[np.asarray(starts)[:, None] + np.arange(WINDOW)]
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary, path: str) -> dict[str, np.ndarray]:
-    """The attention weights: ROUNDS times up to STEPS steps on each shard, averaged after each.
+def encoded(table: Ids, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of texts, ends included; how many each text has; all ids, how many each word has,
+    and where each text's ids end."""
+    words = [words_of(t) for t in texts]
+    for own in words:
+        own.append(END)
+    flat = [w for own in words for w in own]
+    each = np.array([len(own) for own in words])
+    parts = [table[w] for w in flat]
+    length = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
+    ids = np.frombuffer(b"".join(parts), dtype="<u4").astype(np.int64)
+    return flat, each, ids, length, np.cumsum(np.add.reduceat(length, np.cumsum(each) - each))
+
 
-    Each training document gives a window per TEXT_PER_WINDOW bytes, one at least, at places drawn
-    by its id; what is trained on grows with the corpus, and a shard holds one task's windows.
+def laid_out(inputs: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of texts with so many ids each, one text after another: input numbers, and which
+    places are live. Each id is at one live place, in order."""
+    begin = KNOWN_IDS + SPARE
+    many = 1 + np.maximum(0, -(-(sizes - WINDOW) // STRIDE))
+    # Places of all windows among the ids; the input at a place is the token before it.
+    text = np.repeat(np.arange(len(sizes)), many)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
+    within = (nth * STRIDE)[:, None] + np.arange(WINDOW)
+    live = within < sizes[text][:, None]
+    live[nth > 0, :OVERLAP] = False
+    before = (np.cumsum(sizes) - sizes)[text][:, None] + within - 1
+    tokens = np.where((within > 0) & (within <= sizes[text][:, None]), inputs[np.clip(before, 0, len(inputs) - 1)], begin)
+    return tokens, live
+
+
+def training_windows(v: Vocabulary, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Input numbers and target classes of windows over whole texts; each id is a target once."""
+    tokens, live = laid_out(v.inputs[ids], np.diff(ends, prepend=0))
+    target = np.full(tokens.shape, -1, dtype=np.int32)
+    target[live] = v.classes[ids]
+    return tokens.astype(np.int32), target
+
+
+def chunks(windows: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All windows again, CHUNK at a time."""
+    held, n = [], 0
+    for tokens, target in windows:
+        for i in range(0, len(tokens), CHUNK):
+            held.append((tokens[i:i + CHUNK], target[i:i + CHUNK]))
+            n += len(held[-1][0])
+            while n >= CHUNK:
+                whole = [np.concatenate(side) for side in zip(*held)]
+                yield whole[0][:CHUNK], whole[1][:CHUNK]
+                held, n = [(whole[0][CHUNK:], whole[1][CHUNK:])], n - CHUNK
+    if n:
+        tokens, target = (np.concatenate(side) for side in zip(*held))
+        yield tokens, target
+
+
+def train(docs: DataFrame, vocabulary: Vocabulary, path: str, n_ids: int) -> dict[str, np.ndarray]:
+    """The attention weights, averaged over all shards after each of ROUNDS rounds.
+
+    A shard is a read split of the documents, so shards grow in number with the corpus. It trains
+    on all windows of its texts, CHUNK after CHUNK, with as many steps as they fill. The rounds
+    deal the documents among them, so that each is trained on in one; a corpus of few ids
+    (`n_ids`) is trained on whole in every round.
     """
     sc = docs.sparkSession.sparkContext
     sent = sc.broadcast(vocabulary)
-    begin = KNOWN_IDS + SPARE
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, v = subwords(path), sent.value
-        for b in batches:
-            rows = []
-            for seed, t in zip(b.column(0).to_pylist(), utf8(b.column(1))):
-                for k in range(1, 2 + len(t) // TEXT_PER_WINDOW):
-                    # A cut of enough words for a window, from a place anywhere in the text; the
-                    # word at a cut's edge may be part of one and is left out.
-                    at = seed * k % max(1, len(t) - CUT // 2)
-                    part = words_of(t[at:at + CUT])[at > 0:]
-                    part = (part[:-1] if at + CUT < len(t) else [*part, END])[:WINDOW]
-                    held = np.frombuffer(b"".join([table[w] for w in part]), dtype="<u4").astype(np.int64)[:WINDOW]
-                    # Inside a text the window's first token is only context.
-                    target = np.full(WINDOW, -1)
-                    target[:len(held)] = v.classes[held]
-                    if at:
-                        target[0] = -1
-                    tokens = windows_of(v.inputs[held], [0], begin)[0]
-                    rows.append((tokens.astype(np.int32).tobytes(), target.astype(np.int32).tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)], ["tokens", "target"])
-
-    seed = F.pmod(F.xxhash64("doc_id", F.length(common.text_of())), F.lit(1 << 30))
-    windows = common.written(docs.where(learned(F.col("doc_id"))).select(seed, common.text_of()).mapInArrow(
-        cut, "tokens binary, target binary"), "windows")
+    seed = F.pmod(F.xxhash64("doc_id", F.length(common.text_of())), F.lit(ROUNDS))
+    learnt = docs.where(learned(F.col("doc_id")))
+    few = n_ids <= ROUNDS * STEPS * BATCH * STRIDE
     p = start(vocabulary)
     for round_ in range(ROUNDS):
         now = sc.broadcast(p)
 
         def shard(batches: Iterator[pa.RecordBatch], now=now, round_=round_) -> Iterator[pa.RecordBatch]:
-            held = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
-            if not held:
+            table, v, fitted, n = subwords(path), sent.value, now.value, 0
+
+            def windows() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                for b in batches:
+                    for texts in blocks(b.column(0).cast(pa.binary()), 400_000):
+                        _, _, ids, _, ends = encoded(table, texts)
+                        yield training_windows(v, ids, ends)
+
+            for tokens, target in chunks(windows()):
+                fitted = fit(fitted, tokens, target, round_ + n)
+                n += len(tokens)
+            if not n:
                 return
-            rows = pa.concat_tables(held)
-            tokens, target = (
-                np.frombuffer(b"".join(rows[c].to_pylist()), dtype=np.int32).reshape(-1, WINDOW) for c in ("tokens", "target"))
-            steps = min(STEPS, 1 + EPOCHS * len(tokens) // BATCH)
-            fitted = fit(now.value, tokens, target, steps, round_)
-            flat = np.concatenate([fitted[name].ravel() for name in sorted(fitted)]).astype(np.float64) * len(tokens)
+            flat = np.concatenate([fitted[name].ravel() for name in sorted(fitted)]).astype(np.float64) * n
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat),
-                                              pa.array(np.full(len(flat), len(tokens)))], ["place", "value", "n"])
+                                              pa.array(np.full(len(flat), n))], ["place", "value", "n"])
 
         # The average is taken in Spark; the driver gets one set of weights.
-        mean = windows.mapInArrow(shard, "place bigint, value double, n bigint").groupBy("place").agg(
-            (F.sum("value") / F.sum("n")).alias("value")).toArrow()
+        dealt = learnt if few else learnt.where(seed == round_)
+        mean = dealt.select(common.text_of().alias("text")).mapInArrow(shard, "place bigint, value double, n bigint").groupBy(
+            "place").agg((F.sum("value") / F.sum("n")).alias("value")).toArrow()
         if not mean.num_rows:
-            return p
+            continue
         flat = mean["value"].to_numpy()[np.argsort(mean["place"].to_numpy())].astype(np.float32)
         at = 0
         for name in sorted(p):
@@ -384,18 +429,8 @@ def log_tokens(p: dict, v: Vocabulary, texts: list[np.ndarray], inner: np.ndarra
     """Log probabilities of all ids of all texts, one after another, by prepared() weights; `inner` marks the ids that
     continue a word. Windows of several texts go
     through the model together."""
-    begin, ids = KNOWN_IDS + SPARE, np.concatenate(texts)
-    sizes = np.array([len(own) for own in texts])
-    many = 1 + np.maximum(0, -(-(sizes - WINDOW) // STRIDE))
-    inputs = v.inputs[ids]
-    # Places of all windows among the ids; the input at a place is the token before it.
-    text = np.repeat(np.arange(len(texts)), many)
-    nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
-    within = (nth * STRIDE)[:, None] + np.arange(WINDOW)
-    live = within < sizes[text][:, None]
-    live[nth > 0, :OVERLAP] = False
-    before = (np.cumsum(sizes) - sizes)[text][:, None] + within - 1
-    tokens = np.where((within > 0) & (within <= sizes[text][:, None]), inputs[np.clip(before, 0, len(ids) - 1)], begin)
+    ids = np.concatenate(texts)
+    tokens, live = laid_out(v.inputs[ids], np.array([len(own) for own in texts]))
     want = v.classes[ids]
     out, at = np.empty(len(ids), dtype=np.float32), 0
     with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
@@ -440,7 +475,7 @@ def score(docs: DataFrame, path: str) -> DataFrame:
         top.select(F.col("id").alias("b")), "b", "left_semi").select("a", "b", "n").toArrow()
     size = encoding.tokenizer(path).get_vocab_size() + 1
     vocabulary = Vocabulary(size, id_, n_, np.stack([beside[c].to_numpy() for c in ("a", "b", "n")], axis=1))
-    weights = train(docs, vocabulary, path)
+    weights = train(docs, vocabulary, path, int(n_.sum()))
     head = counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).toArrow()
     log_of = lambda c: math.log10((c + 0.1) / (total + 0.1 * (distinct + 1)))
     in_head = max(1, sum(head["n"].to_pylist()))
@@ -458,19 +493,11 @@ def score(docs: DataFrame, path: str) -> DataFrame:
         for b in batches:
             at = 0
             for texts in blocks(b.column(3).cast(pa.binary()), 400_000):
-                words = [words_of(t) for t in texts]
-                for own in words:
-                    own.append(END)
-                flat = [w for own in words for w in own]
-                each = np.array([len(own) for own in words])
+                flat, each, ids, length, ends = encoded(table, texts)
                 first = np.cumsum(each) - each
-                parts = [table[w] for w in flat]
-                length = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
-                ids = np.frombuffer(b"".join(parts), dtype="<u4").astype(np.int64)
                 begins = np.cumsum(length) - length
                 inner = np.ones(len(ids), dtype=bool)
                 inner[begins] = False
-                ends = np.cumsum(np.add.reduceat(length, first))
                 logs = log_tokens(p, v, np.split(ids, ends[:-1]), inner)
                 by_word = np.add.reduceat(logs.astype(np.float64), begins)
                 found = np.fromiter(map(known.__getitem__, flat), dtype=np.int64, count=len(flat))

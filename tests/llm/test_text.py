@@ -252,3 +252,41 @@ def test_windows_score_each_token_once():
     window = lm.windows_of(Ids.inputs[texts[2]], [0], lm.KNOWN_IDS + lm.SPARE)
     plain = lm.log_classes(weights, lm.attend(weights, window)[0][0])[np.arange(lm.WINDOW), Ids.classes[texts[2]]]
     assert np.allclose(together[6:6 + lm.WINDOW], plain, atol=1e-4)
+
+
+def test_training_covers_every_token_of_whole_texts():
+    class Ids:
+        inputs, classes = np.arange(100) % 50, np.arange(100) % lm.CLASSES
+
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(0, 100, n) for n in (1, lm.WINDOW, lm.WINDOW + 1, 5_000)]
+    ids = np.concatenate(texts)
+    tokens, target = lm.training_windows(Ids(), ids, np.cumsum([len(t) for t in texts]))
+    assert (target[target >= 0] == Ids.classes[ids]).all()
+    # As many steps as the windows fill, far more than STEPS, and no window left out.
+    for n in (1, 100, lm.STEPS * lm.BATCH * 3 + 5):
+        batches = list(lm.picks(n, 0))
+        assert set(np.concatenate(batches)) == set(range(n)) and max(map(len, batches)) <= lm.BATCH
+    parts = list(lm.chunks((tokens[i:i + 7], target[i:i + 7]) for i in range(0, len(tokens), 7)))
+    assert (np.concatenate([p[0] for p in parts]) == tokens).all()
+
+
+def test_training_reads_all_documents(spark, monkeypatch):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    taken = spark.sparkContext.accumulator(0)
+    fit = lm.fit
+
+    def counted(p, tokens, target, seed):
+        taken.add(int((target >= 0).sum()))
+        return fit(p, tokens, target, seed)
+
+    monkeypatch.setattr(lm, "fit", counted)
+    docs = fixtures.table(spark)
+    table = lm.subwords(path)
+    held = [t or "" for d, t in fixtures.texts() if d is None or zlib.crc32(str(d).encode()) % 10 != 0]
+    n = sum(len(table[w]) // 4 for t in held for w in [*lm.words_of(t.encode()), lm.END])
+    flat = lm.Vocabulary(lm.encoding.tokenizer(path).get_vocab_size() + 1, np.arange(3_000), np.ones(3_000), np.zeros((0, 3), np.int64))
+    lm.train(docs, flat, path, 1 << 60)
+    assert taken.value == n
