@@ -11,8 +11,8 @@ are averaged, several rounds.
 
 Long texts are scored in overlapping windows: each window after a text's first only scores the
 positions behind the overlap, so each token counts once and sees at least OVERLAP tokens. A
-word's probability is a mixture of the attention model and, for the most frequent words, their
-corpus share.
+word's probability is a mixture of the attention model and the word's corpus share. Shares of the
+most frequent words are at hand in all tasks, those of all others come by a join.
 """
 
 from __future__ import annotations
@@ -38,11 +38,11 @@ CHUNK = 65_536  # training windows a task holds at a time; a shard may have any
 BACKOFF = 10.0  # weight of the class's shares against counts of pairs
 CLASSES = SINGLE + CLUSTERS + 1
 HEAD_WORDS = 100_000  # words whose share of the corpus is sent to all tasks: a bounded table
-SHARE = 0.5  # of that table in the mixture
+SHARE = 0.5  # of the words' corpus shares in the mixture
 ROUNDS, STEPS, EPOCHS, BATCH, RATE = 3, 200, 6, 64, 1e-2  # STEPS and EPOCHS bound repeated passes, never the first
 
 COUNTS = "word binary, n bigint"
-SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, head_log double, score double, word binary"
+SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, head_log double, score double, word binary, model double"
 
 class Ids(dict):
     """Word (UTF-8) -> its subword ids as bytes of 32-bit numbers."""
@@ -478,13 +478,12 @@ def score(docs: DataFrame, path: str) -> DataFrame:
     weights = train(docs, vocabulary, path, int(n_.sum()))
     head = counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).toArrow()
     log_of = lambda c: math.log10((c + 0.1) / (total + 0.1 * (distinct + 1)))
-    in_head = max(1, sum(head["n"].to_pylist()))
     frequent = {w: i for i, w in enumerate(head["word"].to_pylist())}
     # The last place is that of all other words.
     base_log = np.array([*map(log_of, head["n"].to_pylist()), 0.0])
-    direct = np.append(head["n"].to_numpy() * (SHARE / in_head), 0.0)
+    direct = np.append(head["n"].to_numpy() * (SHARE / max(1, total)), 0.0)
     sent = sc.broadcast((prepared(weights), vocabulary, frequent, base_log, direct))
-    share = SHARE if frequent else 0.0
+    share = SHARE if total else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, v, frequent, base_log, direct = sent.value
@@ -501,20 +500,22 @@ def score(docs: DataFrame, path: str) -> DataFrame:
                 logs = log_tokens(p, v, np.split(ids, ends[:-1]), inner)
                 by_word = np.add.reduceat(logs.astype(np.float64), begins)
                 found = np.fromiter(map(known.__getitem__, flat), dtype=np.int64, count=len(flat))
-                mixed = np.log10(direct[found] + (1 - share) * np.exp(np.maximum(by_word, -600)))
+                model = (1 - share) * np.exp(np.maximum(by_word, -600))
+                mixed = np.where(found >= 0, np.log10(direct[found] + model), 0.0)
                 total_of = lambda values, first=first: pa.array(np.add.reduceat(values, first))
                 rows = b.column(0).slice(at, len(texts))
                 yield pa.RecordBatch.from_arrays([
                     rows, b.column(1).slice(at, len(texts)), b.column(2).slice(at, len(texts)), pa.array(each),
                     total_of((found >= 0).astype(np.int64)), total_of(base_log[found]), total_of(mixed),
-                    pa.nulls(len(texts), pa.binary())], names)
-                # Words that are not among the frequent ones get their counts by a join.
+                    pa.nulls(len(texts), pa.binary()), pa.nulls(len(texts), pa.float64())], names)
+                # Words that are not among the frequent ones get their counts by a join, and with
+                # them their part of both scores.
                 rest = np.flatnonzero(found < 0)
                 kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
                 yield pa.RecordBatch.from_arrays([
                     rows.take(pa.array(np.repeat(np.arange(len(texts)), each)[rest])),
                     *[pa.nulls(len(rest), kind) for kind in kinds],
-                    pa.array([flat[i] for i in rest.tolist()], pa.binary())], names)
+                    pa.array([flat[i] for i in rest.tolist()], pa.binary()), pa.array(model[rest])], names)
                 at += len(texts)
 
     scored = common.written(docs.select(
@@ -524,12 +525,14 @@ def score(docs: DataFrame, path: str) -> DataFrame:
     rare = scored.where("word IS NOT NULL").join(seen, F.col("word") == F.col("seen"), "left")
     rest = rare.groupBy(F.col("row").alias("of")).agg(
         F.sum(F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(total + 0.1 * (distinct + 1)))).alias("rest_log"),
+        F.sum(F.log10(F.coalesce("c", F.lit(0)) * F.lit(share / max(1, total)) + F.col("model"))).alias("rest_score"),
         F.count("c").alias("rest_known"))
     return scored.where("word IS NULL").join(rest, F.col("row") == F.col("of"), "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
-        (F.col("head_log") + F.coalesce("rest_log", F.lit(0.0))).alias("base_score"), "score")
+        (F.col("head_log") + F.coalesce("rest_log", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("rest_score", F.lit(0.0))).alias("score"))
 
 
 def op2_lm(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:

@@ -290,3 +290,15 @@ def test_training_reads_all_documents(spark, monkeypatch):
     flat = lm.Vocabulary(lm.encoding.tokenizer(path).get_vocab_size() + 1, np.arange(3_000), np.ones(3_000), np.zeros((0, 3), np.int64))
     lm.train(docs, flat, path, 1 << 60)
     assert taken.value == n
+
+
+def test_scores_do_not_depend_on_the_size_of_the_head(spark, monkeypatch):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    monkeypatch.setattr(lm, "ROUNDS", 0)
+    scores = []
+    for head in (100_000, 10):
+        monkeypatch.setattr(lm, "HEAD_WORDS", head)
+        scores.append(sorted((str(r.doc_id), r.n_tokens, round(r.score, 4)) for r in lm.score(fixtures.table(spark), path).collect()))
+    assert scores[0] == scores[1]
