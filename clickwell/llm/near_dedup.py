@@ -8,7 +8,7 @@ SIGNATURE registers to its time. Equal registers of two texts are as likely as t
 Jaccard similarity, without bias. Registers are cut into bands, in several orders; texts that agree in a
 band are compared on their whole multisets. Bands are long, so that texts which merely share a
 passage with very many others seldom agree in one, and many, so that of pairs at the threshold
-itself about one in ten thousand is missed.
+itself about one in ten million is missed.
 
 Identical texts are one text from the start. Within a bucket of texts that agree in a band, texts
 are compared only until they are connected: a text whose class is known to be that of another is
@@ -32,7 +32,7 @@ from clickwell.llm.toxicity import blocks
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SIGNATURE, ROWS, ORDERS = 128, 8, 4
+SIGNATURE, ROWS, ORDERS = 256, 8, 4
 BANDS = SIGNATURE // ROWS * ORDERS
 BLOCK = 256
 

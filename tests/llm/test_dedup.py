@@ -1,5 +1,6 @@
 """Exact and near dedup against brute force."""
 
+import math
 from collections import Counter
 
 import numpy as np
@@ -117,3 +118,16 @@ def test_op9_equals_all_pairs(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
     rows = near_dedup.op9_near_dedup(spark, SF_DIR).collect()
     assert Counter((r.doc_id, r.class_id, r.class_size) for r in rows) == near_expected([tuple(d) for d in docs])[0]
+
+
+def test_pairs_at_the_threshold_share_a_band():
+    # Chance of no common band: over the number of equal registers, weighted by its own chance.
+    size, rng, missed = near_dedup.SIGNATURE, np.random.default_rng(1), 0.0
+    for equal in range(size // 2, size, 2):
+        agree = rng.permuted(np.tile(np.arange(size) < equal, (1_000, 1)), axis=1)
+        none = np.ones(len(agree), bool)
+        for band in near_dedup.MEMBERS:
+            none &= ~agree[:, band].all(axis=1)
+        missed += none.mean() * sum(
+            math.comb(size, n) * near_dedup.SIMILARITY**n * (1 - near_dedup.SIMILARITY)**(size - n) for n in (equal, equal + 1))
+    assert missed < 1e-6
