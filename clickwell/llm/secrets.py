@@ -26,9 +26,12 @@ ASSIGN = re.compile(
     r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so this equals [0-9a-f]+ of 24 or more
-KEY = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")
+# Up to its END; without one before the next BEGIN, up to the last line of base64 that follows.
+KEY = re.compile(
+    r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY(?: BLOCK)?-----(?:(?:(?!-----BEGIN )[\s\S])*?-----END (?:[A-Z]+ )*PRIVATE KEY(?: BLOCK)?-----"
+    r"|(?:(?:\s|\\[nr])*[A-Za-z0-9+/]{16,}={0,2})*)")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_])(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,})")
-OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+_-]{24,}(?![A-Za-z0-9+/_.=-])")
+OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_-]{24,}+(?:={1,2}(?![A-Za-z0-9+/_.=-]))?(?!\.[A-Za-z0-9+/_-])")
 PLACEHOLDER = re.compile(r"(?i)example|sample|dummy|changeme|placeholder|your_|xxxx|1234567|abcdef0|(.)\1{7}", re.A)
 
 MIN_ASSIGN, MIN_ACCESS, MIN_ENTROPY = 6, 20, 3.0
@@ -50,12 +53,24 @@ def looks_random(value: str) -> bool:
     return len(value) >= 12 and entropy(value) >= MIN_ENTROPY and not PLACEHOLDER.search(value)
 
 
+def looks_chosen(value: str) -> bool:
+    """Varied enough for its length, and no placeholder: what is assigned by name may be short."""
+    return entropy(value) >= min(MIN_ENTROPY, 0.8 * math.log2(len(value))) and not PLACEHOLDER.search(value)
+
+
+def looks_opaque(value: str) -> bool:
+    """Random with digits and both cases; with slashes, also mixed as base64 is and paths are not."""
+    kinds = ["/" if c == "/" else "0" if c.isdigit() else "a" if c.islower() else "A" for c in value]
+    return {"0", "a", "A"} <= set(kinds) and looks_random(value) and (
+        "/" not in kinds or 3 * sum(a != b and "/" not in (a, b) for a, b in zip(kinds, kinds[1:])) >= len(value))
+
+
 def spans_of(text: str) -> list[dict]:
     """All candidate spans of a text, by start and then kind. Places are code points."""
     found = []
 
     def add(kind: str, start: int, end: int, value: str) -> None:
-        random = looks_random(value) or kind == "key"
+        random = kind == "key" or (looks_chosen if kind == "assign" else looks_random)(value)
         found.append({"start": start, "kind": KINDS.index(kind), "end": end, "value": value, "random": random})
 
     for m in ASSIGN.finditer(text):
@@ -69,12 +84,13 @@ def spans_of(text: str) -> list[dict]:
     taken = [(s["start"], s["end"]) for s in found]
     for kind, pattern in (("key", KEY), ("token", TOKEN), ("opaque", OPAQUE)):
         for m in pattern.finditer(text):
-            if any(a < m.end() and m.start() < b for a, b in taken):
+            # What stands inside a private key does not hide the key.
+            if kind != "key" and any(a < m.end() and m.start() < b for a, b in taken):
                 continue
-            if kind == "opaque" and not (re.search("[0-9]", m[0]) and re.search("[a-z]", m[0]) and re.search("[A-Z]", m[0]) and looks_random(m[0])):
+            if kind == "opaque" and not looks_opaque(m[0]):
                 continue
-            # A private key is known by what follows its header.
-            value = hashlib.sha256(text[m.end():m.end() + 400].encode("utf-8", "replace")).hexdigest() if kind == "key" else m[0]
+            # A private key is the same in whatever lines it stands.
+            value = hashlib.sha256("".join(m[0].split()).encode("utf-8", "replace")).hexdigest() if kind == "key" else m[0]
             add(kind, *m.span(), value)
             taken.append(m.span())
     return sorted(found, key=lambda s: (s["start"], s["kind"]))
