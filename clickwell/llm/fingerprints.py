@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clickwell.llm import common
 
-SAMPLES = 32
+SAMPLES = 64
 R_BITS, C_BITS = 9, 11  # of uniform numbers; twice their sum and 24 bits make a 64-bit hash
 ROWS_PER_RANGE = 2_000
 CELLS = 64

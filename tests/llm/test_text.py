@@ -318,3 +318,9 @@ def test_whole_credentials_are_found_and_hidden(spark):
     assert clean == {
         1: "a [SECRET] b", 2: f"{shared} one tail", 3: f"{shared} another", 4: "AWS_SECRET_ACCESS_KEY=[SECRET]",
         5: "It is [SECRET]. Then", 6: "[SECRET]", 7: path, 8: "[SECRET] cut", 9: "CLIENT_KEY=[SECRET]"}
+
+
+def test_fingerprints_have_64_samples(spark):
+    rows = fingerprints.compare(fixtures.table(spark)).collect()
+    assert all(len(set(r.samples)) <= len(r.samples) == len(r.edited_samples) >= 64 for r in rows)
+    assert all(0 <= r.near_edited <= 1 and (r.near_edited * len(r.samples)).is_integer() for r in rows)
