@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from clickwell.llm import bpe, chat, exact_dedup, fingerprints, licenses, lm, near_dedup, packing, prefix_trie, secrets, spelling, toxicity
+from clickwell.llm import bpe, chat, exact_dedup, fingerprints, language, licenses, lm, near_dedup, packing, prefix_trie, secrets, spelling, toxicity
 from clickwell.llm.common import Query
 
 QUERIES: dict[str, Query] = {run.__name__: run for run in (
     secrets.op1_secrets, lm.op2_lm, exact_dedup.op3_exact_dedup, licenses.op4_licenses,
     packing.op5_packing, fingerprints.op6_fingerprints, bpe.op7_bpe, toxicity.op8_toxicity,
     near_dedup.op9_near_dedup, chat.op10_chat, prefix_trie.op11_prefix_trie, spelling.op12_spelling,
+    language.op13_language,
 )} | {"pipeline": corpus_pipeline.run}
 
 ORACLE: dict[str, str] = {
