@@ -1,11 +1,10 @@
 """Streaming jobs as queries: land a topic from the test tables, work it off, read the sink.
 
-A topic is landed in BATCHES files of successive time ranges, each read as a micro-batch of its
-own. Where a job takes a delay, records are up to DISORDER_MS out of order within and across the
-files. The first half is worked off by one run and the rest by another, which resumes from the
-checkpoint. The topic is followed by one record far in the future, which moves the
-watermark past all real ones, so that the last sessions, days and undecided records come out too.
-A run fails if a stateful operator drops a row as late.
+A topic lands in BATCHES successive time ranges, each a micro-batch of its own. Where a job takes
+a delay, records are up to DISORDER_MS out of order within and across the ranges. Each range is
+worked off by a run of its own, which resumes from the checkpoint. One record far in the future
+ends the topic and moves the watermark past all real ones, so that the last sessions, days and
+undecided records come out too. A run fails if a stateful operator drops a row as late.
 """
 
 from __future__ import annotations
@@ -22,13 +21,12 @@ from clickwell.schemas import (
     TOPIC_DISPLAY, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO, TOPIC_ORDER_WIDE, TOPIC_PAGE, TOPIC_RAW_DB,
     TOPIC_RAW_LOG, TOPIC_START, TOPIC_UNIQUE_VISIT, TOPIC_USER_JUMP,
 )
-from clickwell.session import run_dir, tune
-from clickwell.sources.topics import Topics, read_topic, write_topic
+from clickwell.session import folder_exists, move_folder, run_dir, tune
+from clickwell.sources.topics import Topics, read_topic
 from clickwell.streaming import jobs
 from clickwell.streaming.batches import TOPIC_IN_TIME
 
 ONCE = {"availableNow": True}
-ONE_FILE = {"maxFilesPerTrigger": "1"}
 BATCHES = 4
 DISORDER_MS = adapters.HOUR_MS
 DELAY = "1 hour"
@@ -38,6 +36,9 @@ END_MID = "end-of-log"
 END_PAGE = f'{{"common":{{"mid":"{END_MID}"}},"page":{{"page_id":"end"}},"ts":{END_TS}}}'
 
 
+Landing = list[Callable[[], None]]
+
+
 def folder_topics(root: str) -> Topics:
     return Topics(format="parquet", root=f"{root}/topics")
 
@@ -53,41 +54,46 @@ def job_session(spark: SparkSession, state_partitions: int = STATE_PARTITIONS) -
 
 def land(
     rows: DataFrame, topics: Topics, topic: str, at: Column, disorder_ms: int = DISORDER_MS, end: str | None = None
-) -> Callable[[], None]:
-    """Land the first half of `value` texts by their time `at`, moved by up to `disorder_ms` per
-    record; what is returned lands the rest."""
+) -> Landing:
+    """`value` texts in time ranges by their time `at`, moved by up to `disorder_ms` per record: one
+    callable per range, which lands it. All ranges are written at once, by as many tasks as read
+    the rows; a range lands by the rename of its folder. `end` lands with the last range."""
+    spark = rows.sparkSession
     moved = F.coalesce(at, F.lit(0)) + (F.pmod(F.xxhash64("value"), F.lit(disorder_ms)) if disorder_ms else F.lit(0))
     rows = rows.select("value", moved.alias("_at"))
     cuts = rows.agg(F.percentile_approx("_at", [i / BATCHES for i in range(1, BATCHES)], 10_000)).first()[0] or []
-    part = sum((F.col("_at") > cut).cast("int") for cut in cuts) + F.lit(0)
+    return land_parts(rows.select("value", sum((F.col("_at") > cut).cast("int") for cut in cuts) + F.lit(0)), topics, topic, end)
+
 
-    def write(parts: range) -> None:
-        for i in parts:
-            write_topic(rows.where(part == i).coalesce(1), topics, topic, i)
+def land_parts(rows: DataFrame, topics: Topics, topic: str, end: str | None = None) -> Landing:
+    """`land` of (value, part) rows, parts being 0 to BATCHES - 1."""
+    spark, staged = rows.sparkSession, run_dir(rows.sparkSession, "landing")
+    parts = rows.toDF("value", "part")
+    if end is not None:
+        parts = parts.unionAll(spark.range(1).select(F.lit(end), F.lit(BATCHES - 1)))
+    parts.withColumn("offset", F.monotonically_increasing_id()).write.partitionBy("part").parquet(staged)
 
-    def rest() -> None:
-        write(range(BATCHES // 2, len(cuts) + 1))
-        if end is not None:
-            write_topic(rows.sparkSession.range(1).select(F.lit(end).alias("value")), topics, topic, len(cuts) + 1)
+    def landing(i: int) -> Callable[[], None]:
+        def lands() -> None:
+            if folder_exists(spark, f"{staged}/part={i}"):
+                move_folder(spark, f"{staged}/part={i}", f"{topics.folder(topic)}/batch_id={i}")
+        return lands
 
-    write(range(min(BATCHES // 2, len(cuts) + 1)))
-    return rest
+    return [landing(i) for i in range(BATCHES)]
 
 
-def work_off(start: Callable[[], StreamingQuery], *rests: Callable[[], None]) -> None:
-    """Run a job until its topics are worked off, land the rest, and resume from the checkpoint.
-    No stateful operator may have dropped a row."""
-    progress = []
-    for lands in ((), rests):
-        for rest in lands:
-            rest()
+def work_off(start: Callable[[], StreamingQuery], *landings: Landing) -> None:
+    """Run a job on range after range of its topics, each run resuming from the checkpoint. No
+    stateful operator may have dropped a row."""
+    for ranges in zip(*landings):
+        for lands in ranges:
+            lands()
         query = start()
         query.awaitTermination()
-        progress += query.recentProgress
-    for p in progress:
-        dropped = sum(s["numRowsDroppedByWatermark"] for s in p["stateOperators"])
-        if dropped:
-            raise RuntimeError(f"batch {p['batchId']} of {p['name']} dropped {dropped} late rows")
+        for p in query.recentProgress:
+            dropped = sum(s["numRowsDroppedByWatermark"] for s in p["stateOperators"])
+            if dropped:
+                raise RuntimeError(f"batch {p['batchId']} of {p['name']} dropped {dropped} late rows")
 
 
 def time_in(field: str = "ts") -> Column:
@@ -100,7 +106,7 @@ def page_text() -> Column:
     )).alias("value")
 
 
-def land_pages(spark: SparkSession, sf_dir: str, topics: Topics) -> Callable[[], None]:
+def land_pages(spark: SparkSession, sf_dir: str, topics: Topics) -> Landing:
     return land(adapters.page_log(spark, sf_dir).select(page_text()), topics, TOPIC_PAGE, time_in(), end=END_PAGE)
 
 
@@ -112,10 +118,10 @@ def read_log(spark: SparkSession, topics: Topics, topic: str) -> DataFrame:
 def _base_log(spark: SparkSession, sf_dir: str, name: str) -> Topics:
     root = run_dir(spark, name)
     topics = folder_topics(root)
-    # The flag goes by what came first, so the files are in order of time.
+    # The flag goes by what came first, so the ranges are in order of time.
     rest = land(adapters.app_log(spark, sf_dir).select("value"), topics, TOPIC_RAW_LOG, time_in(), disorder_ms=0)
     own = job_session(spark)
-    work_off(lambda: jobs.log_job(own, topics, f"{root}/state", ONCE, **ONE_FILE), rest)
+    work_off(lambda: jobs.log_job(own, topics, f"{root}/state", ONCE), rest)
     return topics
 
 
@@ -147,7 +153,7 @@ def stream_unique_visit(spark, sf_dir):
     rest = land_pages(spark, sf_dir, topics)
     own = job_session(spark)
     work_off(lambda: jobs.unique_visit_job(
-        own, topics, f"{root}/state", ONCE, emit="day_end", delay=DELAY, **ONE_FILE), rest)
+        own, topics, f"{root}/state", ONCE, emit="day_end", delay=DELAY), rest)
     return logs.log_dates(read_log(spark, topics, TOPIC_UNIQUE_VISIT)).select(
         "mid", "page_id", "ts", F.col("day_dashed").alias("visit_day")
     )
@@ -159,7 +165,7 @@ def stream_jump(spark, sf_dir):
     topics = folder_topics(root)
     rest = land_pages(spark, sf_dir, topics)
     own = job_session(spark)
-    work_off(lambda: jobs.bounce_job(own, topics, f"{root}/state", BOUNCE_MS, ONCE, DELAY, **ONE_FILE), rest)
+    work_off(lambda: jobs.bounce_job(own, topics, f"{root}/state", BOUNCE_MS, ONCE, DELAY), rest)
     return read_log(spark, topics, TOPIC_USER_JUMP).select("mid", "page_id", "ts")
 
 
@@ -169,7 +175,7 @@ def stream_jump_in_time(spark, sf_dir):
     topics = folder_topics(root)
     rest = land_pages(spark, sf_dir, topics)
     own = job_session(spark)
-    work_off(lambda: jobs.jump_job(own, topics, f"{root}/state", BOUNCE_MS, DISORDER_MS, ONCE, **ONE_FILE), rest)
+    work_off(lambda: jobs.jump_job(own, topics, f"{root}/state", BOUNCE_MS, DISORDER_MS, ONCE), rest)
     outputs = {"bounce": TOPIC_USER_JUMP, "in_time": TOPIC_IN_TIME}
     rows = [
         read_log(spark, topics, topic).select(F.lit(kind).alias("kind"), "mid", "page_id", "ts")
@@ -190,7 +196,7 @@ def stream_interval_join(spark, sf_dir):
         rests.append(land(rows.select(F.to_json(F.struct("*")).alias("value")), topics, topic, time_in("create_ts")))
     own = job_session(spark)
     work_off(lambda: jobs.order_wide_job(
-        own, topics, f"{root}/state", -JOIN_MS, JOIN_MS, trigger=ONCE, delay=DELAY, **ONE_FILE), *rests)
+        own, topics, f"{root}/state", -JOIN_MS, JOIN_MS, trigger=ONCE, delay=DELAY), *rests)
     values = read_topic(spark, topics, TOPIC_ORDER_WIDE, stream=False)
     wide = F.from_json("value", "order_id BIGINT, detail_id BIGINT, sku_id BIGINT, create_time STRING")
     return values.select(wide.alias("w")).select("w.*")
@@ -205,7 +211,7 @@ def stream_cdc_route(spark, sf_dir):
     schema, location = "dim_" + root.rsplit("-", 1)[1], f"{root}/dims"
     own = job_session(spark)
     work_off(lambda: jobs.change_job(
-        own, topics, adapters.route_config, schema, f"{root}/state", location, ONCE, **ONE_FILE), rest)
+        own, topics, adapters.route_config, schema, f"{root}/state", location, ONCE), rest)
 
     facts = [
         read_topic(spark, topics, topic, stream=False).select(

@@ -79,3 +79,22 @@ def files_at(spark: SparkSession, path: str):
 def drop_folder(spark: SparkSession, path: str) -> None:
     files, folder = files_at(spark, path)
     files.delete(folder, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, folder = files_at(spark, path)
+    return files.exists(folder)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Give a finished folder its name. One step on file systems; `target` must not exist."""
+    files, folder = files_at(spark, source)
+    place = files_at(spark, target)[1]
+    files.mkdirs(place.getParent())
+    if not files.rename(folder, place):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    files, place = files_at(spark, path)
+    files.create(place, True).close()

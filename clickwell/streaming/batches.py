@@ -2,8 +2,8 @@
 
 They are used where one input has several outputs, or where the batch form is exact under
 hot keys and a per-key state function is not. Each step is a callable (batch, batch_id) and
-writes under its batch id, so a replayed batch replaces its own output. Micro-batches are
-bounded by the limits given to the source.
+writes under its batch id: a topic shows a batch whole and once, also when it is replayed, and
+tables of a job's own are replaced. Micro-batches are bounded by the limits given to the source.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from clickwell.operators import cdc, dims, logs, visits
 from clickwell.schemas import BOUNCE_MS, DEFAULT_KEY, MIN_COLUMNS, ROUTE_CONFIG, TOPIC_DISPLAY, TOPIC_PAGE, TOPIC_START, TOPIC_USER_JUMP
 from clickwell.session import drop_folder, files_at
 from clickwell.sources.tables import read_route_config
-from clickwell.sources.topics import Topics, write_routed, write_topic
+from clickwell.sources.topics import Topics, publish_routed, publish_topic
 
 TOPIC_LOG_REJECTS = "QUARANTINE_LOG"
 TOPIC_DB_REJECTS = "QUARANTINE_DB"
@@ -99,11 +99,11 @@ class LogStep:
             with self.first_visits.resolved(log, batch_id) as firsts, kept(
                 logs.repair_flags(log, firsts)
             ) as repaired:
-                write_topic(logs.start_records(repaired), self.topics, TOPIC_START, batch_id)
-                write_topic(logs.page_records(repaired), self.topics, TOPIC_PAGE, batch_id)
+                publish_topic(logs.start_records(repaired), self.topics, TOPIC_START, batch_id, self.first_visits.path)
+                publish_topic(logs.page_records(repaired), self.topics, TOPIC_PAGE, batch_id, self.first_visits.path)
                 shown = logs.display_records(repaired).select(F.to_json("item").alias("value"))
-                write_topic(shown, self.topics, TOPIC_DISPLAY, batch_id)
-            write_topic(logs.log_rejects(parsed), self.topics, TOPIC_LOG_REJECTS, batch_id)
+                publish_topic(shown, self.topics, TOPIC_DISPLAY, batch_id, self.first_visits.path)
+            publish_topic(logs.log_rejects(parsed), self.topics, TOPIC_LOG_REJECTS, batch_id, self.first_visits.path)
 
 
 @dataclass
@@ -147,10 +147,9 @@ class ChangeStep:
                 if batch_id % self.compact_every == self.compact_every - 1:
                     dims.compact_dim(spark, table)
             rejected = outcome.where("target NOT IN ('fact', 'dim')")
-            write_topic(rejected, self.topics, TOPIC_DB_REJECTS, batch_id)
-            # Last: writing below the topics' common folder drops what is held of its topics.
+            publish_topic(rejected, self.topics, TOPIC_DB_REJECTS, batch_id, self.snapshots)
             facts = outcome.where("target = 'fact'").withColumnRenamed("sink_table", "topic")
-            write_routed(facts, self.topics, batch_id)
+            publish_routed(facts, self.topics, batch_id, self.snapshots)
 
     def config_of(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """The configuration as it was when the batch was first worked on."""
@@ -204,7 +203,7 @@ class JumpStep:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch_session(batch)
         parsed = logs.parse_log(batch.select("value", "offset"))
-        write_topic(logs.log_rejects(parsed), self.topics, TOPIC_LOG_REJECTS, f"{batch_id}-jump")
+        publish_topic(logs.log_rejects(parsed), self.topics, TOPIC_LOG_REJECTS, f"{batch_id}-jump", self.carry)
         fresh = logs.log_valid(parsed)
         arrival = F.struct(F.lit(batch_id).cast("bigint").alias("batch"), "offset")
         fresh = fresh.withColumn("seq", arrival).select(*self.FIELDS)
@@ -217,7 +216,7 @@ class JumpStep:
                 return
             mark = max(known)
             is_late = F.lit(False) if before is None else F.col("ts") < before
-            write_topic(fresh.where(is_late), self.topics, TOPIC_LATE, batch_id)
+            publish_topic(fresh.where(is_late), self.topics, TOPIC_LATE, batch_id, self.carry)
 
             rows = carried.select(*self.FIELDS).unionByName(fresh.where(~is_late))
             edge = mark - self.within_ms
@@ -225,8 +224,8 @@ class JumpStep:
             if before is not None:
                 decided = decided & (F.col("ts") > before - self.within_ms)
             with kept(visits.jump_split(rows, self.within_ms, self.cell_ms).where(decided)) as split:
-                write_topic(split.where("is_bounce"), self.topics, TOPIC_USER_JUMP, batch_id)
-                write_topic(split.where("is_follow_up"), self.topics, TOPIC_IN_TIME, batch_id)
+                publish_topic(split.where("is_bounce"), self.topics, TOPIC_USER_JUMP, batch_id, self.carry)
+                publish_topic(split.where("is_follow_up"), self.topics, TOPIC_IN_TIME, batch_id, self.carry)
             (
                 rows.where(F.col("ts") > edge - self.within_ms).withColumn("watermark", F.lit(mark))
                 .write.mode("overwrite").parquet(f"{self.carry}/batch_id={batch_id}")

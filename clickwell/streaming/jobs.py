@@ -18,7 +18,7 @@ from clickwell.schemas import (
     TOPIC_RAW_LOG, TOPIC_UNIQUE_VISIT, TOPIC_USER_JUMP,
 )
 from clickwell.session import tune
-from clickwell.sources.topics import Topics, land_raw_log, read_topic, stream_to_topic, write_topic
+from clickwell.sources.topics import Topics, land_raw_log, publish_topic, read_topic, stream_to_topic
 from clickwell.streaming import transforms
 from clickwell.streaming.batches import ChangeStep, FirstVisits, JumpStep, LogStep
 
@@ -120,6 +120,6 @@ def order_wide_job(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         complete = add_dims(batch) if add_dims else batch
-        write_topic(complete.select(F.to_json(F.struct("*")).alias("value")), topics, TOPIC_ORDER_WIDE, batch_id)
+        publish_topic(complete.select(F.to_json(F.struct("*")).alias("value")), topics, TOPIC_ORDER_WIDE, batch_id, state)
 
     return run_batches(wide, step, "order_wide", state, trigger)
