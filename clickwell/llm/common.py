@@ -19,6 +19,8 @@ def ready(spark: SparkSession) -> SparkSession:
     held = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in held.split(":"):
         spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{held}".rstrip(":")
+    # Texts can be long: batches of fewer rows keep the memory of Python workers and buffers low.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return tune(spark)
 
 

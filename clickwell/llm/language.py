@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 from clickwell.llm import common
 from clickwell.llm.toxicity import blocks
 
-EXAMPLES = 1_000  # most labelled rows of a language that are learned from: the bound of the sample
+EXAMPLES = 500  # most labelled rows of a language that are learned from: the bound of the sample
 BITS = 14
 FEATURES = 1 << BITS
 GRAMS = (1, 2, 3, 4, 6)  # bytes of UTF-8, blanks around a word included
@@ -35,7 +35,7 @@ UNKNOWN = "und"
 
 WORDS = re.compile(r"[^\W\d_]+")
 WORD_BYTES = 64      # longer words are not remembered
-CACHE_WORDS, CACHE_BYTES = 200_000, 16 << 20
+CACHE_WORDS, CACHE_BYTES = 100_000, 16 << 20
 PIECE = 1 << 20
 
 
