@@ -10,7 +10,7 @@ does it ahead of time. Batch n is version 2n, a compaction up to it is version 2
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clickwell.schemas import DEFAULT_KEY
 from clickwell.session import drop_folder, files_at
@@ -162,6 +162,25 @@ def read_dim(spark: SparkSession, table: str) -> DataFrame:
     return fold_versions(spark.table(table), dim_key(spark, table), columns).select(*columns)
 
 
+def read_typed(spark: SparkSession, table: str, layout: str, keys: DataFrame | None = None) -> DataFrame:
+    """The present image of a dimension table with the columns and types of `layout`; text that does
+    not fit its type is null, and so are columns that the table lacks. With `keys` (one column),
+    only rows of these keys are folded. A table that does not exist is empty."""
+    fields = T.StructType.fromDDL(layout).fields
+    if not spark.catalog.tableExists(table):
+        return spark.createDataFrame([], layout)
+    spark.catalog.refreshTable(table)  # another job may have written to it
+    pk, columns, stored = dim_key(spark, table), dim_columns(spark, table), spark.table(table)
+    if keys is not None:
+        wanted = keys.select(F.col(keys.columns[0]).cast("string").alias("_key")).where("_key IS NOT NULL").distinct()
+        stored = stored.join(wanted, F.col(pk) == F.col("_key"), "left_semi")
+    image = fold_versions(stored, pk, columns)
+    return image.select(*[
+        (F.col(field.name) if field.name in columns else F.lit(None)).try_cast(field.dataType).alias(field.name)
+        for field in fields
+    ])
+
+
 def compact_dim(spark: SparkSession, table: str) -> None:
     """Fold all versions into one. The folded version is complete before the old ones go, and
     it outranks them, so a crash in between leaves a right table."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickwell.functions import records
 from clickwell.functions.clock import day_text
@@ -34,14 +34,18 @@ def log_valid(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
 
 
+def is_record() -> Column:
+    """Whether `value` is a JSON object at all."""
+    return records.open_record("value").isNotNull()
+
+
 def log_rejects(parsed: DataFrame) -> DataFrame:
     """The complement of `log_valid`, with the reason: not a JSON object, or incomplete."""
     rejected = parsed.where(F.col("mid").isNull() | F.col("ts").isNull())
-    is_object = records.open_record("value").isNotNull()
     return rejected.select(
         "value",
         *[name for name in rejected.columns if name in ("seq", "offset")],
-        F.when(is_object, "incomplete").otherwise("malformed").alias("reason"),
+        F.when(is_record(), "incomplete").otherwise("malformed").alias("reason"),
     )
 
 

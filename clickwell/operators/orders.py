@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from clickwell.functions import records
 from clickwell.functions.cells import CELL_FACTOR, cell_start
@@ -12,8 +12,8 @@ from clickwell.functions.clock import parse_day, parse_time
 from clickwell.schemas import JOIN_BOUND_MS, ORDER_DETAIL, ORDER_INFO, WIDE_FACT_COLUMNS
 
 
-def _parse(lines: DataFrame, layout: str, strict: bool) -> DataFrame:
-    """Typed order records, `value` kept. Numbers are read as text first, so quoted ones count."""
+def parse_orders(lines: DataFrame, layout: str, strict: bool = False) -> DataFrame:
+    """Typed order records, `value` kept; bad ones have nulls. Numbers are read as text first, so quoted ones count."""
     # Routed facts arrive as change records with the row under `data`; bare rows work too.
     kinds = T.StructType.fromDDL(layout)
     row = T.StructType([T.StructField(field.name, T.StringType()) for field in kinds.fields])
@@ -29,16 +29,16 @@ def _parse(lines: DataFrame, layout: str, strict: bool) -> DataFrame:
 
 
 def parse_order_info(lines: DataFrame, strict: bool = False) -> DataFrame:
-    return _parse(lines, ORDER_INFO, strict).where("id IS NOT NULL").drop("value")
+    return parse_orders(lines, ORDER_INFO, strict).where("id IS NOT NULL").drop("value")
 
 
 def parse_order_detail(lines: DataFrame, strict: bool = False) -> DataFrame:
-    return _parse(lines, ORDER_DETAIL, strict).where("id IS NOT NULL").drop("value")
+    return parse_orders(lines, ORDER_DETAIL, strict).where("id IS NOT NULL").drop("value")
 
 
 def order_rejects(lines: DataFrame, layout: str) -> DataFrame:
     """(value, reason) of the order texts that the parsers and the event time leave out."""
-    parsed = _parse(lines, layout, False)
+    parsed = parse_orders(lines, layout)
     reason = F.when(F.col("id").isNull(), "no_id").when(parse_time("create_time").isNull(), "no_time")
     return parsed.select("value", reason.alias("reason")).where("reason IS NOT NULL")
 
@@ -129,16 +129,43 @@ def order_wide_merge(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return merged.select(*[name for name in both.columns if name != "_side"])
 
 
-def sku_dimension(sku: DataFrame, spu: DataFrame, trademark: DataFrame, category3: DataFrame) -> DataFrame:
-    """One row per SKU with its SPU, brand and category. The small tables are joined to each
-    other first, so the order lines meet this dimension in a single join."""
+def sku_with_parts(sku: DataFrame, spu: DataFrame, trademark: DataFrame, category3: DataFrame) -> DataFrame:
+    """One row per SKU with its SPU, brand and category, and `whole`: whether all of these that it
+    names are there. The small tables are joined to each other first, so the order lines meet
+    this dimension in a single join."""
+    there = F.lit(True)
     tables = [
-        spu.select(F.col("id").alias("spu_id"), "spu_name"),
-        trademark.select(F.col("id").alias("tm_id"), "tm_name"),
-        category3.select(F.col("id").alias("category3_id"), F.col("name").alias("category3_name")),
+        spu.select(F.col("id").alias("spu_id"), "spu_name", there.alias("_spu")),
+        trademark.select(F.col("id").alias("tm_id"), "tm_name", there.alias("_tm")),
+        category3.select(F.col("id").alias("category3_id"), F.col("name").alias("category3_name"), there.alias("_category3")),
     ]
     base = sku.select(F.col("id").alias("sku_id"), "spu_id", "tm_id", "category3_id")
-    return reduce(lambda table, small: table.join(small, small.columns[0], "left"), tables, base)
+    joined = reduce(lambda table, small: table.join(small, small.columns[0], "left"), tables, base)
+    whole = reduce(Column.__and__, [
+        F.col(small.columns[0]).isNull() | F.col(small.columns[2]).isNotNull() for small in tables])
+    return joined.withColumn("whole", whole).drop("_spu", "_tm", "_category3")
+
+
+def sku_dimension(sku: DataFrame, spu: DataFrame, trademark: DataFrame, category3: DataFrame) -> DataFrame:
+    """One row per SKU with its SPU, brand and category."""
+    return sku_with_parts(sku, spu, trademark, category3).drop("whole")
+
+
+def wide_and_missing(wide: DataFrame, province: DataFrame, user: DataFrame, sku: DataFrame) -> DataFrame:
+    """`order_wide_dims` with `missing`: the dimensions of which a record names a row that is not
+    there. `sku` comes from `sku_with_parts`; a record without an id lacks nothing."""
+    found = {
+        "province_id": province.select(F.col("id").alias("_province"), F.lit(True).alias("_has_province")),
+        "user_id": user.select(F.col("id").alias("_user"), F.lit(True).alias("_has_user")),
+        "sku_id": sku.select(F.col("sku_id").alias("_sku"), F.col("whole").alias("_has_sku")),
+    }
+    joined = order_wide_dims(wide, province, user, sku)
+    for name, rows in found.items():
+        joined = joined.join(rows, F.col(name) == F.col(rows.columns[0]), "left")
+    missing = F.array_compact(F.array(*[
+        F.when(F.col(name).isNotNull() & ~F.coalesce(F.col(rows.columns[1]), F.lit(False)), F.lit(name.removesuffix("_id")))
+        for name, rows in found.items()]))
+    return joined.withColumn("missing", missing).drop(*[c for rows in found.values() for c in rows.columns])
 
 
 def order_wide_dims(wide: DataFrame, province: DataFrame, user: DataFrame, sku: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ is computed from whole tables and grows with them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickwell.functions.cells import with_neighbours
@@ -14,6 +16,7 @@ from clickwell.schemas import MONEY, ROUTE_CONFIG
 from clickwell.sources.tables import local_rows, read_route_config, read_table
 
 HOUR_MS = 3_600_000
+DAY_MS = 24 * HOUR_MS
 VISIT_GAP_MS = 2 * HOUR_MS
 LOG_CELL_MS = 8 * HOUR_MS
 
@@ -138,6 +141,47 @@ def route_config(spark: SparkSession) -> DataFrame:
     return read_route_config(local_rows(spark, rows, f"{ROUTE_CONFIG}, row_no BIGINT"))
 
 
+def dim_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records (value) of the six dimensions of wide orders, one insert per row."""
+    province, user, sku = dim_province(spark, sf_dir), dim_user(spark, sf_dir), dim_sku(spark, sf_dir)
+    text = lambda name: F.lit(name)
+    tables = {
+        "base_province": province,
+        "user_info": user.withColumn("name", F.concat(text("user-"), F.col("id").cast("string"))),
+        "sku_info": sku.select(F.col("sku_id").alias("id"), "spu_id", "tm_id", "category3_id"),
+        "spu_info": sku.select(F.col("spu_id").alias("id"), "spu_name", text("-").alias("description"), text("1").alias("sale")).distinct(),
+        "base_trademark": sku.select(F.col("tm_id").alias("id"), "tm_name", text("-").alias("logo"), text("1").alias("sale")).distinct(),
+        "base_category3": sku.select(
+            F.col("category3_id").alias("id"), F.col("category3_name").alias("name"), text("1").alias("category2_id"), text("1").alias("sale")).distinct(),
+    }
+    changes = [
+        rows.select(F.to_json(F.struct(
+            F.lit(table).alias("table"), F.lit("insert").alias("type"), F.struct(*rows.columns).alias("data"))).alias("value"))
+        for table, rows in tables.items()
+    ]
+    return reduce(DataFrame.unionAll, changes)
+
+
+DIM_ROUTES = [
+    # source_table, sink_columns; each to the dimension of its name
+    ("base_province", "id,name,area_code,iso_code,iso_3166_2"),
+    ("user_info", "id,age,gender"),
+    ("sku_info", "id,spu_id,tm_id,category3_id"),
+    ("spu_info", "id,spu_name"),
+    ("base_trademark", "id,tm_name"),
+    ("base_category3", "id,name"),
+]
+
+
+def dim_route_config(spark: SparkSession) -> DataFrame:
+    names = [part.split()[0] for part in ROUTE_CONFIG.split(",")]
+    rows = [
+        dict(zip(names, (table, "insert", "HBASE", f"dim_{table}", columns, "id", None)), row_no=i)
+        for i, (table, columns) in enumerate(DIM_ROUTES)
+    ]
+    return read_route_config(local_rows(spark, rows, f"{ROUTE_CONFIG}, row_no BIGINT"))
+
+
 def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partial changes (data, ts, seq) of a user dimension: every event sets `last_page`, a
     purchase also sets `segment` (to null when k is below 10), a view sets `last_view`."""
@@ -190,6 +234,20 @@ def order_info(spark: SparkSession, sf_dir: str, precision: str = "exact") -> Da
     return order_event_time(rows, precision)
 
 
+def partial_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Order headers from two sources, all orders on both sides: the left one lacks large amounts and
+    the users of pending orders, the right one small amounts and, of open orders, the day."""
+    headers = order_info(spark, sf_dir).select(
+        F.col("id").alias("order_id"), "order_status", "user_id", "total_amount",
+        F.substring("create_time", 1, 10).alias("create_date"), "create_ts")
+    amount, status = F.col("total_amount"), F.col("order_status")
+    left = headers.withColumns({
+        "total_amount": F.when(amount < 200_000, amount), "user_id": F.when(status != "P", F.col("user_id"))})
+    right = headers.withColumns({
+        "total_amount": F.when(amount >= 100_000, amount), "create_date": F.when(status != "O", F.col("create_date"))})
+    return left, right
+
+
 def order_detail(spark: SparkSession, sf_dir: str, precision: str = "exact") -> DataFrame:
     """`lineitem` as order lines. Line numbers repeat within an order, so `id` does too."""
     rows = read_table(spark, sf_dir, "lineitem").select(
@@ -241,3 +299,27 @@ def dim_sku(spark: SparkSession, sf_dir: str) -> DataFrame:
     trademark = part.select(tm_id.alias("id"), F.col("p_brand").alias("tm_name")).distinct()
     category3 = part.select(category_id.alias("id"), F.col("p_type").alias("name")).distinct()
     return sku_dimension(sku, spu, trademark, category3)
+
+
+def user_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes (id, ts, seq, data) of users over the years: a day after each order the level is that
+    order's priority; a pending or finished order sets the grade, a finished one to null."""
+    first = read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.lit(0).cast("bigint").alias("ts"), F.lit(0).cast("bigint").alias("seq"),
+        F.create_map(F.lit("level"), F.lit("none"), F.lit("grade"), F.col("c_mktsegment")).alias("data"))
+    status = F.col("o_orderstatus")
+    grade = F.create_map(F.lit("grade"), F.when(status == "P", F.concat(F.lit("P"), F.col("o_orderkey").cast("string"))))
+    later = read_table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"), (_millis("o_orderdate") + DAY_MS).alias("ts"), F.col("o_orderkey").alias("seq"),
+        F.map_concat(F.create_map(F.lit("level"), F.col("o_orderpriority")), F.when(status != "O", grade).otherwise(_no_entries())))
+    return first.unionAll(later)
+
+
+def province_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes (id, ts, seq, data) of provinces: every order of one renames its code. Few keys, so each
+    has very many changes."""
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    orders = read_table(spark, sf_dir, "orders")
+    return orders.join(customer, orders.o_custkey == customer.c_custkey).select(
+        F.col("c_nationkey").cast("bigint").alias("id"), (_millis("o_orderdate") + DAY_MS).alias("ts"),
+        F.col("o_orderkey").alias("seq"), F.create_map(F.lit("code"), F.concat(F.lit("X-"), F.col("o_orderkey").cast("string"))).alias("data"))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clickwell import schemas
-from clickwell.operators import cdc, dims, logs, metrics, orders, visits
+from clickwell.operators import asof, cdc, dims, logs, metrics, orders, visits
 from clickwell.plans import adapters
 from clickwell.session import tune
 
@@ -286,6 +286,24 @@ def order_wide_dims(spark, sf_dir):
     )
 
 
+@query
+def order_wide_dims_asof(spark, sf_dir):
+    """Level and grade of the user and code of the province as they were when the order was made."""
+    headers = orders.header_part(adapters.order_info(spark, sf_dir))
+    joined = orders.interval_join(headers, orders.line_part(adapters.order_detail(spark, sf_dir)), -JOIN_MS, JOIN_MS)
+    facts = joined.select("detail_id", "order_id", "user_id", "province_id", "header_ts")
+    of_user = asof.as_of(
+        facts, adapters.user_history(spark, sf_dir), "user_id", "header_ts", {"user_level": "level", "user_grade": "grade"})
+    return asof.as_of(of_user, adapters.province_history(spark, sf_dir), "province_id", "header_ts", {"province_code": "code"})
+
+
+@query
+def order_wide_merge_all(spark, sf_dir):
+    """Every order is on both sides, each side with some of its columns blanked."""
+    left, right = adapters.partial_orders(spark, sf_dir)
+    return orders.order_wide_merge(left, right, "order_id").drop("create_ts")
+
+
 @query
 def order_stats_by_area(spark, sf_dir):
     areas = adapters.dim_province(spark, sf_dir).select(

@@ -296,6 +296,32 @@ ORACLE: dict[str, str] = {
         LEFT JOIN part ON sku_id = p_partkey LEFT JOIN customer ON user_id = c_custkey
         LEFT JOIN nation ON province_id = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
     """),
+    "order_wide_dims_asof": _sql(ORDERS, """
+        SELECT detail_id, order_id, user_id, province_id, header_ts, levels.v AS user_level, grades.v AS user_grade,
+               codes.v AS province_code
+        FROM wide
+        ASOF LEFT JOIN (
+            SELECT c_custkey AS id, 0 AS ts, 'none' AS v FROM customer
+            UNION ALL
+            SELECT o_custkey, epoch_ms(o_orderdate) + 86400000, arg_max(o_orderpriority, o_orderkey) FROM orders GROUP BY ALL
+        ) levels ON levels.id = user_id AND header_ts >= levels.ts
+        ASOF LEFT JOIN (
+            SELECT c_custkey AS id, 0 AS ts, c_mktsegment AS v FROM customer
+            UNION ALL
+            SELECT o_custkey, epoch_ms(o_orderdate) + 86400000,
+                   arg_max({'v': CASE o_orderstatus WHEN 'P' THEN 'P' || o_orderkey END}, o_orderkey).v
+            FROM orders WHERE o_orderstatus <> 'O' GROUP BY o_custkey, o_orderdate
+        ) grades ON grades.id = user_id AND header_ts >= grades.ts
+        ASOF LEFT JOIN (
+            SELECT CAST(c_nationkey AS BIGINT) AS id, epoch_ms(o_orderdate) + 86400000 AS ts, 'X-' || max(o_orderkey) AS v
+            FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey, o_orderdate
+        ) codes ON codes.id = province_id AND header_ts >= codes.ts
+    """),
+    "order_wide_merge_all": """
+        SELECT o_orderkey AS order_id, o_orderstatus AS order_status, o_custkey AS user_id,
+               o_totalprice AS total_amount, strftime(o_orderdate, '%Y-%m-%d') AS create_date
+        FROM orders
+    """,
     "order_stats_by_area": _stats(
         "CAST(n_regionkey AS VARCHAR) AS province_area_code", "LEFT JOIN nation ON province_id = n_nationkey"
     ),
@@ -335,4 +361,24 @@ ORACLE |= {
         SELECT order_id, detail_id, sku_id, strftime(created, '%Y-%m-%d %H:%M:%S') AS create_time FROM wide
     """),
     "stream_cdc_route": _sql(CHANGES, "SELECT sink_table, id, column_name, column_value FROM cells"),
+    # Ranges are quarters of the span; every twentieth record comes one range late.
+    "stream_unique_visit_late": _sql(PAGE_LOG, """
+        SELECT kind, mid, page_id, ts FROM (
+            WITH spans AS (SELECT min(ts) AS low, max(ts) AS high FROM page_log),
+            landed AS (
+                SELECT p.*, own + CASE WHEN seq % 20 = 7 AND own < 3 THEN 1 ELSE 0 END AS part
+                FROM (SELECT *, ((ts - low) * 4) // (high - low + 1) AS own FROM page_log, spans) p
+            ),
+            marks AS (
+                SELECT part, max(max(ts)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark
+                FROM landed GROUP BY part
+            ),
+            judged AS (SELECT l.*, ts <= coalesce(mark, 0) - 3600000 AS late FROM landed l JOIN marks USING (part))
+            SELECT CASE WHEN late THEN 'late' ELSE 'on_time' END AS kind, mid, page_id, ts FROM judged
+            UNION ALL
+            SELECT 'visit', mid, arg_min(page_id, {'ts': ts, 'seq': seq}), min(ts)
+            FROM judged WHERE NOT late AND coalesce(last_page_id, '') = '' GROUP BY mid, visit_day
+        )
+    """),
+    "stream_order_wide_dims": ORACLE["order_wide_dims"],
 }

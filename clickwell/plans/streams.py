@@ -18,13 +18,14 @@ from clickwell.operators import dims, logs
 from clickwell.plans import adapters
 from clickwell.plans.catalog import BOUNCE_MS, JOIN_MS, query
 from clickwell.schemas import (
-    TOPIC_DISPLAY, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO, TOPIC_ORDER_WIDE, TOPIC_PAGE, TOPIC_RAW_DB,
+    MONEY, TOPIC_DISPLAY, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO, TOPIC_ORDER_WIDE, TOPIC_PAGE, TOPIC_RAW_DB,
     TOPIC_RAW_LOG, TOPIC_START, TOPIC_UNIQUE_VISIT, TOPIC_USER_JUMP,
 )
 from clickwell.session import folder_exists, move_folder, run_dir, tune
-from clickwell.sources.topics import Topics, read_topic
+from clickwell.sources.topics import Topics, read_topic, write_topic
 from clickwell.streaming import jobs
-from clickwell.streaming.batches import TOPIC_IN_TIME
+from clickwell.streaming.batches import TOPIC_IN_TIME, TOPIC_LATE
+from clickwell.streaming.waiting import WideDims
 
 ONCE = {"availableNow": True}
 BATCHES = 4
@@ -33,6 +34,17 @@ DELAY = "1 hour"
 STATE_PARTITIONS = 8
 END_TS = 4_102_444_800_000
 END_MID = "end-of-log"
+END_ID = -1
+END_ORDER = f'{{"id":{END_ID},"order_id":{END_ID},"create_time":"2100-01-01 00:00:00"}}'
+WAIT_MS = 20 * 365 * 24 * adapters.HOUR_MS  # beyond the span of the orders
+# The columns of `order_wide_dims`.
+WIDE_DIM_FIELDS = [
+    ("detail_id", "BIGINT"), ("order_id", "BIGINT"), ("sku_id", "BIGINT"), ("user_id", "BIGINT"), ("province_id", "BIGINT"),
+    ("split_total_amount", MONEY), ("province_name", "STRING"), ("province_area_code", "STRING"),
+    ("province_iso_code", "STRING"), ("province_3166_2_code", "STRING"), ("user_age", "INT"), ("user_gender", "STRING"),
+    ("spu_id", "BIGINT"), ("tm_id", "BIGINT"), ("category3_id", "BIGINT"), ("spu_name", "STRING"), ("tm_name", "STRING"),
+    ("category3_name", "STRING"),
+]
 END_PAGE = f'{{"common":{{"mid":"{END_MID}"}},"page":{{"page_id":"end"}},"ts":{END_TS}}}'
 
 
@@ -159,6 +171,30 @@ def stream_unique_visit(spark, sf_dir):
     )
 
 
+@query
+def stream_unique_visit_late(spark, sf_dir):
+    """Records a whole range late stand in quarantine, the others go through the gate to the unique
+    visits: late and on time are all records."""
+    root = run_dir(spark, "unique-visit-late")
+    topics = folder_topics(root)
+    pages = adapters.page_log(spark, sf_dir)
+    span = pages.agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
+    own = F.expr(f"((ts - low) * {BATCHES}) div (high - low + 1)")
+    part = own + F.when((F.col("seq") % 20 == 7) & (own < BATCHES - 1), 1).otherwise(0)
+    landing = land_parts(pages.join(span).select(page_text(), part), topics, TOPIC_PAGE, END_PAGE)
+    session, gated = job_session(spark), jobs.on_time(TOPIC_PAGE)
+    for lands in landing:
+        work_off(lambda: jobs.gate_job(session, topics, TOPIC_PAGE, "log", f"{root}/gate", DISORDER_MS, ONCE), [lands])
+        work_off(lambda: jobs.unique_visit_job(
+            session, topics, f"{root}/state", ONCE, emit="day_end", delay=DELAY, source=gated), [lambda: None])
+    outputs = {"late": TOPIC_LATE, "on_time": gated, "visit": TOPIC_UNIQUE_VISIT}
+    rows = [
+        read_log(spark, topics, topic).select(F.lit(kind).alias("kind"), "mid", "page_id", "ts")
+        for kind, topic in outputs.items()
+    ]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 @query
 def stream_jump(spark, sf_dir):
     root = run_dir(spark, "jump")
@@ -188,12 +224,7 @@ def stream_jump_in_time(spark, sf_dir):
 def stream_interval_join(spark, sf_dir):
     root = run_dir(spark, "interval-join")
     topics = folder_topics(root)
-    rests = []
-    for topic, rows in (
-        (TOPIC_ORDER_INFO, adapters.order_info(spark, sf_dir)),
-        (TOPIC_ORDER_DETAIL, adapters.order_detail(spark, sf_dir)),
-    ):
-        rests.append(land(rows.select(F.to_json(F.struct("*")).alias("value")), topics, topic, time_in("create_ts")))
+    rests = land_orders(spark, sf_dir, topics)
     own = job_session(spark)
     work_off(lambda: jobs.order_wide_job(
         own, topics, f"{root}/state", -JOIN_MS, JOIN_MS, trigger=ONCE, delay=DELAY), *rests)
@@ -202,6 +233,48 @@ def stream_interval_join(spark, sf_dir):
     return values.select(wide.alias("w")).select("w.*")
 
 
+def land_orders(spark: SparkSession, sf_dir: str, topics: Topics) -> list[Landing]:
+    """Order headers and lines, by the same time ranges of their own."""
+    return [
+        land(rows.select(F.to_json(F.struct("*")).alias("value")), topics, topic, time_in("create_ts"))
+        for topic, rows in (
+            (TOPIC_ORDER_INFO, adapters.order_info(spark, sf_dir)), (TOPIC_ORDER_DETAIL, adapters.order_detail(spark, sf_dir)))
+    ]
+
+
+@query
+def stream_order_wide_dims(spark, sf_dir):
+    """Wide orders completed from the tables that the change job writes. Orders come before the
+    dimension rows that land with them, so many wait; the last ones go with an order after the end."""
+    root = run_dir(spark, "order-wide-dims")
+    topics, location = folder_topics(root), f"{root}/dims"
+    schema = "dim_" + root.rsplit("-", 1)[1]
+    order_landings = land_orders(spark, sf_dir, topics)
+    changes = adapters.dim_changes(spark, sf_dir)
+    change_landing = land_parts(changes.select("value", F.pmod(F.xxhash64("value"), F.lit(BATCHES))), topics, TOPIC_RAW_DB)
+    own = job_session(spark)
+
+    def order_run() -> StreamingQuery:
+        return jobs.order_wide_job(
+            own, topics, f"{root}/orders", -JOIN_MS, JOIN_MS, trigger=ONCE, delay=DELAY,
+            tables=WideDims(schema), wait_ms=WAIT_MS)
+
+    def change_run() -> StreamingQuery:
+        return jobs.change_job(own, topics, adapters.dim_route_config, schema, f"{root}/changes", location, ONCE)
+
+    for headers, lines, rows in zip(*order_landings, change_landing):
+        work_off(order_run, [headers], [lines])
+        work_off(change_run, [rows])
+    for topic in (TOPIC_ORDER_INFO, TOPIC_ORDER_DETAIL):
+        write_topic(spark.range(1).select(F.lit(END_ORDER).alias("value")), topics, topic, BATCHES)
+    work_off(order_run, [lambda: None])
+    fields = ", ".join(f"{name} {kind}" for name, kind in WIDE_DIM_FIELDS)
+    values = read_topic(spark, topics, TOPIC_ORDER_WIDE, stream=False).select(F.from_json("value", fields).alias("w")).select("w.*")
+    values.where(F.col("order_id") != END_ID).write.parquet(f"{root}/result")
+    spark.sql(f"DROP SCHEMA {schema} CASCADE")
+    return spark.read.parquet(f"{root}/result")
+
+
 @query
 def stream_cdc_route(spark, sf_dir):
     """Fact messages, and the rows of the dimension tables, one column value per row."""

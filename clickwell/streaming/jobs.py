@@ -1,4 +1,4 @@
-"""The five streaming jobs: sources, steps, checkpoints and sinks wired together.
+"""The streaming jobs: sources, steps, checkpoints and sinks wired together.
 
 Each starts one streaming query. `state` is a folder in shared storage for the checkpoint and
 the tables a job keeps. Default trigger: every five seconds; `{"availableNow": True}` works
@@ -20,7 +20,9 @@ from clickwell.schemas import (
 from clickwell.session import tune
 from clickwell.sources.topics import Topics, land_raw_log, publish_topic, read_topic, stream_to_topic
 from clickwell.streaming import transforms
-from clickwell.streaming.batches import ChangeStep, FirstVisits, JumpStep, LogStep
+from clickwell.streaming.batches import TOPIC_DB_REJECTS, TOPIC_LOG_REJECTS, ChangeStep, FirstVisits, JumpStep, LogStep
+from clickwell.streaming.gate import JUDGES, GateStep
+from clickwell.streaming.waiting import DAY_MS, WideDims, WideDimsStep
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
 
@@ -61,28 +63,47 @@ def change_job(
     return run_batches(lines, ChangeStep(topics, load_config, schema, f"{state}/config", location), "base_db", state, trigger)
 
 
-def page_stream(spark: SparkSession, topics: Topics, **limits: str) -> DataFrame:
-    """The page topic, parsed; records without visitor or time are left out."""
-    lines = read_topic(spark, topics, TOPIC_PAGE, **limits)
+def on_time(topic: str) -> str:
+    """The topic that a gate in front of `topic` passes its records on to."""
+    return f"{topic}_ON_TIME"
+
+
+def gate_job(
+    spark: SparkSession, topics: Topics, topic: str, kind: str, state: str, delay_ms: int = 0,
+    trigger: dict | None = None, **limits: str,
+) -> StreamingQuery:
+    """Records of a topic that are in time and usable to `on_time(topic)`, the others to quarantine.
+    `kind` says what they are: log, order_info or order_detail. A job that reads the gated topic
+    takes the same delay and no limit of files, so that batches of the gate stay whole."""
+    lines = read_topic(tune(spark), topics, topic, **limits)
+    rejected = TOPIC_LOG_REJECTS if kind == "log" else TOPIC_DB_REJECTS
+    step = GateStep(topics, on_time(topic), rejected, JUDGES[kind], state, delay_ms)
+    return run_batches(lines, step, f"gate_{topic}", state, trigger)
+
+
+def page_stream(spark: SparkSession, topics: Topics, source: str = TOPIC_PAGE, **limits: str) -> DataFrame:
+    """The page topic, parsed; records without visitor or time are left out (a gate quarantines them)."""
+    lines = read_topic(spark, topics, source, **limits)
     parsed = logs.log_valid(logs.parse_log(lines))
     return parsed.select("value", "offset", "mid", "is_new", "page_id", "last_page_id", "ts")
 
 
 def unique_visit_job(
     spark: SparkSession, topics: Topics, state: str, trigger: dict | None = None,
-    emit: str = "first_seen", day_start: str = "0 seconds", delay: str = transforms.NO_DELAY, **limits: str,
+    emit: str = "first_seen", day_start: str = "0 seconds", delay: str = transforms.NO_DELAY,
+    source: str = TOPIC_PAGE, **limits: str,
 ) -> StreamingQuery:
     """Page log to one entry record per visitor and day."""
-    rows = transforms.unique_visit_stream(page_stream(tune(spark), topics, **limits), delay, emit, day_start)
+    rows = transforms.unique_visit_stream(page_stream(tune(spark), topics, source, **limits), delay, emit, day_start)
     return stream_to_topic(rows, topics, TOPIC_UNIQUE_VISIT, f"{state}/checkpoint", trigger)
 
 
 def bounce_job(
     spark: SparkSession, topics: Topics, state: str, within_ms: int = BOUNCE_MS,
-    trigger: dict | None = None, delay: str = transforms.NO_DELAY, **limits: str,
+    trigger: dict | None = None, delay: str = transforms.NO_DELAY, source: str = TOPIC_PAGE, **limits: str,
 ) -> StreamingQuery:
     """Page log to bounces, from session windows."""
-    rows = transforms.bounce_stream(page_stream(tune(spark), topics, **limits), within_ms, delay)
+    rows = transforms.bounce_stream(page_stream(tune(spark), topics, source, **limits), within_ms, delay)
     return stream_to_topic(rows, topics, TOPIC_USER_JUMP, f"{state}/checkpoint", trigger)
 
 
@@ -97,11 +118,12 @@ def jump_job(
 
 
 def order_wide_stream(
-    spark: SparkSession, topics: Topics, lower_ms: int, upper_ms: int, precision: str, delay: str, **limits: str
+    spark: SparkSession, topics: Topics, lower_ms: int, upper_ms: int, precision: str, delay: str,
+    sources: tuple[str, str] = (TOPIC_ORDER_INFO, TOPIC_ORDER_DETAIL), **limits: str
 ) -> DataFrame:
     """Wide order records from the two order topics."""
-    info = orders.parse_order_info(read_topic(spark, topics, TOPIC_ORDER_INFO, **limits))
-    detail = orders.parse_order_detail(read_topic(spark, topics, TOPIC_ORDER_DETAIL, **limits))
+    info = orders.parse_order_info(read_topic(spark, topics, sources[0], **limits))
+    detail = orders.parse_order_detail(read_topic(spark, topics, sources[1], **limits))
     headers = orders.header_part(orders.order_event_time(info, precision))
     lines = orders.line_part(orders.order_event_time(detail, precision))
     timed = [headers.where("header_ts IS NOT NULL"), lines.where("line_ts IS NOT NULL")]
@@ -112,14 +134,17 @@ def order_wide_job(
     spark: SparkSession, topics: Topics, state: str,
     lower_ms: int = -JOIN_BOUND_MS, upper_ms: int = JOIN_BOUND_MS, precision: str = "exact",
     add_dims: Callable[[DataFrame], DataFrame] | None = None,
-    trigger: dict | None = None, delay: str = transforms.NO_DELAY, **limits: str,
+    trigger: dict | None = None, delay: str = transforms.NO_DELAY,
+    sources: tuple[str, str] = (TOPIC_ORDER_INFO, TOPIC_ORDER_DETAIL),
+    tables: WideDims | None = None, wait_ms: int = DAY_MS, **limits: str,
 ) -> StreamingQuery:
-    """Order headers and lines to wide records, completed from dimensions by `add_dims`,
-    which is called per micro-batch so that it reads the dimensions as they are then."""
-    wide = order_wide_stream(tune(spark), topics, lower_ms, upper_ms, precision, delay, **limits)
+    """Order headers and lines to wide records. With `tables` they are completed from the
+    dimension tables, and those whose rows have not arrived wait for them up to `wait_ms`; else
+    `add_dims`, if given, is called per micro-batch."""
+    wide = order_wide_stream(tune(spark), topics, lower_ms, upper_ms, precision, delay, sources, **limits)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         complete = add_dims(batch) if add_dims else batch
         publish_topic(complete.select(F.to_json(F.struct("*")).alias("value")), topics, TOPIC_ORDER_WIDE, batch_id, state)
 
-    return run_batches(wide, step, "order_wide", state, trigger)
+    return run_batches(wide, WideDimsStep(topics, tables, state, wait_ms) if tables else step, "order_wide", state, trigger)
