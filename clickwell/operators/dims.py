@@ -172,7 +172,7 @@ def read_typed(spark: SparkSession, table: str, layout: str, keys: DataFrame | N
     spark.catalog.refreshTable(table)  # another job may have written to it
     pk, columns, stored = dim_key(spark, table), dim_columns(spark, table), spark.table(table)
     if keys is not None:
-        wanted = keys.select(F.col(keys.columns[0]).cast("string").alias("_key")).where("_key IS NOT NULL").distinct()
+        wanted = keys.select(F.col(keys.columns[0]).cast("string").alias("_key"))
         stored = stored.join(wanted, F.col(pk) == F.col("_key"), "left_semi")
     image = fold_versions(stored, pk, columns)
     return image.select(*[

@@ -152,40 +152,36 @@ def sku_dimension(sku: DataFrame, spu: DataFrame, trademark: DataFrame, category
 
 
 def wide_and_missing(wide: DataFrame, province: DataFrame, user: DataFrame, sku: DataFrame) -> DataFrame:
-    """`order_wide_dims` with `missing`: the dimensions of which a record names a row that is not
-    there. `sku` comes from `sku_with_parts`; a record without an id lacks nothing."""
-    found = {
-        "province_id": province.select(F.col("id").alias("_province"), F.lit(True).alias("_has_province")),
-        "user_id": user.select(F.col("id").alias("_user"), F.lit(True).alias("_has_user")),
-        "sku_id": sku.select(F.col("sku_id").alias("_sku"), F.col("whole").alias("_has_sku")),
-    }
-    joined = order_wide_dims(wide, province, user, sku)
-    for name, rows in found.items():
-        joined = joined.join(rows, F.col(name) == F.col(rows.columns[0]), "left")
-    missing = F.array_compact(F.array(*[
-        F.when(F.col(name).isNotNull() & ~F.coalesce(F.col(rows.columns[1]), F.lit(False)), F.lit(name.removesuffix("_id")))
-        for name, rows in found.items()]))
-    return joined.withColumn("missing", missing).drop(*[c for rows in found.values() for c in rows.columns])
-
-
-def order_wide_dims(wide: DataFrame, province: DataFrame, user: DataFrame, sku: DataFrame) -> DataFrame:
-    """Add province, user and product columns; an unknown id leaves them null.
+    """Add province, user and product columns, and `missing`: the dimensions of which a record names
+    a row that is not there. `sku` comes from `sku_with_parts`. An unknown id leaves columns null; a
+    record without an id lacks nothing.
 
     A dimension below the broadcast threshold is shipped to the tasks; a larger one is
     joined by sort-merge, where AQE splits the partitions of hot ids.
     """
+    there = F.lit(True)
     provinces = province.select(
         F.col("id").alias("province_id"), F.col("name").alias("province_name"),
         F.col("area_code").alias("province_area_code"),
         F.col("iso_code").alias("province_iso_code"),
-        F.col("iso_3166_2").alias("province_3166_2_code"),
+        F.col("iso_3166_2").alias("province_3166_2_code"), there.alias("_has_province"),
     )
     users = user.select(
-        F.col("id").alias("user_id"), F.col("age").alias("user_age"), F.col("gender").alias("user_gender")
+        F.col("id").alias("user_id"), F.col("age").alias("user_age"), F.col("gender").alias("user_gender"),
+        there.alias("_has_user"),
     )
-    skus = sku.select("sku_id", "spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name")
+    skus = sku.select(
+        "sku_id", "spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name", F.col("whole").alias("_has_sku"))
     joined = (
         wide.join(skus, "sku_id", "left").join(users, "user_id", "left").join(provinces, "province_id", "left")
     )
-    added = [c for table in (provinces, users, skus) for c in table.columns[1:]]
-    return joined.select(*wide.columns, *added)
+    missing = F.array_compact(F.array(*[
+        F.when(F.col(f"{name}_id").isNotNull() & ~F.coalesce(f"_has_{name}", F.lit(False)), F.lit(name))
+        for name in ("province", "user", "sku")]))
+    added = [c for table in (provinces, users, skus) for c in table.columns[1:-1]]
+    return joined.select(*wide.columns, *added, missing.alias("missing"))
+
+
+def order_wide_dims(wide: DataFrame, province: DataFrame, user: DataFrame, sku: DataFrame) -> DataFrame:
+    """Add province, user and product columns; an unknown id leaves them null."""
+    return wide_and_missing(wide, province, user, sku.withColumn("whole", F.lit(True))).drop("missing")

@@ -259,12 +259,15 @@ def stream_order_wide_dims(spark, sf_dir):
             own, topics, f"{root}/orders", -JOIN_MS, JOIN_MS, trigger=ONCE, delay=DELAY,
             tables=WideDims(schema), wait_ms=WAIT_MS)
 
+    def two(landing: Landing, i: int) -> Callable[[], None]:
+        return lambda: [lands() for lands in landing[i:i + 2]] and None
+
     def change_run() -> StreamingQuery:
         return jobs.change_job(own, topics, adapters.dim_route_config, schema, f"{root}/changes", location, ONCE)
 
-    for headers, lines, rows in zip(*order_landings, change_landing):
-        work_off(order_run, [headers], [lines])
-        work_off(change_run, [rows])
+    for i in range(0, BATCHES, 2):
+        work_off(order_run, *[[two(landing, i)] for landing in order_landings])
+        work_off(change_run, [two(change_landing, i)])
     for topic in (TOPIC_ORDER_INFO, TOPIC_ORDER_DETAIL):
         write_topic(spark.range(1).select(F.lit(END_ORDER).alias("value")), topics, topic, BATCHES)
     work_off(order_run, [lambda: None])

@@ -1,7 +1,7 @@
 """Wide order records meet their dimensions, also those that arrive later.
 
 A dimension row and the order that names it come by different ways, so the row may be missing when
-the order is worked on. Such a record waits: it is tried again with every micro-batch and goes out
+the order is worked on. Such a record waits: it is tried again with every micro-batch that brings records and goes out
 once all its rows are there, or without them `wait_ms` of event time later. Dimensions are read as
 they are then, and only the rows that the records of the batch name.
 """
@@ -70,13 +70,15 @@ class WideDimsStep:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, marks = batch_session(batch), Marks(f"{self.state}/marks")
-        fresh = batch.withColumn("at", F.unix_millis(parse_time("create_time")))
-        with kept(self.waiting(spark, batch_id).unionByName(fresh)) as rows:
-            newest = rows.agg(F.max("at")).first()[0]
+        with kept(batch.withColumn("at", F.unix_millis(parse_time("create_time")))) as fresh:
+            newest, n = fresh.agg(F.max("at"), F.count("*")).first()
             mark = max(marks.before(spark, batch_id), newest or 0)
+            rows = self.waiting(spark, batch_id).unionByName(fresh)
             # A record without a time has nothing to wait by.
             due = F.coalesce(F.col("at") + self.wait_ms <= mark, F.lit(True))
-            with kept(self.tables.add_to(rows).withColumn("ready", (F.size("missing") == 0) | due)) as tried:
+            # Where only the watermark has moved, nothing is tried again.
+            tried = self.tables.add_to(rows).withColumn("ready", (F.size("missing") == 0) | due) if n else rows.withColumn("ready", F.lit(False))
+            with kept(tried) as tried:
                 done = tried.where("ready").drop("ready", "missing", "at")
                 publish_topic(done.select(F.to_json(F.struct("*")).alias("value")), self.topics, self.topic, batch_id, self.state)
                 tried.where("NOT ready").select(*rows.columns).write.mode("overwrite").parquet(self.folder(batch_id))
