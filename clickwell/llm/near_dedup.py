@@ -12,10 +12,13 @@ itself about one in ten million is missed.
 
 Identical texts are one text from the start. Within a bucket of texts that agree in a band, texts
 are compared only until they are connected: a text whose class is known to be that of another is
-not compared with it again. Large buckets are cut into blocks; blocks are connected through one
-pivot block, and what remains apart is compared with all other blocks. Thus no link between
-different texts is lost, and a group of near copies costs about as many comparisons as it has
-members.
+not compared with it again. A few bands go first, and connect most of what is alike. Buckets of
+the other bands matter only where several classes still meet; the classes that do make a
+component, and a component is cut into blocks, so that a text is sent once per block it has to
+meet and not once per band. Components so large that this would send more stay with their buckets,
+whose blocks are connected through one pivot block, and what remains apart is compared with all
+other blocks. Thus no link between different texts is lost, and a group of near copies costs about
+as many comparisons as it has members.
 """
 
 from __future__ import annotations
@@ -34,7 +37,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SIGNATURE, ROWS, ORDERS = 256, 8, 4
 BANDS = SIGNATURE // ROWS * ORDERS
+EARLY = 8  # bands that are compared first
 BLOCK = 256
+BAND_COST = 1  # of a row that is sent for a band, against one that is sent for a block
 
 SIGNED = "text_key binary, doc_id bigint, bands array<bigint>"
 BAG = "id bigint, shingles binary"
@@ -192,9 +197,12 @@ class Classes:
         self.parent[j] = i
 
 
-def connect(keys: list[int], classes: list, bags: list[bytes], sides: list[bool] | None = None) -> list[tuple[int, int]]:
+def connect(
+    keys: list[int], classes: list, bags: list[bytes], sides: list | None = None, bands: np.ndarray | None = None
+) -> list[tuple[int, int]]:
     """Links that connect the texts of a block, each implied by verified ones. Texts of one class (from earlier links)
-    count as connected; with `sides`, only pairs of a text of either side are compared.
+    count as connected; with `sides`, texts of the same side are not compared, and with `bands` (a row
+    of band keys per text) only texts that agree in one.
 
     A text is compared with one text after another until all of its links inside the block are
     known or implied; texts already connected with it are passed over.
@@ -208,15 +216,17 @@ def connect(keys: list[int], classes: list, bags: list[bytes], sides: list[bool]
     sizes = np.array([len(e) for e in elements])
     joined: set[int] = set()
     for i in range(len(keys)):
-        for j in range(i):
-            if sides is not None and sides[i] == sides[j]:
+        near = np.minimum(sizes[:i], sizes[i]) >= SIMILARITY * np.maximum(sizes[:i], sizes[i])
+        if bands is not None:
+            near[near] = (bands[:i][near] == bands[i]).any(axis=1)
+        for j in np.flatnonzero(near).tolist():
+            if sides is not None and sides[i] is not None and sides[i] == sides[j]:
                 continue
-            small, large = sorted((sizes[i], sizes[j]))
-            if small < SIMILARITY * large or found.root(i) == found.root(j):
+            if found.root(i) == found.root(j):
                 continue
             both = np.sort(np.concatenate([elements[i], elements[j]]), kind="stable")
             shared = int((both[1:] == both[:-1]).sum())
-            if shared >= SIMILARITY * (small + large - shared) - 1e-9:
+            if shared >= SIMILARITY * (sizes[i] + sizes[j] - shared) - 1e-9:
                 joined |= {i, j}
                 found.join(i, j)
     # Linked to the smallest of their class in the block: stars are short ways to walk.
@@ -226,7 +236,10 @@ def connect(keys: list[int], classes: list, bags: list[bytes], sides: list[bool]
 def connect_block(rows: pa.Table) -> pa.Table:
     rows = rows.sort_by("id")
     sides = rows["side"].to_pylist() if "side" in rows.column_names else None
-    links = connect(rows["id"].to_pylist(), rows["class"].to_pylist(), rows["shingles"].to_pylist(), sides)
+    bands = None
+    if "bands" in rows.column_names:
+        bands = rows["bands"].combine_chunks().flatten().to_numpy().reshape(len(rows), -1)
+    links = connect(rows["id"].to_pylist(), rows["class"].to_pylist(), rows["shingles"].to_pylist(), sides, bands)
     return pa.table({name: pa.array([link[i] for link in links], pa.int64()) for i, name in enumerate("ab")})
 
 
@@ -267,9 +280,9 @@ def links_between(texts: DataFrame, winners: DataFrame) -> DataFrame:
     of_winner = (F.col("text_key") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("best.doc_id"))
     signed = common.written(texts.select("text_key", "doc_id", "text").mapInArrow(sign, SIGNED).join(
         winners, of_winner).dropDuplicates(["text_key"]).select("id", "bands"), "signed")
-    # Bands of the first order go first, those of the others later.
+    # A few bands go first, the others later.
     buckets = signed.select("id", F.posexplode("bands").alias("pos", "band")).select(
-        "id", "band", (F.col("pos") >= BANDS // ORDERS).alias("later")).repartition("band")
+        "id", "band", (F.col("pos") >= EARLY).alias("later")).repartition("band")
     # Buckets of the same members are one bucket: the members' hashes stand for them.
     chosen = buckets.groupBy("band").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("members"),
@@ -287,20 +300,25 @@ def links_between(texts: DataFrame, winners: DataFrame) -> DataFrame:
     def with_bags(rows: DataFrame) -> DataFrame:
         return rows.join(held, F.col("id") == F.col("held")).drop("held")
 
+    # Blocks of a bucket are dealt differently in each band, so its blocks mix from band to band.
     n_blocks = F.ceil(F.col("n") / BLOCK)
-    blocked = members.withColumn("block", F.pmod(F.xxhash64("id"), n_blocks))
+    blocked = members.withColumn("block", F.pmod(F.xxhash64("id", "band"), n_blocks))
     early = blocked.where("NOT later").withColumn("class", F.lit(None).cast("bigint"))
     edges = common.written(with_bags(early).groupBy("band", "block").applyInArrow(connect_block, EDGES), "edges")
-    # A later bucket whose members are of one class by now has nothing to add.
+    # A bucket whose members are of one class by now has nothing to add, nor has one that was compared whole.
     classes = classes_of(edges)
     known = classes.withColumnRenamed("id", "known")
-    late = common.written(blocked.where("later").join(known, F.col("id") == F.col("known"), "left").drop("known").withColumn(
-        "class", F.coalesce("class", "id")), "late")
+    late = common.written(blocked.where(F.col("later") | (n_blocks > 1)).join(known, F.col("id") == F.col("known"), "left").drop(
+        "known").withColumn("class", F.coalesce("class", "id")), "late")
     mixed = late.groupBy(F.col("band").alias("of")).agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b")
-    late = common.written(late.join(mixed.select("of"), F.col("band") == F.col("of"), "left_semi"), "mixed")
+    late = common.written(late.join(mixed, F.col("band") == F.col("of")).drop("of", "b"), "mixed")
+    held_bands = held.join(signed.withColumnRenamed("id", "_id"), F.col("held") == F.col("_id")).drop("_id")
+    blocks_of, rest = by_component(late)
+    met = blocks_of.join(held_bands, F.col("id") == F.col("held")).drop("held")
     edges = common.written(stars(classes).unionAll(
-        with_bags(late).groupBy("band", "block").applyInArrow(connect_block, EDGES)), "edges")
-    large = early.drop("class").unionAll(late.drop("class")).where(n_blocks > 1)
+        met.groupBy("comp", "left", "right").applyInArrow(connect_block, EDGES)).unionAll(
+        with_bags(rest).groupBy("band", "block").applyInArrow(connect_block, EDGES)), "edges")
+    large = rest.drop("class").where(n_blocks > 1)
     if large.isEmpty():
         return edges
     # Each block of a large bucket meets the pivot block.
@@ -321,6 +339,45 @@ def links_between(texts: DataFrame, winners: DataFrame) -> DataFrame:
     return stars(classes).unionAll(with_bags(crossed).groupBy("band", "left", "right").applyInArrow(connect_block, EDGES))
 
 
+def by_component(late: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """How the rows of mixed buckets, (id, band, n, later, block, class, a) with `a` the smallest class
+    of the bucket, are compared at the least cost: (blocks of components, buckets as they are).
+
+    Classes that meet in a bucket make a component. Its main class need not be compared with itself,
+    so its texts are cut into blocks and so are the other ones, and each block of the others meets
+    every block: (comp, left, right, side, id, class). A text is sent once per block that it meets and
+    not once per band. Where that is more than the buckets' rows, the buckets stay: both ways compare
+    every pair that agrees in a band and is not of one class.
+    """
+    comps = classes_of(late.select("a", F.col("class").alias("b")).distinct()).select(F.col("id").alias("of_class"), F.col("class").alias("comp"))
+    rows = late.drop("a").join(comps, F.col("class") == F.col("of_class")).drop("of_class")
+    rows = common.written(rows, "components")
+    sizes = rows.select("comp", "class", "id").distinct().groupBy("comp", "class").agg(F.count("*").alias("size"))
+    whole = sizes.groupBy(F.col("comp").alias("_comp")).agg(
+        F.max_by("class", F.struct("size", "class")).alias("main"), F.max("size").alias("most"), F.sum("size").alias("all"))
+    whole = whole.join(rows.groupBy("comp").agg(F.count("*").alias("sent")), F.col("_comp") == F.col("comp")).drop("comp")
+    mains, others = F.ceil(F.col("most") / BLOCK), F.ceil((F.col("all") - F.col("most")) / BLOCK)
+    whole = whole.select("_comp", "main", mains.alias("mains"), others.alias("others"), (
+        F.col("most") * others + (F.col("all") - F.col("most")) * (mains + others) <= F.col("sent") * BAND_COST).alias("cheap"))
+    whole = common.written(whole, "plans")
+    placed = rows.join(whole, F.col("comp") == F.col("_comp")).drop("_comp")
+    texts = placed.where("cheap").select("comp", "id", "class", "main", "mains", "others").distinct()
+    span = lambda start, end: F.when(F.lit(start) <= end, F.sequence(F.lit(start).cast("bigint"), end)).otherwise(
+        F.array().cast("array<bigint>"))
+    main = texts.where("class = main").withColumn("right", F.pmod(F.xxhash64("id"), F.col("mains")))
+    met = main.select("comp", F.explode(span(0, F.col("others") - 1)).alias("left"), "right", F.lit(0).alias("side"), "id", "class")
+    other = texts.where("class <> main").withColumn("own", F.pmod(F.xxhash64("id"), F.col("others")))
+    met = met.unionAll(other.select(
+        "comp", F.col("own").alias("left"), F.explode(span(0, F.col("mains") - 1)).alias("right"), F.lit(1).alias("side"), "id", "class"))
+    # Blocks of the others among themselves, each pair once; a block with itself has no sides.
+    index = F.explode(span(0, F.col("others") - 1)).alias("peer")
+    pairs = other.select("comp", "own", "others", "mains", index, "id", "class")
+    met = met.unionAll(pairs.select(
+        "comp", F.least("own", "peer").alias("left"), F.col("mains") + F.greatest("own", "peer"),
+        F.when(F.col("own") != F.col("peer"), (F.col("own") > F.col("peer")).cast("int")).alias("side"), "id", "class"))
+    return met, placed.where("NOT cheap").select("id", "band", "n", "later", "block", "class")
+
+
 def stars(classes: DataFrame) -> DataFrame:
     """Known classes as links: they stand for those that made them."""
     return classes.where("id <> class").select(F.col("class").alias("a"), F.col("id").alias("b"))

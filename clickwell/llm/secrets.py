@@ -12,7 +12,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -81,18 +83,20 @@ def spans_of(text: str) -> list[dict]:
             add("access", *m.span(), m[0])
     for m in HEX.finditer(text):
         add("hex", *m.span(), m[0])
-    taken = [(s["start"], s["end"]) for s in found]
     for kind, pattern in (("key", KEY), ("token", TOKEN), ("opaque", OPAQUE)):
+        # Spans found so far by start, with the furthest end up to each; those of one pattern are apart.
+        taken = sorted((s["start"], s["end"]) for s in found)
+        starts, reach = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
         for m in pattern.finditer(text):
+            before = bisect_left(starts, m.end())  # spans that begin before this one ends
             # What stands inside a private key does not hide the key.
-            if kind != "key" and any(a < m.end() and m.start() < b for a, b in taken):
+            if kind != "key" and before and reach[before - 1] > m.start():
                 continue
             if kind == "opaque" and not looks_opaque(m[0]):
                 continue
             # A private key is the same in whatever lines it stands.
             value = hashlib.sha256("".join(m[0].split()).encode("utf-8", "replace")).hexdigest() if kind == "key" else m[0]
             add(kind, *m.span(), value)
-            taken.append(m.span())
     return sorted(found, key=lambda s: (s["start"], s["kind"]))
 
 

@@ -1,6 +1,7 @@
 """Exact and near dedup against brute force."""
 
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -98,6 +99,42 @@ def test_near_dedup_equals_all_pairs(spark, monkeypatch, block):
     assert sum(r.kept for r in rows) == groups
 
 
+def half_alike(n):
+    """Texts of one frame with a few words each of their own: some pairs link, most that share a
+    band do not; and a group of near copies beside them."""
+    rng = random.Random(5)
+    frame = fixtures.prose(40, 150).split()
+    rows = []
+    for i in range(n):
+        words = list(frame)
+        for at in rng.sample(range(150), 1 if i % 3 == 0 else 3):
+            words[at] = f"own{i}x{at}"
+        rows.append((1_000 + i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("way", ["cheaper", "blocks", "bands"])
+def test_both_ways_to_compare_components_give_the_same(spark, monkeypatch, way):
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "EARLY", 2)
+    whole, used = near_dedup.by_component, []
+
+    def forced(late):
+        met, rest = whole(late)
+        used.append((met.count(), rest.count()))
+        if way == "bands":
+            return met.limit(0), late.drop("a")
+        return met, rest
+
+    monkeypatch.setattr(near_dedup, "by_component", forced)
+    if way == "blocks":
+        monkeypatch.setattr(near_dedup, "BAND_COST", 10**6)
+    given = [*half_alike(90), *copies()]
+    rows = near_dedup.group(fixtures.table(spark, given)).collect()
+    assert Counter((r.doc_id, r.class_id, r.class_size) for r in rows) == near_expected(given)[0]
+    assert way != "blocks" or used[0][0] > 0 and used[0][1] == 0
+
+
 def test_near_dedup_of_nothing(spark):
     assert near_dedup.group(fixtures.table(spark, [])).count() == 0
 
