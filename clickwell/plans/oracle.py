@@ -380,5 +380,12 @@ ORACLE |= {
             FROM judged WHERE NOT late AND coalesce(last_page_id, '') = '' GROUP BY mid, visit_day
         )
     """),
+    "stream_order_wide_merge": ORACLE["order_wide_merge_all"],
+    "stream_cdc_refresh": _sql(CHANGES, """
+        SELECT CASE WHEN "table" = 'supplier' THEN 'dwd_supplier' WHEN id % 4 >= 2 THEN 'dwd_order_new'
+               WHEN kind = 'insert' THEN 'dwd_order' ELSE 'dwd_order_update' END AS topic, id
+        FROM valid_changes
+        WHERE "table" = 'orders' AND (id % 4 < 2 OR kind = 'insert') OR "table" = 'supplier' AND kind = 'insert' AND id % 4 >= 2
+    """),
     "stream_order_wide_dims": ORACLE["order_wide_dims"],
 }

@@ -10,6 +10,7 @@ undecided records come out too. A run fails if a stateful operator drops a row a
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -278,6 +279,54 @@ def stream_order_wide_dims(spark, sf_dir):
     return spark.read.parquet(f"{root}/result")
 
 
+@query
+def stream_order_wide_merge(spark, sf_dir):
+    """All orders from two streams of partial ones, the right parts a month after the left ones."""
+    root = run_dir(spark, "order-wide-merge")
+    topics = folder_topics(root)
+    left, right = adapters.partial_orders(spark, sf_dir)
+    right = right.withColumn("create_ts", F.col("create_ts") + JOIN_MS)
+    sources = (f"{TOPIC_ORDER_INFO}_LEFT", f"{TOPIC_ORDER_INFO}_RIGHT")
+    end = f'{{"order_id":{END_ID},"create_ts":{END_TS}}}'
+    landings = [
+        land(rows.select(F.to_json(F.struct("*")).alias("value")), topics, topic, time_in("create_ts"), end=end)
+        for topic, rows in zip(sources, (left, right))
+    ]
+    own = job_session(spark)
+    layout = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in left.schema.fields)
+    work_off(lambda: jobs.completion_job(
+        own, topics, sources, "COMPLETE", layout, "order_id", "create_ts", f"{root}/state", 2 * JOIN_MS, ONCE, DELAY), *landings)
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in left.schema.fields if f.name != "create_ts")
+    whole = read_topic(spark, topics, "COMPLETE", stream=False).select(F.from_json("value", fields).alias("w")).select("w.*")
+    return whole.where(F.col("order_id") != END_ID)
+
+
+@query
+def stream_cdc_refresh(spark, sf_dir):
+    """Facts routed by a configuration that is replaced while the job runs, between the second and
+    the third range of changes; (topic, id)."""
+    root = run_dir(spark, "cdc-refresh")
+    topics = folder_topics(root)
+    changes = adapters.cdc_log(spark, sf_dir)
+    part = F.coalesce(F.get_json_object("value", "$.data.id").try_cast("bigint") % BATCHES, F.lit(0))
+    landing = land_parts(changes.select("value", part), topics, TOPIC_RAW_DB)
+    own, held = job_session(spark), {"routes": adapters.ROUTES}
+    for i, lands in enumerate(landing):
+        if i == BATCHES // 2:
+            held["routes"] = adapters.LATER_ROUTES
+        work_off(lambda: jobs.change_job(
+            own, topics, lambda session: adapters.route_config(session, held["routes"]), "dim_" + root.rsplit("-", 1)[1],
+            f"{root}/state", f"{root}/dims", ONCE), [lands])
+    facts = [
+        read_topic(spark, topics, topic, stream=False).select(
+            F.lit(topic).alias("topic"), F.get_json_object("value", "$.data.id").cast("bigint").alias("id"))
+        for topic in ("dwd_order", "dwd_order_update", "dwd_order_new", "dwd_supplier")
+    ]
+    reduce(DataFrame.unionAll, facts).write.parquet(f"{root}/result")
+    spark.sql(f"DROP SCHEMA dim_{root.rsplit('-', 1)[1]} CASCADE")
+    return spark.read.parquet(f"{root}/result")
+
+
 @query
 def stream_cdc_route(spark, sf_dir):
     """Fact messages, and the rows of the dimension tables, one column value per row."""

@@ -127,6 +127,11 @@ class ChangeStep:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch_session(batch)
         routes = cdc.route_table(self.config_of(spark, batch_id))
+        # A route that keeps some columns but not the key cannot make a table: its changes are set aside.
+        own_key = F.coalesce(F.nullif("sink_pk", F.lit("")), F.lit(DEFAULT_KEY))
+        keeps_key = records.is_blank("sink_columns") | F.array_contains(F.split("sink_columns", ","), own_key)
+        routes = routes.withColumn("target", F.when(
+            (F.col("target") == "dim") & ~keeps_key, "bad_config").otherwise(F.col("target")))
         parsed = cdc.cdc_normalize(cdc.parse_cdc(batch.select("value", "offset")))
         with_fault = parsed.withColumn("fault", cdc.fault(self.min_columns))
         projected = cdc.cdc_project(cdc.cdc_classify(with_fault, routes))

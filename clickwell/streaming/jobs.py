@@ -21,6 +21,7 @@ from clickwell.session import tune
 from clickwell.sources.topics import Topics, land_raw_log, publish_topic, read_topic, stream_to_topic
 from clickwell.streaming import transforms
 from clickwell.streaming.batches import TOPIC_DB_REJECTS, TOPIC_LOG_REJECTS, ChangeStep, FirstVisits, JumpStep, LogStep
+from clickwell.streaming.completion import completion_stream
 from clickwell.streaming.gate import JUDGES, GateStep
 from clickwell.streaming.waiting import DAY_MS, WideDims, WideDimsStep
 
@@ -148,3 +149,15 @@ def order_wide_job(
         publish_topic(complete.select(F.to_json(F.struct("*")).alias("value")), topics, TOPIC_ORDER_WIDE, batch_id, state)
 
     return run_batches(wide, WideDimsStep(topics, tables, state, wait_ms) if tables else step, "order_wide", state, trigger)
+
+
+def completion_job(
+    spark: SparkSession, topics: Topics, sources: tuple[str, str], sink: str, layout: str, key: str, at: str, state: str,
+    wait_ms: int = DAY_MS, trigger: dict | None = None, delay: str = transforms.NO_DELAY, **limits: str,
+) -> StreamingQuery:
+    """Partial records (JSON of `layout`) of two topics to complete ones, by `completion_stream`."""
+    tune(spark)
+    left, right = (
+        read_topic(spark, topics, topic, **limits).select(F.from_json("value", layout).alias("r")).select("r.*") for topic in sources)
+    whole = completion_stream(left, right, key, at, wait_ms, delay)
+    return stream_to_topic(whole.select(F.to_json(F.struct("*")).alias("value")), topics, sink, f"{state}/checkpoint", trigger)
