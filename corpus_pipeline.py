@@ -19,9 +19,10 @@ from clickwell.llm import common, exact_dedup, near_dedup, packing, secrets, tox
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold stay. The model learns from the labels of `docs`."""
     labels = common.table(spark, sf_dir, "labels")
-    scored = docs.withColumn("_score", toxicity.score(
-        F.coalesce(docs["text"], F.lit("")), toxicity.train(docs, labels, ~toxicity.held_out(F.col("doc_id"))), spark))
-    return scored.where(F.col("_score") < toxicity.THRESHOLD).drop("_score")
+    model = toxicity.train(docs, labels, ~toxicity.held_out(F.col("doc_id")))
+    score = toxicity.score(F.coalesce(docs["text"], F.lit("")), model, spark)
+    scored = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), score.alias("score"))
+    return scored.where(F.col("score") < toxicity.THRESHOLD).select("doc.*")
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
