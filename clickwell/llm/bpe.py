@@ -30,19 +30,11 @@ _words: dict[str, encoding.Words] = {}
 _vocab: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
 
-def alphabet() -> dict[str, int]:
-    """The printable character that byte-level vocabularies write for each byte."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    names = {chr(b): b for b in plain}
-    rest = (b for b in range(256) if b not in set(plain))
-    return names | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 def vocab_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All tokens' bytes in one array, with the start and length of each id."""
     if path not in _vocab:
         model = encoding.tokenizer(path)
-        names, special = alphabet(), model.get_added_tokens_decoder()
+        names, special = encoding.alphabet(), model.get_added_tokens_decoder()
         size = model.get_vocab_size(with_added_tokens=True)
         tokens = [
             special[i].content.encode() if i in special
@@ -98,9 +90,9 @@ def tree(model: Tokenizer, text: str, leaf: int = LONG) -> list[int]:
 
 def encode_piece(path: str, piece: str, long: int = LONG) -> list[int]:
     """The ids of a text between two breaks."""
-    model = encoding.tokenizer(path)
     if len(piece) <= long:
-        return model.encode(piece, add_special_tokens=False).ids
+        return encoding.ids_by(path)(piece)
+    model = encoding.tokenizer(path)
     ids: list[int] = []
     for part in special_parts(model, piece):
         if model.token_to_id(part) is not None and part in special_names(model):

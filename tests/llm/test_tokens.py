@@ -1,6 +1,7 @@
 """Encoding, packing, chats and the pipeline."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,7 +12,7 @@ from tokenizers import Tokenizer
 import compare
 import corpus_pipeline
 import fixtures
-from clickwell.llm import bpe, chat, common, packing
+from clickwell.llm import bpe, chat, common, encoding, packing
 
 SF_DIR = "/root/testdata/sf0.001"
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -155,3 +156,19 @@ def test_pipeline_stages_stand_odd_rows(spark):
             out = stage(spark, rows, SF_DIR)
             assert name == "packing" or out.columns == rows.columns
             assert out.count() <= 3 * rows.count()
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_of_letters_by_ranks_equal_the_library(name):
+    path = public_tokenizers.path(name)
+    model, quick = encoding.tokenizer(path), encoding.ranked(path)
+    assert quick is not None
+    words, ids = quick
+    rng = random.Random(8)
+    tried = ["a", "ß", " the", "straße", "z" * 256]
+    tried += ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzäéñßÿ", k=rng.randint(1, 256 if i % 50 == 0 else 14))) for i in range(4_000)]
+    tried += [" " + w for w in tried] + [w.title() for w in tried]
+    good = [w for w in tried if words.fullmatch(w)]
+    assert len(good) >= 4_000
+    assert [ids(w) for w in good] == [e.ids for e in model.encode_batch(good, add_special_tokens=False)]
+    assert not any(words.fullmatch(w) for w in ("", "it's", "a1", "a b", "\u00f7", "\u4e2d", "e\u0301", "a" * 300))
