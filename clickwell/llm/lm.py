@@ -4,14 +4,17 @@ Words are cut into the subword ids of a public byte-level vocabulary (a word beg
 there, so ids give the words back). The model has one layer of causal self-attention and a small
 feed-forward part; it predicts the class of the next subword, and corpus counts tell the subword
 within its class, given the subword before it in the word. Frequent subwords are classes of their
-own, the others are clustered by what stands beside them inside words. The classes, the counts of
+own, the others are clustered by what stands beside them inside words. Subwords that begin a word and
+those that continue one are never of the same class, so the shares within each class, single
+ones or those of pairs, sum to one, and so does the model over all next subwords. The classes, the counts of
 pairs and the counts of words are gathered over all training documents. Attention weights are trained on all training texts
 from end to end, each token being a target at least once: shards train in parallel, their weights
 are averaged, several rounds.
 
 Long texts are scored in overlapping windows: each window after a text's first only scores the
-positions behind the overlap, so each token counts once and sees at least OVERLAP tokens. A
-word's probability is a mixture of the attention model and the word's corpus share. Shares of the
+positions behind the overlap, so each token counts once and sees at least OVERLAP tokens. The
+model's probability of a word is that of its subwords, given that a word begins, times that of a word
+beginning after them: over all words it sums to one at most. A word's probability is a mixture of the attention model and the word's corpus share. Shares of the
 most frequent words are at hand in all tasks, those of all others come by a join.
 """
 
@@ -34,9 +37,10 @@ WINDOW, OVERLAP, WIDTH, HIDDEN = 24, 6, 16, 16
 STRIDE = WINDOW - OVERLAP
 KNOWN_IDS = 2_048  # subwords with an embedding and a class by cluster: the most frequent ones
 SINGLE, CLUSTERS, SPARE = 48, 15, 64
+BEGIN_CLUSTERS = 8  # of the clusters, those of ids that begin a word
 CHUNK = 65_536  # training windows a task holds at a time; a shard may have any number of them
 BACKOFF = 10.0  # weight of the class's shares against counts of pairs
-CLASSES = SINGLE + CLUSTERS + 1
+CLASSES = SINGLE + CLUSTERS + 2
 HEAD_WORDS = 100_000  # words whose share of the corpus is sent to all tasks: a bounded table
 SHARE = 0.5  # of the words' corpus shares in the mixture
 ROUNDS, STEPS, EPOCHS, BATCH, RATE = 3, 200, 6, 64, 1e-2  # STEPS and EPOCHS bound repeated passes, never the first
@@ -82,6 +86,15 @@ def subwords(path: str) -> Ids:
     return _ids[path]
 
 
+def beginnings(path: str, size: int) -> np.ndarray:
+    """Of each id whether it begins a word: those that hold the blank before it, and the end of a text."""
+    out = np.zeros(size, dtype=bool)
+    for piece, i in encoding.tokenizer(path).get_vocab().items():
+        out[i] = piece.startswith("Ġ")
+    out[-1] = True
+    return out
+
+
 def utf8(texts: pa.Array) -> list[bytes]:
     return texts.cast(pa.binary()).to_pylist()
 
@@ -150,14 +163,16 @@ def clusters(features: np.ndarray, k: int) -> np.ndarray:
 class Vocabulary:
     """Input number, class and log share within its class of each subword id."""
 
-    def __init__(self, size: int, ids: np.ndarray, counts: np.ndarray, pairs: np.ndarray):
+    def __init__(self, size: int, ids: np.ndarray, counts: np.ndarray, pairs: np.ndarray, begins: np.ndarray | None = None):
+        """`begins` tells of each id whether it begins a word."""
+        begins = np.ones(size, dtype=bool) if begins is None else begins
         order = np.lexsort((ids, -counts))
         ids, counts = ids[order], counts[order].astype(np.float64)
         top = ids[:KNOWN_IDS]
         rank = np.full(size, -1, dtype=np.int64)
         rank[top] = np.arange(len(top))
         self.inputs = np.where(rank >= 0, rank, KNOWN_IDS + np.arange(size) % SPARE)
-        self.classes = np.full(size, CLASSES - 1, dtype=np.int64)
+        self.classes = np.where(begins, CLASSES - 2, CLASSES - 1)
         self.classes[top[:SINGLE]] = np.arange(len(top[:SINGLE]))
         rest = top[SINGLE:]
         if len(rest):
@@ -168,12 +183,18 @@ class Vocabulary:
             np.add.at(beside, (a[known], len(top) + b[known]), n[known])
             beside = beside[SINGLE:]
             beside /= np.maximum(1e-9, np.linalg.norm(beside, axis=1, keepdims=True))
-            self.classes[rest] = SINGLE + clusters(beside, CLUSTERS)
+            for kind, at, k in ((True, SINGLE, BEGIN_CLUSTERS), (False, SINGLE + BEGIN_CLUSTERS, CLUSTERS - BEGIN_CLUSTERS)):
+                own = begins[rest] == kind
+                if own.any():
+                    self.classes[rest[own]] = at + clusters(beside[own], k)
         each = np.full(size, 0.1)
         each[ids] += counts
         total = np.bincount(self.classes, each, minlength=CLASSES)
         self.log_share = np.log(each / total[self.classes]).astype(np.float32)
         self.log_class = np.log(total / total.sum() + 1e-9).astype(np.float32)
+        self.empty = total == 0
+        self.beginning = np.zeros(CLASSES, dtype=np.float32)  # 1 for classes of ids that begin a word
+        self.beginning[self.classes[begins]] = 1
         # Log share of the second of two neighbours within its class, given the first.
         self.rank = rank
         seen = np.zeros((len(top), len(top)), dtype=np.float32)
@@ -233,17 +254,20 @@ def log_classes(p: dict, g: np.ndarray) -> np.ndarray:
     return z - np.log(np.exp(z).sum(axis=-1, keepdims=True))
 
 
-def prepared(p: dict) -> dict[str, np.ndarray]:
-    """The weights as scoring wants them: the scale of attention within those of the queries."""
+def prepared(p: dict, v: Vocabulary | None = None) -> dict[str, np.ndarray]:
+    """The weights as scoring wants them: the scale of attention within those of the queries, no
+    mass on classes without an id, and which classes begin a word."""
     qkv = p["qkv"].copy()
     qkv[:, :WIDTH] *= np.float32(WIDTH**-0.5)
-    return p | {"qkv": qkv, "before": np.tril(np.ones((WINDOW, WINDOW), dtype=np.float32)),
-                "ones": np.ones(CLASSES, dtype=np.float32)}
+    ones = np.ones(CLASSES, dtype=np.float32)
+    out0 = p["out0"] if v is None else np.where(v.empty, np.float32(-1e4), p["out0"])
+    return p | {"qkv": qkv, "out0": out0, "before": np.tril(np.ones((WINDOW, WINDOW), dtype=np.float32)),
+                "ones": ones, "sums": np.stack([ones, ones if v is None else v.beginning], axis=1)}
 
 
-def log_target(p: dict, tokens: np.ndarray, live: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Log probability of the target class at each live place of windows: what attend() and
-    log_classes() give, in fewer passes. Exponents are not shifted, so weights beyond a float's
+def log_target(p: dict, tokens: np.ndarray, live: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log probabilities of the target class, and of any that begins a word, at each live place of
+    windows: what attend() and log_classes() give, in fewer passes. Exponents are not shifted, so weights beyond a float's
     range give no finite number; such a block goes the longer way."""
     x = p["embed"][tokens] + p["place"]
     qkv = (x.reshape(-1, WIDTH) @ p["qkv"]).reshape(*x.shape[:2], 3 * WIDTH)
@@ -261,7 +285,8 @@ def log_target(p: dict, tokens: np.ndarray, live: np.ndarray, target: np.ndarray
     z += p["out0"]
     own = z[np.arange(len(z)), target]
     np.exp(z, out=z)
-    return own - np.log(z @ p["ones"])
+    whole, begin = np.log(z @ p["sums"]).T
+    return own - whole, begin - whole
 
 
 def gradient(p: dict, tokens: np.ndarray, target: np.ndarray, live: np.ndarray) -> dict[str, np.ndarray]:
@@ -426,24 +451,38 @@ def train(docs: DataFrame, vocabulary: Vocabulary, path: str, n_ids: int) -> dic
 
 
 def log_tokens(p: dict, v: Vocabulary, texts: list[np.ndarray], inner: np.ndarray) -> np.ndarray:
-    """Log probabilities of all ids of all texts, one after another, by prepared() weights; `inner` marks the ids that
-    continue a word. Windows of several texts go
-    through the model together."""
+    """Log probabilities of all ids of all texts, one after another."""
+    return log_places(p, v, texts, inner)[0]
+
+
+def log_places(p: dict, v: Vocabulary, texts: list[np.ndarray], inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log probabilities of all ids of all texts, one after another, by prepared() weights, and at each
+    id's place that of a word beginning there; `inner` marks the ids that continue a word. Windows of
+    several texts go through the model together."""
     ids = np.concatenate(texts)
     tokens, live = laid_out(v.inputs[ids], np.array([len(own) for own in texts]))
     want = v.classes[ids]
-    out, at = np.empty(len(ids), dtype=np.float32), 0
+    out, begin, at = np.empty(len(ids), dtype=np.float32), np.empty(len(ids), dtype=np.float32), 0
     with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
         for i in range(0, len(tokens), 256):
             part, fresh = tokens[i:i + 256], live[i:i + 256]
             target = want[at:at + int(fresh.sum())]
-            found = log_target(p, part, fresh, target)
-            if not np.isfinite(found).all():
+            found, starts = log_target(p, part, fresh, target)
+            if not (np.isfinite(found).all() and np.isfinite(starts).all()):
                 plain = p | {"qkv": p["qkv"] * np.repeat(np.float32([WIDTH**0.5, 1, 1]), WIDTH)}
-                found = log_classes(plain, attend(plain, part)[0][fresh])[np.arange(len(target)), target]
-            out[at:at + len(found)] = found
+                logs = log_classes(plain, attend(plain, part)[0][fresh])
+                found = logs[np.arange(len(target)), target]
+                starts = np.log(np.maximum(np.exp(logs) @ p["sums"][:, 1], 1e-30))
+            out[at:at + len(found)], begin[at:at + len(found)] = found, starts
             at += len(found)
-    return out + v.log_within(ids, inner)
+    return out + v.log_within(ids, inner), begin
+
+
+def log_words(logs: np.ndarray, begin: np.ndarray, begins: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Log probability of each word: of its ids, given that a word begins, and of a word beginning
+    behind them. `begins` are the places of words' first ids; `last` marks ends of texts, behind which nothing is."""
+    at = begin[begins].astype(np.float64)
+    return np.add.reduceat(logs.astype(np.float64), begins) - at + np.where(last, 0.0, np.append(at[1:], 0.0))
 
 
 class Frequent(dict):
@@ -474,7 +513,7 @@ def score(docs: DataFrame, path: str) -> DataFrame:
     beside = pairs.join(top.select(F.col("id").alias("a")), "a", "left_semi").join(
         top.select(F.col("id").alias("b")), "b", "left_semi").select("a", "b", "n").toArrow()
     size = encoding.tokenizer(path).get_vocab_size() + 1
-    vocabulary = Vocabulary(size, id_, n_, np.stack([beside[c].to_numpy() for c in ("a", "b", "n")], axis=1))
+    vocabulary = Vocabulary(size, id_, n_, np.stack([beside[c].to_numpy() for c in ("a", "b", "n")], axis=1), beginnings(path, size))
     weights = train(docs, vocabulary, path, int(n_.sum()))
     head = counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).toArrow()
     log_of = lambda c: math.log10((c + 0.1) / (total + 0.1 * (distinct + 1)))
@@ -482,7 +521,7 @@ def score(docs: DataFrame, path: str) -> DataFrame:
     # The last place is that of all other words.
     base_log = np.array([*map(log_of, head["n"].to_pylist()), 0.0])
     direct = np.append(head["n"].to_numpy() * (SHARE / max(1, total)), 0.0)
-    sent = sc.broadcast((prepared(weights), vocabulary, frequent, base_log, direct))
+    sent = sc.broadcast((prepared(weights, vocabulary), vocabulary, frequent, base_log, direct))
     share = SHARE if total else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -497,8 +536,9 @@ def score(docs: DataFrame, path: str) -> DataFrame:
                 begins = np.cumsum(length) - length
                 inner = np.ones(len(ids), dtype=bool)
                 inner[begins] = False
-                logs = log_tokens(p, v, np.split(ids, ends[:-1]), inner)
-                by_word = np.add.reduceat(logs.astype(np.float64), begins)
+                last = np.zeros(len(flat), dtype=bool)
+                last[np.cumsum(each) - 1] = True
+                by_word = log_words(*log_places(p, v, np.split(ids, ends[:-1]), inner), begins, last)
                 found = np.fromiter(map(known.__getitem__, flat), dtype=np.int64, count=len(flat))
                 model = (1 - share) * np.exp(np.maximum(by_word, -600))
                 mixed = np.where(found >= 0, np.log10(direct[found] + model), 0.0)
