@@ -13,6 +13,8 @@ that needs no further shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -45,9 +47,18 @@ R_GRID = gamma_at(((np.arange(1 << R_BITS) + 0.5) / (1 << R_BITS)) ** 2)
 LOG_C_GRID = np.log(gamma_at(((np.arange(1 << C_BITS) + 0.5) / (1 << C_BITS)) ** 2))
 
 
-def sample(k: int, r_grid: Column, log_c_grid: Column) -> Column:
+def with_grids(bag: DataFrame) -> DataFrame:
+    """`bag` with both grids as columns. The condition keeps the optimizer from copying the constants
+    into each of the samples: a row has a reference to them."""
+    there = F.col("term").isNotNull()
+    return bag.select("*", F.when(there, constants(R_GRID)).alias("r_grid"), F.when(there, constants(LOG_C_GRID)).alias("log_c_grid"))
+
+
+def sample(k: int, r_grid: Column, log_c_grid: Column, log_weight: str = "log_weight") -> Column:
     """Sample k of a row (term, log_weight) as a whole number: the rank in the upper 32 bits, what
-    is sampled in the lower. The smallest over a bag's terms is the bag's sample."""
+    is sampled in the lower. The smallest over a bag's terms is the bag's sample. Null for a null
+    weight: the term is not in the bag. What depends on the term alone stands outside of
+    conditions, so that several weights share it."""
     h = F.xxhash64("term", F.lit(k))
     part = lambda shift, n: F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << n) - 1))
     larger = lambda shift, n: F.greatest(part(shift, n), part(shift + n, n)).cast("int")
@@ -55,27 +66,42 @@ def sample(k: int, r_grid: Column, log_c_grid: Column) -> Column:
     log_c = F.coalesce(F.get(log_c_grid, larger(2 * R_BITS, C_BITS)), F.lit(0.0))
     b = part(2 * R_BITS + 2 * C_BITS, 24) * F.lit(2.0**-24)
     # A weight of one, the usual case, has t = 0.
-    t = F.when(F.col("log_weight") == 0, F.lit(0).cast("bigint")).otherwise(F.floor(F.col("log_weight") / r + b))
+    weight = F.col(log_weight)
+    t = F.when(weight == 0, F.lit(0).cast("bigint")).otherwise(F.floor(weight / r + b))
     # The logarithm of the rank lies within -200 and 50 and keeps 31 bits.
     log_a = log_c - r * (t - b + 1.0)
-    rank = ((F.greatest(log_a, F.lit(-200.0)) + 200.0) * 8388608.0).cast("bigint")
+    rank = ((F.greatest(log_a, F.when(weight.isNotNull(), -200.0)) + 200.0) * 8388608.0).cast("bigint")
     return F.shiftleft(rank, 32).bitwiseOR(h.bitwiseXOR(t).bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
-def terms(text: Column) -> Column:
-    """The distinct word pairs of a text with their counts: array of (term, weight).
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once: Spark evaluates a lambda's variable only once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    Each step is bound to a lambda's variable, which Spark evaluates once. The first word pairs
-    with nothing, so a text of one word has a term, and an empty text that of the empty word.
-    """
+
+def hashes(text: Column) -> Column:
+    """A hash of each word pair of a text, as often as it stands there. The first word pairs with
+    nothing, so a text of one word has a term, and an empty text that of the empty word."""
     words = F.split(F.trim(F.translate(F.lower(text), "\n\t\r", "   ")), " ")
-    bound = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
-    hashes = bound(words, lambda ws: F.sort_array(F.transform(
-        ws, lambda w, i: F.xxhash64(w, F.get(ws, i - 1)))))
-    return bound(hashes, lambda s: bound(
-        F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))),
-        lambda starts: F.transform(starts, lambda i, j: F.struct(
-            F.get(s, i).alias("term"), (F.coalesce(F.get(starts, j + 1), F.size(s)) - i).alias("weight")))))
+    return bound(words, lambda ws: F.transform(ws, lambda w, i: F.xxhash64(w, F.get(ws, i - 1))))
+
+
+def terms(text: Column, edited: Column) -> Column:
+    """The distinct word pairs of two texts with their counts in either: array of (term, weight,
+    edited_weight). Most pairs are in both, so both weights go on in one row.
+
+    The lowest bit of a hash tells the text that a pair is from, so equal pairs stand together once
+    the hashes are sorted, those of the first text first.
+    """
+    marked = lambda of, bit: F.transform(hashes(of), lambda h: h.bitwiseAND(F.lit(-2)).bitwiseOR(F.lit(bit)))
+    term = lambda s, i: F.shiftright(F.get(s, i), 1)
+    return bound(F.sort_array(F.concat(marked(text, 0), marked(edited, 1))), lambda s: bound(
+        F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (term(s, i) != term(s, i - 1))),
+        lambda starts: F.transform(starts, lambda i, j: bound(
+            F.slice(s, i + 1, F.coalesce(F.get(starts, j + 1), F.size(s)) - i), lambda own: bound(
+                F.size(F.filter(own, lambda h: h.bitwiseAND(F.lit(1)) == 1)), lambda second: F.struct(
+                    F.get(own, F.lit(0)).bitwiseAND(F.lit(-2)).alias("term"), (F.size(own) - second).alias("weight"),
+                    second.alias("edited_weight")))))))
 
 
 def ranged(docs: DataFrame) -> DataFrame:
@@ -122,14 +148,17 @@ def with_next(docs: DataFrame) -> DataFrame:
 
 
 def sampled(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The samples of each row's text: its keys and `samples`, an array of SAMPLES whole numbers
-    (32 bits each). One row per distinct combination of keys."""
-    bag = rows.select(*keys, F.inline(terms(F.col("text"))))
-    bag = bag.select(*keys, "term", F.ln("weight").alias("log_weight"))
-    grids = constants(R_GRID), constants(LOG_C_GRID)
-    least = bag.groupBy(*keys).agg(*[F.min(sample(k, *grids)).alias(f"s{k}") for k in range(SAMPLES)])
-    return least.select(*keys, F.array(*[
-        F.col(f"s{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(SAMPLES)]).alias("samples"))
+    """The samples of each row's text and edited text: its keys, `samples` and `edited_samples`, arrays
+    of SAMPLES whole numbers (32 bits each). One row per distinct combination of keys."""
+    bag = rows.select(*keys, F.inline(terms(F.col("text"), F.col("edited"))))
+    log_of = lambda name: F.when(F.col(name) > 0, F.ln(name)).alias(f"log_{name}")
+    bag = bag.select(*keys, "term", log_of("weight"), log_of("edited_weight"))
+    held = F.col("r_grid"), F.col("log_c_grid")
+    both = {"samples": "log_weight", "edited_samples": "log_edited_weight"}
+    least = with_grids(bag).groupBy(*keys).agg(*[
+        F.min(sample(k, *held, weight)).alias(f"{name}_{k}") for k in range(SAMPLES) for name, weight in both.items()])
+    return least.select(*keys, *[
+        F.array(*[F.col(f"{name}_{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(SAMPLES)]).alias(name) for name in both])
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -154,17 +183,8 @@ def compare(docs: DataFrame) -> DataFrame:
     edited = F.concat(F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third))
     rows = rows.withColumn("edited", F.coalesce(edited, "text"))
     keys = ["range", "place", "lent", "doc_id", "n_chars", "edited_digest"]
-    both = rows.select(
-        *keys[:4], n.cast("bigint").alias("n_chars"), F.unhex(F.sha2("edited", 256)).alias("edited_digest"),
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("which"), F.col("text").alias("text")),
-            F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("version"),
-    ).select(*keys, "version.which", "version.text")
-    found = sampled(both, [*keys, "which"])
-    # Both versions of a row meet in the partition they are in: it is dealt by range.
-    pair = found.groupBy(*keys).agg(
-        F.max(F.when(F.col("which") == 0, F.col("samples"))).alias("samples"),
-        F.max(F.when(F.col("which") == 1, F.col("samples"))).alias("edited_samples"))
+    pair = sampled(rows.select(
+        *keys[:4], n.cast("bigint").alias("n_chars"), F.unhex(F.sha2("edited", 256)).alias("edited_digest"), "text", "edited"), keys)
     after = F.lead("samples").over(Window.partitionBy("range").orderBy("place"))
     return pair.withColumn("next_samples", after).where(~F.col("lent")).select(
         "doc_id", "n_chars", F.lower(F.hex("edited_digest")).alias("edited_sha256"),

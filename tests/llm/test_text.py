@@ -270,6 +270,48 @@ def test_windows_score_each_token_once():
     assert np.allclose(together[6:6 + lm.WINDOW], plain, atol=1e-4)
 
 
+def small_model(size=160, known=120):
+    """A vocabulary of which every third id begins a word, with random counts, and random weights."""
+    rng = np.random.default_rng(7)
+    begins = np.arange(size) % 3 == 0
+    counts = rng.integers(1, 500, known)
+    pairs = np.array([(a, b, rng.integers(1, 90)) for a in range(known) for b in range(known) if not begins[b] and rng.random() < 0.3])
+    v = lm.Vocabulary(size, np.arange(known), counts, pairs, begins)
+    weights = {name: value + rng.normal(scale=0.3, size=value.shape).astype(np.float32) for name, value in lm.start(v).items()}
+    return v, lm.prepared(weights, v), begins, rng
+
+
+def test_next_subwords_sum_to_one(monkeypatch):
+    monkeypatch.setattr(lm, "KNOWN_IDS", 100)
+    v, p, begins, rng = small_model()
+    for place in range(100):
+        before = rng.integers(0, 160, place % 40)
+        texts = [np.append(before, i) for i in range(160)]
+        inner = np.concatenate([~begins[t] for t in texts])
+        inner[np.cumsum([0, *map(len, texts)])[:-1]] = False  # nothing stands before a text's first id
+        logs = lm.log_tokens(p, v, texts, inner)[np.cumsum([len(t) for t in texts]) - 1]
+        assert abs(np.exp(logs.astype(np.float64)).sum() - 1) < 1e-4
+
+
+def test_words_sum_to_one_at_most(monkeypatch):
+    monkeypatch.setattr(lm, "KNOWN_IDS", 12)
+    v, p, begins, rng = small_model(size=15, known=12)
+    firsts, inners = np.flatnonzero(begins), np.flatnonzero(~begins)
+    for before in ([], [0], [0, 1, 3], [9, 10, 11, 0, 3, 4]):
+        sums, words = [], [[f] for f in firsts]
+        for _ in range(3):
+            texts = [np.array([*before, *w, 0]) for w in words]
+            inner = np.concatenate([~begins[t] for t in texts])
+            logs, begin = lm.log_places(p, v, texts, inner)
+            starts = np.flatnonzero(~inner)
+            last = np.zeros(len(starts), bool)
+            last[np.searchsorted(starts, np.cumsum([len(t) for t in texts]) - 1)] = True
+            by_word = lm.log_words(logs, begin, starts, last)
+            sums.append(np.exp(by_word[np.flatnonzero(last) - 1]).sum())  # the word in front of the text's end
+            words = [[*w, i] for w in words for i in inners]
+        assert 0.3 < sum(sums) <= 1 + 1e-6
+
+
 def test_training_covers_every_token_of_whole_texts():
     class Ids:
         inputs, classes = np.arange(100) % 50, np.arange(100) % lm.CLASSES
@@ -336,6 +378,34 @@ def test_whole_credentials_are_found_and_hidden(spark):
         5: "It is [SECRET]. Then", 6: "[SECRET]", 7: path, 8: "[SECRET] cut", 9: "CLIENT_KEY=[SECRET]"}
 
 
+def word_pairs(text):
+    words = re.sub("[\\n\\t\\r]", " ", text.lower()).strip(" ").split(" ")
+    return Counter(zip([None, *words], words))
+
+
+def test_terms_of_two_texts_are_counted_once(spark):
+    given = [("a b a b c", "a b a b d d"), ("", "x"), ("", ""), ("One\tone  one", "one one one"), ("a " * 500, "b " * 400 + "a " * 30)]
+    rows = spark.createDataFrame(given, "text string, edited string").select(
+        "text", "edited", fingerprints.terms(F.col("text"), F.col("edited")).alias("t")).collect()
+    for r in rows:
+        a, b = word_pairs(r.text), word_pairs(r.edited)
+        assert Counter((t.weight, t.edited_weight) for t in r.t) == Counter((a[p], b[p]) for p in {*a, *b})
+
+
+def test_likeness_is_near_generalised_jaccard(spark):
+    rows = sorted(((d, t or "") for d, t in documents(spark)), reverse=True)
+    got = {r.doc_id: r for r in fingerprints.op6_fingerprints(spark, SF_DIR).collect()}
+    jaccard = lambda a, b: sum((a & b).values()) / sum((a | b).values())
+    errors = {"near_edited": [], "near_next": []}
+    for (d, text), (_, after) in zip(rows, [*rows[1:], rows[0]]):
+        third = len(text) // 3
+        edited = text[:len(text) - third] + after[:third]
+        errors["near_edited"].append(got[d].near_edited - jaccard(word_pairs(text), word_pairs(edited)))
+        errors["near_next"].append(got[d].near_next - jaccard(word_pairs(text), word_pairs(after)))
+    for found in errors.values():
+        assert abs(np.mean(found)) < 0.02 and np.sqrt(np.mean(np.square(found))) < 0.08
+
+
 def test_fingerprints_have_64_samples(spark):
     rows = fingerprints.compare(fixtures.table(spark)).collect()
     assert all(len(set(r.samples)) <= len(r.samples) == len(r.edited_samples) >= 64 for r in rows)
