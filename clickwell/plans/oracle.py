@@ -380,6 +380,12 @@ ORACLE |= {
             FROM judged WHERE NOT late AND coalesce(last_page_id, '') = '' GROUP BY mid, visit_day
         )
     """),
+    "stream_collect": _sql(PAGE_LOG, """
+        SELECT 'landing' AS place, visit_day AS dt, count(*) AS n FROM page_log GROUP BY visit_day
+        UNION ALL
+        SELECT 'topic', NULL, count(*) FROM page_log
+    """),
+    "stream_first_seen": f"SELECT mid, visit_day, 1 AS n FROM ({UNIQUE_VISIT})",
     "stream_order_wide_merge": ORACLE["order_wide_merge_all"],
     "stream_cdc_refresh": _sql(CHANGES, """
         SELECT CASE WHEN "table" = 'supplier' THEN 'dwd_supplier' WHEN id % 4 >= 2 THEN 'dwd_order_new'

@@ -128,6 +128,41 @@ def read_log(spark: SparkSession, topics: Topics, topic: str) -> DataFrame:
     return parsed.where(F.col("mid") != END_MID)
 
 
+@query
+def stream_collect(spark, sf_dir):
+    """Raw lines, broken ones too, by their day of arrival in the landing folder, and what went on to the
+    topic: (place, dt, n)."""
+    root = run_dir(spark, "collect")
+    topics, source = folder_topics(root), f"{root}/source"
+    lines = adapters.app_log(spark, sf_dir).join(
+        adapters.page_log(spark, sf_dir).select("seq", F.timestamp_millis("ts").alias("arrival")), "seq")
+    lines = lines.select("value", "arrival", (F.col("seq") % 2).alias("half"))
+    own = job_session(spark)
+    for half in (0, 1):
+        lines.where(F.col("half") == half).drop("half").write.mode("append").parquet(source)
+        work_off(lambda: jobs.collect_job(
+            own, own.readStream.schema("value STRING, arrival TIMESTAMP").parquet(source), topics, f"{root}/landing", f"{root}/state", ONCE),
+            [lambda: None])
+    landed = spark.read.schema("value STRING, dt DATE, batch_id BIGINT").text(f"{root}/landing").groupBy(
+        F.date_format("dt", "yyyy-MM-dd").alias("dt")).agg(F.count("*").alias("n"))
+    sent = read_topic(spark, topics, TOPIC_RAW_LOG, stream=False).agg(F.count("*").alias("n"))
+    return landed.select(F.lit("landing").alias("place"), "dt", "n").unionByName(
+        sent.select(F.lit("topic").alias("place"), F.lit(None).cast("string").alias("dt"), "n"))
+
+
+@query
+def stream_first_seen(spark, sf_dir):
+    """Which record of a day is emitted at once depends on arrival; that there is one per visitor and
+    day does not."""
+    root = run_dir(spark, "first-seen")
+    topics = folder_topics(root)
+    landing = land_pages(spark, sf_dir, topics)
+    own = job_session(spark)
+    work_off(lambda: jobs.unique_visit_job(own, topics, f"{root}/state", ONCE, emit="first_seen", delay=DELAY), landing)
+    return logs.log_dates(read_log(spark, topics, TOPIC_UNIQUE_VISIT)).groupBy(
+        "mid", F.col("day_dashed").alias("visit_day")).agg(F.count("*").alias("n"))
+
+
 def _base_log(spark: SparkSession, sf_dir: str, name: str) -> Topics:
     root = run_dir(spark, name)
     topics = folder_topics(root)

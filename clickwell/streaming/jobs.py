@@ -20,7 +20,7 @@ from clickwell.schemas import (
 from clickwell.session import tune
 from clickwell.sources.topics import Topics, land_raw_log, publish_topic, read_topic, stream_to_topic
 from clickwell.streaming import transforms
-from clickwell.streaming.batches import TOPIC_DB_REJECTS, TOPIC_LOG_REJECTS, ChangeStep, FirstVisits, JumpStep, LogStep
+from clickwell.streaming.batches import TOPIC_DB_REJECTS, TOPIC_LOG_REJECTS, ChangeStep, FirstVisits, JumpStep, LogStep, kept
 from clickwell.streaming.completion import completion_stream
 from clickwell.streaming.gate import JUDGES, GateStep
 from clickwell.streaming.waiting import DAY_MS, WideDims, WideDimsStep
@@ -41,7 +41,8 @@ def collect_job(
 ) -> StreamingQuery:
     """Raw log lines (`value`, `arrival`) to the landing folder and on to the raw log topic."""
     def step(batch: DataFrame, batch_id: int) -> None:
-        land_raw_log(batch, topics, TOPIC_RAW_LOG, landing, batch_id)
+        with kept(batch) as lines_once:  # two writes, one reading
+            land_raw_log(lines_once, topics, TOPIC_RAW_LOG, landing, batch_id)
 
     return run_batches(lines, step, "collect", state, trigger)
 
