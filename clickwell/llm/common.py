@@ -69,4 +69,7 @@ def keep_ids(docs: DataFrame, decided: DataFrame) -> DataFrame:
     twice = rest.join(partly, rest["doc_id"].eqNullSafe(partly["_id"]), "left_semi")
     of_row = F.sha2(F.coalesce(rest["text"], F.lit("")), 256) == kept["_text"]
     twice = twice.join(kept, twice["doc_id"].eqNullSafe(kept["_id"]) & of_row, "left_semi")
-    return whole.unionByName(twice.dropDuplicates(["doc_id", "text"]))
+    # Of rows equal in both, the one whose other columns come first in order.
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    one = twice.groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias("_"), *others)).alias("_rest"))
+    return whole.unionByName(one.select(*[F.col(f"_rest.{c}") if c in others else F.col(c) for c in docs.columns]))

@@ -35,7 +35,7 @@ from clickwell.llm.toxicity import blocks
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SIGNATURE, ROWS, ORDERS = 256, 8, 4
+SIGNATURE, ROWS, ORDERS = 256, 8, 4  # SIGNATURE is a power of two
 BANDS = SIGNATURE // ROWS * ORDERS
 EARLY = 8  # bands that are compared first
 BLOCK = 256
@@ -96,40 +96,55 @@ def signatures(text: np.ndarray, shingle: np.ndarray, n_texts: int) -> np.ndarra
     first = np.flatnonzero(new)
     weight = np.diff(np.append(first, len(text)))
     text, shingle = text[first], shingle[first]
+    top = np.full(n_texts, np.inf)
+
+    def draw(own: np.ndarray, low: np.ndarray, width: np.ndarray, shingle: np.ndarray, weight: np.ndarray) -> None:
+        """Processes on [low, low + width), drawn until none may still lower a register of its text."""
+        time, count = np.zeros(len(own)), 0
+        draws = mix(mix(shingle ^ mix(low.astype(np.uint64), 7), 8), 11)
+        wide = len(width) and width.max() > 1
+        while len(own):
+            # All processes are at the same draw; the fewer they are, the more draws go at once.
+            ahead = min(64, max(1, 16_384 // len(own)))
+            h = draws[:, None] ^ mix(np.arange(count, count + ahead, dtype=np.uint64), 12)
+            times = -np.log(uniform(mix(h, 13)))
+            if wide:
+                times /= width[:, None]
+            times[:, 0] += time
+            times = np.cumsum(times, axis=1)
+            time, count = times[:, -1], count + ahead
+            point = np.flatnonzero((times < top[own][:, None]).ravel())
+            process, h, at = point // ahead, h.ravel()[point], times.ravel()[point]
+            place = own[process] * SIGNATURE + (mix(h, 15) & np.uint64(SIGNATURE - 1)).astype(np.int64)
+            if wide:
+                # The point falls on one level of the interval, found by halving: each half is as likely.
+                level_low, bit = low[process], mix(h, 14)
+                level_high = level_low + width[process]
+                while (parts := level_high - level_low > 1).any():
+                    middle = (level_low + level_high) // 2
+                    upper = parts & ((bit & np.uint64(1)) == 1)
+                    lower = parts & ~upper
+                    level_low, level_high = np.where(upper, middle, level_low), np.where(lower, middle, level_high)
+                    bit = bit >> np.uint64(1)
+                hit = level_low < weight[process]
+                place, at = place[hit], at[hit]
+            np.minimum.at(flat, place, at)
+            changed = np.zeros(n_texts, dtype=bool)
+            changed[own] = True
+            top[changed] = registers[changed].max(axis=1)
+            live = np.flatnonzero(time < top[own])
+            own, time, draws = (x[live] for x in (own, time, draws))
+            if wide:
+                low, width, weight = (x[live] for x in (low, width, weight))
+
     # Processes: [0, 1) for every shingle, and [2^i, 2^(i+1)) as far as the weight reaches. Level l
     # is the unit interval [l, l + 1); the weight reaches levels below it.
-    process = [(np.arange(len(text)), np.zeros(len(text), np.int64), np.ones(len(text), np.int64))]
+    draw(text, np.zeros(len(text), np.int64), np.ones(len(text), np.int64), shingle, weight)
     low = 1
     while len(weight) and low < weight.max():
         reached = np.flatnonzero(weight > low)
-        process.append((reached, np.full(len(reached), low), np.full(len(reached), 2 * low)))
+        draw(text[reached], np.full(len(reached), low), np.full(len(reached), low), shingle[reached], weight[reached])
         low *= 2
-    item, low, high = (np.concatenate(p) for p in zip(*process))
-    time, count = np.zeros(len(item)), np.zeros(len(item), dtype=np.uint64)
-    seed = mix(shingle[item] ^ mix(low.astype(np.uint64), 7), 8)
-    top = np.full(n_texts, np.inf)
-    while len(item):
-        h = mix(seed, 11) ^ mix(count, 12)
-        time = time - np.log(uniform(mix(h, 13))) / (high - low)
-        count = count + np.uint64(1)
-        live = time < top[text[item]]
-        item, low, high, time, count, seed, h = (x[live] for x in (item, low, high, time, count, seed, h))
-        # The point falls on one level of the interval, found by halving: each half is as likely.
-        level_low, level_high, bit = low.copy(), high.copy(), mix(h, 14)
-        while True:
-            wide = level_high - level_low > 1
-            if not wide.any():
-                break
-            middle = (level_low + level_high) // 2
-            upper = wide & ((bit & np.uint64(1)) == 1)
-            lower = wide & ~upper
-            level_low, level_high = np.where(upper, middle, level_low), np.where(lower, middle, level_high)
-            bit = bit >> np.uint64(1)
-        hit = level_low < weight[item]
-        place = text[item[hit]] * SIGNATURE + (mix(h[hit], 15) % np.uint64(SIGNATURE)).astype(np.int64)
-        np.minimum.at(flat, place, time[hit])
-        changed = np.unique(text[item])
-        top[changed] = registers[changed].max(axis=1)
     return registers
 
 
