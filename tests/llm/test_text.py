@@ -383,15 +383,6 @@ def word_pairs(text):
     return Counter(zip([None, *words], words))
 
 
-def test_terms_of_two_texts_are_counted_once(spark):
-    given = [("a b a b c", "a b a b d d"), ("", "x"), ("", ""), ("One\tone  one", "one one one"), ("a " * 500, "b " * 400 + "a " * 30)]
-    rows = spark.createDataFrame(given, "text string, edited string").select(
-        "text", "edited", fingerprints.terms(F.col("text"), F.col("edited")).alias("t")).collect()
-    for r in rows:
-        a, b = word_pairs(r.text), word_pairs(r.edited)
-        assert Counter((t.weight, t.edited_weight) for t in r.t) == Counter((a[p], b[p]) for p in {*a, *b})
-
-
 def test_likeness_is_near_generalised_jaccard(spark):
     rows = sorted(((d, t or "") for d, t in documents(spark)), reverse=True)
     got = {r.doc_id: r for r in fingerprints.op6_fingerprints(spark, SF_DIR).collect()}
