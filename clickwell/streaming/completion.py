@@ -67,15 +67,19 @@ def completion_stream(left: DataFrame, right: DataFrame, key: str, at: str, wait
     a key are passed through at once, each on its own; parts without a time do not count."""
     fields = [f for f in left.schema.fields if f.name not in (key, at)]
     names, kinds = [f.name for f in fields], {f.name: _exact(f.dataType) for f in [left.schema[key], *fields]}
-    parts = left.withColumn("_side", F.lit(0)).unionByName(right.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    # Each source has a watermark of its own; the earlier one counts, so neither makes the other's parts late.
+    sides = [
+        rows.withColumn("_side", F.lit(i)).withColumn("_time", F.timestamp_millis(at)).withWatermark("_time", delay)
+        for i, rows in enumerate((left, right))]
+    parts = sides[0].unionByName(sides[1], allowMissingColumns=True)
     keyed = parts.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(
         F.col(key).cast(kinds[key]).alias("_key"), "_side", F.col(at).cast("bigint").alias("_at"),
-        F.timestamp_millis(at).alias("_time"), *[F.col(name).cast(kinds[name]).alias(name) for name in names])
+        "_time", *[F.col(name).cast(kinds[name]).alias(name) for name in names])
     out = T.StructType([T.StructField("_key", kinds[key]), *[T.StructField(name, kinds[name]) for name in names]])
     held = T.StructType([
         *[T.StructField(f"{side}_{i}", kinds[name]) for side in ("left", "right") for i, name in enumerate(names)],
         T.StructField("newest", T.LongType()), T.StructField("done", T.BooleanType())])
-    done = keyed.withWatermark("_time", delay).groupBy("_key").applyInPandasWithState(
+    done = keyed.groupBy("_key").applyInPandasWithState(
         _completer(names, wait_ms), out, held, "append", GroupStateTimeout.EventTimeTimeout)
     done = done.select(F.col("_key").cast(left.schema[key].dataType).alias(key), *[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
     return done.unionByName(parts.where(F.col(key).isNull()).select(key, *names))
