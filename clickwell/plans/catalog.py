@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from clickwell import schemas
 from clickwell.operators import asof, cdc, dims, logs, metrics, orders, visits
 from clickwell.plans import adapters
-from clickwell.session import tune
+from clickwell.session import finely_cut, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -289,6 +289,7 @@ def order_wide_dims(spark, sf_dir):
 @query
 def order_wide_dims_asof(spark, sf_dir):
     """Level and grade of the user and code of the province as they were when the order was made."""
+    spark = finely_cut(spark)
     headers = orders.header_part(adapters.order_info(spark, sf_dir))
     joined = orders.interval_join(headers, orders.line_part(adapters.order_detail(spark, sf_dir)), -JOIN_MS, JOIN_MS)
     facts = joined.select("detail_id", "order_id", "user_id", "province_id", "header_ts")

@@ -46,6 +46,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Shuffles begin with that many partitions where adaptive execution joins small ones again, so that a
+# task's share stays near spark.sql.adaptive.advisoryPartitionSizeInBytes however large the input is.
+FIRST_PARTITIONS = 1_000
+
+
+def finely_cut(spark: SparkSession) -> SparkSession:
+    """A session of its own with the caller's settings, whose shuffles are cut finely at first."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(FIRST_PARTITIONS))
+    return own
+
+
 _own_dirs: dict[str, str] = {}
 
 

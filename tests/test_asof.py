@@ -4,8 +4,11 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickwell.operators import asof
+from clickwell.plans.catalog import QUERIES
+from clickwell.session import FIRST_PARTITIONS
 
 DAY = 86_400_000
 HISTORY = "id bigint, ts bigint, seq bigint, data map<string,string>"
@@ -64,3 +67,20 @@ def test_facts_are_not_paired_with_versions(spark):
     assert "NestedLoop" not in text
     got = {r.at: int(r.v) for r in plan.collect()}
     assert got == {i * (DAY // 20): min(1_999, i * (DAY // 20) // (DAY // 50)) for i in range(500)}
+
+
+def test_a_task_holds_no_more_for_larger_tables(spark):
+    """Shuffles are cut by size, not into a fixed number of partitions; the caller's settings stay."""
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    own, before = QUERIES["order_wide_dims_asof"](spark, "/root/testdata/sf0.001").sparkSession, spark.conf.get(first, None)
+    assert int(own.conf.get(first)) == FIRST_PARTITIONS and before is None
+    assert own.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    for key, value in {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}.items():
+        own.conf.set(key, value)
+    facts = own.range(4_000).selectExpr("id % 500 AS k", "id * 1000 AS at", "id AS n")
+    history = own.range(4_000).selectExpr("id % 500 AS id", "id * 900 AS ts", "id AS seq", "map('v', string(id)) AS data")
+    rows = asof.as_of(facts, history, "k", "at", {"v": "v"})
+    assert rows.groupBy(F.spark_partition_id().alias("part")).count().count() > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
