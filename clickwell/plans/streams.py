@@ -22,7 +22,7 @@ from clickwell.schemas import (
     MONEY, TOPIC_DISPLAY, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO, TOPIC_ORDER_WIDE, TOPIC_PAGE, TOPIC_RAW_DB,
     TOPIC_RAW_LOG, TOPIC_START, TOPIC_UNIQUE_VISIT, TOPIC_USER_JUMP,
 )
-from clickwell.session import folder_exists, move_folder, run_dir, tune
+from clickwell.session import finely_cut, folder_exists, move_folder, run_dir, tune
 from clickwell.sources.topics import Topics, read_topic, write_topic
 from clickwell.streaming import jobs
 from clickwell.streaming.batches import TOPIC_IN_TIME, TOPIC_LATE
@@ -109,6 +109,18 @@ def work_off(start: Callable[[], StreamingQuery], *landings: Landing) -> None:
                 raise RuntimeError(f"batch {p['batchId']} of {p['name']} dropped {dropped} late rows")
 
 
+def none_late(spark: SparkSession, topics: Topics) -> None:
+    """No job may have sent a record to quarantine as late."""
+    late = read_topic(spark, topics, TOPIC_LATE, stream=False).count()
+    if late:
+        raise RuntimeError(f"{late} late records")
+
+
+def set_session(spark: SparkSession) -> SparkSession:
+    """A session for a job without state stores: its partitions need not stay the same from run to run."""
+    return tune(finely_cut(spark))
+
+
 def time_in(field: str = "ts") -> Column:
     return F.get_json_object("value", f"$.{field}").try_cast("bigint")
 
@@ -324,13 +336,14 @@ def stream_order_wide_merge(spark, sf_dir):
     sources = (f"{TOPIC_ORDER_INFO}_LEFT", f"{TOPIC_ORDER_INFO}_RIGHT")
     end = f'{{"order_id":{END_ID},"create_ts":{END_TS}}}'
     landings = [
-        land(rows.select(F.to_json(F.struct("*")).alias("value")), topics, topic, time_in("create_ts"), end=end)
+        land(rows.select(F.to_json(F.struct("*")).alias("value"), "create_ts"), topics, topic, F.col("create_ts"), end=end)
         for topic, rows in zip(sources, (left, right))
     ]
-    own = job_session(spark)
+    own = set_session(spark)
     layout = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in left.schema.fields)
     work_off(lambda: jobs.completion_job(
         own, topics, sources, "COMPLETE", layout, "order_id", "create_ts", f"{root}/state", 2 * JOIN_MS, ONCE, DELAY), *landings)
+    none_late(spark, topics)
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in left.schema.fields if f.name != "create_ts")
     whole = read_topic(spark, topics, "COMPLETE", stream=False).select(F.from_json("value", fields).alias("w")).select("w.*")
     return whole.where(F.col("order_id") != END_ID)

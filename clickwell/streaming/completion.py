@@ -1,85 +1,105 @@
 """Wide records completed over streams: partial records of two sources, per column the first value
 that is there, the left source's before the right one's.
 
-The partial records of a key are keyed state. A record goes out as soon as all its columns are
-filled, or as it is once `wait_ms` of event time have passed since the last part of it; after
-that, the key is forgotten. Parts that come after a record went out, within that time, are absorbed.
-State holds two values per column and key, however many parts there are.
+A record goes out as soon as all its columns are filled, or as it is once `wait_ms` of event time have
+passed since the last part of it; after that, the key is forgotten. Parts that come after a record
+went out, within that time, are absorbed. What is held per key is two values per column, however
+many parts there are; it is carried from one micro-batch to the next in a written folder and met
+with the parts of the batch by one aggregation, combined before the shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from clickwell.session import drop_folder
+from clickwell.sources.topics import Topics, publish_topic
+from clickwell.streaming.batches import batch_session, kept
+from clickwell.streaming.pairing import SIDES, SideMarks, delay_ms, publish_late, tagged, watermark
 from clickwell.streaming.transforms import NO_DELAY
 
-# Whole numbers travel as decimals: pandas has no whole number that can be missing.
-WHOLE = T.DecimalType(20, 0)
 
-
-def _exact(kind: T.DataType) -> T.DataType:
-    if isinstance(kind, T.IntegralType):
-        return WHOLE
-    if isinstance(kind, (T.DecimalType, T.StringType)):
+def _known(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, (T.IntegralType, T.DecimalType, T.StringType)):
         return kind
     raise ValueError(f"columns to complete are whole numbers, decimals or text, not {kind.simpleString()}")
 
 
-def _completer(names: list[str], wait_ms: int) -> Callable:
-    """The state of a key: each column's value from the left and from the right, the newest event
-    time in epoch ms, and whether the record is out. Of one side the smallest value counts."""
-    n = len(names)
-
-    def record(key: tuple, held: list) -> pd.DataFrame:
-        whole = [left if left is not None else right for left, right in zip(held[:n], held[n:2 * n])]
-        return pd.DataFrame([[key[0], *whole]], columns=["_key", *names])
-
-    def complete(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            held = list(state.get)
-            state.remove()
-            if not held[-1]:
-                yield record(key, held)
-            return
-        held = list(state.get) if state.exists else [None] * (2 * n) + [0, False]
-        for frame in frames:
-            for side, at, *values in zip(*[frame[c].tolist() for c in ("_side", "_at", *names)]):
-                held[2 * n] = max(held[2 * n], at)
-                for i, value in enumerate(values, side * n):
-                    if value is not None and value == value and (held[i] is None or value < held[i]):
-                        held[i] = value
-        if not held[-1] and all(held[i] is not None or held[n + i] is not None for i in range(n)):
-            held[-1] = True
-            yield record(key, held)
-        state.update(tuple(held))
-        state.setTimeoutTimestamp(max(held[2 * n] + wait_ms, state.getCurrentWatermarkMs() + 1))
-
-    return complete
-
-
-def completion_stream(left: DataFrame, right: DataFrame, key: str, at: str, wait_ms: int, delay: str = NO_DELAY) -> DataFrame:
-    """Streams of partial records with a common `key` and an event time `at` (epoch ms), to complete
-    records: the key and the other columns of `left`, which `right` may lack in part. Records without
-    a key are passed through at once, each on its own; parts without a time do not count."""
+def _of(side: int, name: str) -> str:
+    return f"{'right' if side else 'left'}_{name}"
+
+
+@dataclass
+class Completion:
+    """`tagged` parts with `_key` and `_at` to complete records of a key named `key` and columns `names`."""
+
+    key: str
+    names: list[str]
+    wait_ms: int
+    delay: str
+
+    def step(self, topics: Topics, sink: str, state: str) -> Callable[[DataFrame, int], None]:
+        """What works off a micro-batch; `state` is the folder of what is carried on."""
+        return lambda batch, batch_id: self.work_off(batch, batch_id, topics, sink, state)
+
+    def work_off(self, batch: DataFrame, batch_id: int, topics: Topics, sink: str, state: str) -> None:
+        spark, marks = batch_session(batch), SideMarks(f"{state}/marks")
+        delay, before = delay_ms(spark, self.delay), marks.before(spark, batch_id)
+        with kept(batch) as parts:
+            keyed = parts.where("_key IS NOT NULL AND _at IS NOT NULL")
+            after, in_time = marks.after(before, keyed, "_at"), F.col("_at") > watermark(before, delay)
+            publish_late(keyed.where(~in_time).drop("_side"), topics, sink, batch_id, state)
+            with kept(self.merged(self.held(spark, state, batch_id, parts), keyed.where(in_time))) as records:
+                value = {name: F.coalesce(*[_of(side, name) for side in SIDES]) for name in self.names}
+                whole: Column = reduce(Column.__and__, [column.isNotNull() for column in value.values()], F.lit(True))
+                over = F.col("newest") + self.wait_ms < watermark(after, delay)
+                out = records.where(~F.col("done") & (whole | over)).select(
+                    F.col("_key").alias(self.key), *[column.alias(name) for name, column in value.items()])
+                alone = parts.where("_key IS NULL").select(F.col("_key").alias(self.key), *self.names)
+                publish_topic(out.unionByName(alone).select(F.to_json(F.struct("*")).alias("value")), topics, sink, batch_id, state)
+                records.where(~over).withColumn("done", F.col("done") | whole).write.mode("overwrite").parquet(
+                    self.folder(state, batch_id))
+        marks.store(spark, batch_id, after)
+        drop_folder(spark, self.folder(state, batch_id - 2))
+
+    def merged(self, held: DataFrame, parts: DataFrame) -> DataFrame:
+        """What is known of each key. Of one side the smallest value counts."""
+        fresh = parts.select("_key", F.col("_at").alias("newest"), F.lit(False).alias("done"), *[
+            F.when(F.col("_side") == side, F.col(name)).alias(_of(side, name)) for side in SIDES for name in self.names])
+        both = held.unionByName(fresh)
+        return both.groupBy("_key").agg(
+            F.max("newest").alias("newest"), F.max("done").alias("done"),
+            *[F.min(_of(side, name)).alias(_of(side, name)) for side in SIDES for name in self.names])
+
+    def folder(self, state: str, batch_id: int) -> str:
+        return f"{state}/held/batch_id={batch_id}"
+
+    def held(self, spark: SparkSession, state: str, batch_id: int, parts: DataFrame) -> DataFrame:
+        """What is known after the batch before, nothing before the first."""
+        layout = T.StructType([
+            T.StructField("_key", parts.schema["_key"].dataType), T.StructField("newest", T.LongType()),
+            T.StructField("done", T.BooleanType()),
+            *[T.StructField(_of(side, name), parts.schema[name].dataType) for side in SIDES for name in self.names]])
+        if batch_id == 0:
+            return spark.createDataFrame([], layout)
+        return spark.read.schema(layout).parquet(self.folder(state, batch_id - 1))
+
+
+def completion_stream(
+    left: DataFrame, right: DataFrame, key: str, at: str, wait_ms: int, delay: str = NO_DELAY
+) -> tuple[DataFrame, Completion]:
+    """Streams of partial records with a common `key` and an event time `at` (epoch ms), as one stream of
+    parts and what completes them: the key and the other columns of `left`, which `right` may lack
+    in part. Records without a key are passed through at once, each on its own; parts without a time do
+    not count, late ones go to quarantine."""
     fields = [f for f in left.schema.fields if f.name not in (key, at)]
-    names, kinds = [f.name for f in fields], {f.name: _exact(f.dataType) for f in [left.schema[key], *fields]}
-    # Each source has a watermark of its own; the earlier one counts, so neither makes the other's parts late.
-    sides = [
-        rows.withColumn("_side", F.lit(i)).withColumn("_time", F.timestamp_millis(at)).withWatermark("_time", delay)
-        for i, rows in enumerate((left, right))]
-    parts = sides[0].unionByName(sides[1], allowMissingColumns=True)
-    keyed = parts.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(
-        F.col(key).cast(kinds[key]).alias("_key"), "_side", F.col(at).cast("bigint").alias("_at"),
-        "_time", *[F.col(name).cast(kinds[name]).alias(name) for name in names])
-    out = T.StructType([T.StructField("_key", kinds[key]), *[T.StructField(name, kinds[name]) for name in names]])
-    held = T.StructType([
-        *[T.StructField(f"{side}_{i}", kinds[name]) for side in ("left", "right") for i, name in enumerate(names)],
-        T.StructField("newest", T.LongType()), T.StructField("done", T.BooleanType())])
-    done = keyed.groupBy("_key").applyInPandasWithState(
-        _completer(names, wait_ms), out, held, "append", GroupStateTimeout.EventTimeTimeout)
-    done = done.select(F.col("_key").cast(left.schema[key].dataType).alias(key), *[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
-    return done.unionByName(parts.where(F.col(key).isNull()).select(key, *names))
+    kinds = {f.name: _known(f.dataType) for f in [left.schema[key], *fields]}
+    names = [f.name for f in fields]
+    parts = tagged(left, right).select(
+        F.col(key).cast(kinds[key]).alias("_key"), F.col(at).cast("bigint").alias("_at"), "_side",
+        *[F.col(name).cast(kinds[name]).alias(name) for name in names])
+    return parts, Completion(key, names, wait_ms, delay)

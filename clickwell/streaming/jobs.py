@@ -160,5 +160,5 @@ def completion_job(
     tune(spark)
     left, right = (
         read_topic(spark, topics, topic, **limits).select(F.from_json("value", layout).alias("r")).select("r.*") for topic in sources)
-    whole = completion_stream(left, right, key, at, wait_ms, delay)
-    return stream_to_topic(whole.select(F.to_json(F.struct("*")).alias("value")), topics, sink, f"{state}/checkpoint", trigger)
+    parts, completion = completion_stream(left, right, key, at, wait_ms, delay)
+    return run_batches(parts, completion.step(topics, sink, state), f"to_{sink}", state, trigger)

@@ -11,7 +11,7 @@ from clickwell.schemas import ROUTE_CONFIG, TOPIC_RAW_DB
 from clickwell.sources import tables
 from clickwell.sources.topics import Topics, read_topic, write_topic
 from clickwell.streaming import completion, jobs
-from clickwell.streaming.batches import TOPIC_DB_REJECTS
+from clickwell.streaming.batches import TOPIC_DB_REJECTS, TOPIC_LATE
 
 ONCE = {"availableNow": True}
 LAYOUT = "id bigint, amount decimal(16,2), name string, n bigint, at bigint"
@@ -99,3 +99,21 @@ def test_a_route_without_its_key_stops_nothing(spark, topics, tmp_path):
         assert [json.loads(r.value)["table"] for r in read_topic(spark, topics, TOPIC_DB_REJECTS, stream=False).collect()] == ["bad"]
     finally:
         spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
+
+
+def test_parts_are_merged_by_the_batch(spark, topics, tmp_path):
+    """No keyed state that every part looks up by itself; late parts are in quarantine, not lost."""
+    def run():
+        query = jobs.completion_job(spark, topics, ("L", "R"), "OUT", LAYOUT, "id", "at", str(tmp_path / "s"), HOUR, ONCE, "10 minutes")
+        query.awaitTermination()
+        assert query.recentProgress and not any(p["stateOperators"] for p in query.recentProgress)
+
+    for side in "LR":
+        put(spark, topics, side, 0, [{"id": 1, "name": side, "at": 5 * HOUR}, {"id": 1, "name": "z", "at": 5 * HOUR}])
+    run()
+    put(spark, topics, "L", 1, [{"id": 2, "name": "late", "at": HOUR}, {"id": 1, "amount": 1, "n": 2, "at": 5 * HOUR}])
+    put(spark, topics, "R", 1, [])
+    run()
+    texts = lambda topic: [json.loads(r.value) for r in read_topic(spark, topics, topic, stream=False).collect()]
+    assert texts("OUT") == [{"id": 1, "amount": 1.0, "name": "L", "n": 2}]
+    assert [r["_key"] for r in texts(TOPIC_LATE)] == [2]
