@@ -273,9 +273,10 @@ def stream_interval_join(spark, sf_dir):
     root = run_dir(spark, "interval-join")
     topics = folder_topics(root)
     rests = land_orders(spark, sf_dir, topics)
-    own = job_session(spark)
+    own = set_session(spark)
     work_off(lambda: jobs.order_wide_job(
         own, topics, f"{root}/state", -JOIN_MS, JOIN_MS, trigger=ONCE, delay=DELAY), *rests)
+    none_late(spark, topics)
     values = read_topic(spark, topics, TOPIC_ORDER_WIDE, stream=False)
     wide = F.from_json("value", "order_id BIGINT, detail_id BIGINT, sku_id BIGINT, create_time STRING")
     return values.select(wide.alias("w")).select("w.*")
@@ -284,7 +285,7 @@ def stream_interval_join(spark, sf_dir):
 def land_orders(spark: SparkSession, sf_dir: str, topics: Topics) -> list[Landing]:
     """Order headers and lines, by the same time ranges of their own."""
     return [
-        land(rows.select(F.to_json(F.struct("*")).alias("value")), topics, topic, time_in("create_ts"))
+        land(rows.select(F.to_json(F.struct("*")).alias("value"), "create_ts"), topics, topic, F.col("create_ts"))
         for topic, rows in (
             (TOPIC_ORDER_INFO, adapters.order_info(spark, sf_dir)), (TOPIC_ORDER_DETAIL, adapters.order_detail(spark, sf_dir)))
     ]
@@ -300,7 +301,7 @@ def stream_order_wide_dims(spark, sf_dir):
     order_landings = land_orders(spark, sf_dir, topics)
     changes = adapters.dim_changes(spark, sf_dir)
     change_landing = land_parts(changes.select("value", F.pmod(F.xxhash64("value"), F.lit(BATCHES))), topics, TOPIC_RAW_DB)
-    own = job_session(spark)
+    own = set_session(spark)
 
     def order_run() -> StreamingQuery:
         return jobs.order_wide_job(
@@ -319,6 +320,7 @@ def stream_order_wide_dims(spark, sf_dir):
     for topic in (TOPIC_ORDER_INFO, TOPIC_ORDER_DETAIL):
         write_topic(spark.range(1).select(F.lit(END_ORDER).alias("value")), topics, topic, BATCHES)
     work_off(order_run, [lambda: None])
+    none_late(spark, topics)
     fields = ", ".join(f"{name} {kind}" for name, kind in WIDE_DIM_FIELDS)
     values = read_topic(spark, topics, TOPIC_ORDER_WIDE, stream=False).select(F.from_json("value", fields).alias("w")).select("w.*")
     values.where(F.col("order_id") != END_ID).write.parquet(f"{root}/result")

@@ -246,6 +246,40 @@ def test_order_wide_job(spark, topics, tmp_path):
     assert found == [(1, -5, "F"), (1, 0, "F"), (1, 5, "F"), (2, 99, None)]
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_interval_join_by_the_batch(spark, topics, tmp_path, parts):
+    """Equal to all pairs, for repeated and hot ids, over several batches and a replayed one; no record
+    is looked up in a state store, late ones are in quarantine."""
+    rng = random.Random(parts)
+    at = lambda s: f"2021-02-15 12:{s // 60:02d}:{s % 60:02d}"
+    headers = [(i, rng.choice([0, 0, 1, 2, 3]), rng.randrange(60)) for i in range(60)]
+    lines = [(i, rng.choice([0, 0, 1, 2, 4]), rng.randrange(60)) for i in range(90)]
+    info = [{"id": o, "create_time": at(s), "user_id": i} for i, o, s in headers]
+    detail = [{"id": i, "order_id": o, "create_time": at(s)} for i, o, s in lines]
+
+    def run():
+        query = jobs.order_wide_job(spark, topics, str(tmp_path / "s"), trigger=ONCE, delay="2 minutes")
+        query.awaitTermination()
+        assert query.recentProgress and not any(p["stateOperators"] for p in query.recentProgress)
+
+    for i in range(parts):
+        put(spark, topics, TOPIC_ORDER_INFO, i, info[i::parts])
+        put(spark, topics, TOPIC_ORDER_DETAIL, i, detail[i::parts])
+        run()
+    want = Counter((h, d) for h, o, s in headers for d, of, t in lines if o == of and -5 <= t - s <= 5)
+    assert Counter((r["user_id"], r["detail_id"]) for r in get(spark, topics, TOPIC_ORDER_WIDE)) == want
+    # An hour later nothing is held any more, and what comes from before is late.
+    for topic in (TOPIC_ORDER_INFO, TOPIC_ORDER_DETAIL):
+        put(spark, topics, topic, parts, [{"id": 1000, "order_id": 1001, "create_time": "2021-02-15 13:30:00"}])
+    run()
+    for side, n in (("left", 1), ("right", 1)):
+        assert spark.read.parquet(str(tmp_path / f"s/join/held/batch_id={parts}/{side}")).count() == n
+    put(spark, topics, TOPIC_ORDER_DETAIL, parts + 1, [{"id": 7, "order_id": 0, "create_time": at(30)}])
+    run()
+    assert Counter((r["user_id"], r["detail_id"]) for r in get(spark, topics, TOPIC_ORDER_WIDE)) == want
+    assert [r["detail_id"] for r in get(spark, topics, TOPIC_LATE)] == [7]
+
+
 def test_topics(spark, topics):
     rows = [("a", "1"), ("b", "2"), ("a", "3"), (None, "4")]
     messages = spark.createDataFrame(rows, "topic STRING, value STRING")
