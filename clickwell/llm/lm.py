@@ -14,7 +14,10 @@ are averaged, several rounds.
 Long texts are scored in overlapping windows: each window after a text's first only scores the
 positions behind the overlap, so each token counts once and sees at least OVERLAP tokens. The
 model's probability of a word is that of its subwords, given that a word begins, times that of a word
-beginning after them: over all words it sums to one at most. A word's probability is a mixture of the attention model and the word's corpus share. Shares of the
+beginning after them: over all words it sums to one at most. A word's probability is a mixture of the attention model and the word's corpus share, the
+smoothed one of the base score: unseen words are one word there, and what the model gives to the spelling of one
+is at most its share of that word, so over all seen words and the unseen one it sums to one at most, and a text's score is
+never below its base score by more than log10(SHARE) a token. Shares of the
 most frequent words are at hand in all tasks, those of all others come by a join.
 """
 
@@ -520,9 +523,9 @@ def score(docs: DataFrame, path: str) -> DataFrame:
     frequent = {w: i for i, w in enumerate(head["word"].to_pylist())}
     # The last place is that of all other words.
     base_log = np.array([*map(log_of, head["n"].to_pylist()), 0.0])
-    direct = np.append(head["n"].to_numpy() * (SHARE / max(1, total)), 0.0)
+    spread = total + 0.1 * (distinct + 1)
+    direct = np.append((head["n"].to_numpy() + 0.1) * (SHARE / spread), 0.0)
     sent = sc.broadcast((prepared(weights, vocabulary), vocabulary, frequent, base_log, direct))
-    share = SHARE if total else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, v, frequent, base_log, direct = sent.value
@@ -540,7 +543,8 @@ def score(docs: DataFrame, path: str) -> DataFrame:
                 last[np.cumsum(each) - 1] = True
                 by_word = log_words(*log_places(p, v, np.split(ids, ends[:-1]), inner), begins, last)
                 found = np.fromiter(map(known.__getitem__, flat), dtype=np.int64, count=len(flat))
-                model = (1 - share) * np.exp(np.maximum(by_word, -600))
+                # Where the weights give no number, the corpus share alone counts.
+                model = (1 - SHARE) * np.exp(np.where(np.isfinite(by_word), np.maximum(by_word, -600), -600))
                 mixed = np.where(found >= 0, np.log10(direct[found] + model), 0.0)
                 total_of = lambda values, first=first: pa.array(np.add.reduceat(values, first))
                 rows = b.column(0).slice(at, len(texts))
@@ -564,8 +568,8 @@ def score(docs: DataFrame, path: str) -> DataFrame:
     seen = counts.select(F.col("word").alias("seen"), F.col("n").alias("c"))
     rare = scored.where("word IS NOT NULL").join(seen, F.col("word") == F.col("seen"), "left")
     rest = rare.groupBy(F.col("row").alias("of")).agg(
-        F.sum(F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(total + 0.1 * (distinct + 1)))).alias("rest_log"),
-        F.sum(F.log10(F.coalesce("c", F.lit(0)) * F.lit(share / max(1, total)) + F.col("model"))).alias("rest_score"),
+        F.sum(F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(spread))).alias("rest_log"),
+        F.sum(F.log10((F.coalesce("c", F.lit(0)) + 0.1) * F.lit(SHARE / spread) + F.col("model"))).alias("rest_score"),
         F.count("c").alias("rest_known"))
     return scored.where("word IS NULL").join(rest, F.col("row") == F.col("of"), "left").select(
         "doc_id", "held_out", "n_tokens",

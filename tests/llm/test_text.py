@@ -226,6 +226,22 @@ def test_base_scores(spark, monkeypatch, head):
     assert lm.score(fixtures.table(spark, []), path).count() == 0
 
 
+def test_unseen_words_cost_no_more_than_the_base_says(spark):
+    """Long words that no training text has: a score is finite and at most log10(SHARE) a token below its
+    base score, whether anything was learned or not."""
+    import public_tokenizers
+
+    odd = " ".join(f"q{i}zx9{i * 7919}kv-{i * 104729}%w" * 3 for i in range(40))
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0]
+    rows = [(i, odd if i in held else "the cat sat on the mat") for i in range(60)]
+    for kept in (rows, [row for row in rows if row[0] in held]):
+        docs = spark.createDataFrame(kept, "doc_id bigint, text string")
+        found = lm.score(docs, public_tokenizers.path("byte_bpe_50k.json")).where("held_out").collect()
+        assert len(found) == sum(i < 60 for i in held) > 0
+        for r in found:
+            assert np.isfinite(r.score) and r.score >= r.base_score + r.n_tokens * math.log10(lm.SHARE) - 1e-6
+
+
 def test_gradient_is_that_of_the_loss():
     class Flat:
         log_class = np.zeros(lm.CLASSES, np.float32)
