@@ -22,7 +22,7 @@ from clickwell.schemas import (
     MONEY, TOPIC_DISPLAY, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO, TOPIC_ORDER_WIDE, TOPIC_PAGE, TOPIC_RAW_DB,
     TOPIC_RAW_LOG, TOPIC_START, TOPIC_UNIQUE_VISIT, TOPIC_USER_JUMP,
 )
-from clickwell.session import finely_cut, folder_exists, move_folder, run_dir, tune
+from clickwell.session import folder_exists, move_folder, run_dir, tune
 from clickwell.sources.topics import Topics, read_topic, write_topic
 from clickwell.streaming import jobs
 from clickwell.streaming.batches import TOPIC_IN_TIME, TOPIC_LATE
@@ -117,8 +117,8 @@ def none_late(spark: SparkSession, topics: Topics) -> None:
 
 
 def set_session(spark: SparkSession) -> SparkSession:
-    """A session for a job without state stores: its partitions need not stay the same from run to run."""
-    return tune(finely_cut(spark))
+    """`job_session` for a job without state stores: it has as many partitions as any other query."""
+    return job_session(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def time_in(field: str = "ts") -> Column:
