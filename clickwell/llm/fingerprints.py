@@ -35,7 +35,7 @@ def gamma_at(share: np.ndarray) -> np.ndarray:
 
 
 def constants(values: np.ndarray) -> Column:
-    """A constant array; folded to a literal when the query is planned."""
+    """A constant array."""
     return F.split(F.lit(",".join(f"{v:.12g}" for v in values)), ",").cast("array<double>")
 
 
@@ -50,15 +50,16 @@ def sample(k: int, r_grid: Column, log_c_grid: Column) -> Column:
     is sampled in the lower. The smallest over a bag's terms is the bag's sample."""
     h = F.xxhash64("term", F.lit(k))
     part = lambda shift, n: F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << n) - 1))
-    larger = lambda shift, n: F.greatest(part(shift, n), part(shift + n, n)).cast("int")
-    r = F.coalesce(F.get(r_grid, larger(0, R_BITS)), F.lit(1.0))
-    log_c = F.coalesce(F.get(log_c_grid, larger(2 * R_BITS, C_BITS)), F.lit(0.0))
+    larger = lambda shift, n: F.greatest(part(shift, n), part(shift + n, n))
+    r = F.get(r_grid, larger(0, R_BITS))
+    log_c = F.get(log_c_grid, larger(2 * R_BITS, C_BITS))
     b = part(2 * R_BITS + 2 * C_BITS, 24) * F.lit(2.0**-24)
     # A weight of one, the usual case, has t = 0.
     t = F.when(F.col("log_weight") == 0, F.lit(0).cast("bigint")).otherwise(F.floor(F.col("log_weight") / r + b))
-    # The logarithm of the rank lies within -200 and 50 and keeps 31 bits.
+    # The logarithm of the rank lies within -200 and 50 and keeps 31 bits: log_c is -8 or more, and
+    # r * (t - b + 1) at most the largest r of the grid and the logarithm of the weight together.
     log_a = log_c - r * (t - b + 1.0)
-    rank = ((F.greatest(log_a, F.lit(-200.0)) + 200.0) * 8388608.0).cast("bigint")
+    rank = ((log_a + 200.0) * 8388608.0).cast("bigint")
     return F.shiftleft(rank, 32).bitwiseOR(h.bitwiseXOR(t).bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
@@ -126,8 +127,12 @@ def sampled(rows: DataFrame, keys: list[str]) -> DataFrame:
     (32 bits each). One row per distinct combination of keys."""
     bag = rows.select(*keys, F.inline(terms(F.col("text"))))
     bag = bag.select(*keys, "term", F.ln("weight").alias("log_weight"))
-    grids = constants(R_GRID), constants(LOG_C_GRID)
-    least = bag.groupBy(*keys).agg(*[F.min(sample(k, *grids)).alias(f"s{k}") for k in range(SAMPLES)])
+    # The grids are one row that meets every term, and so one place in memory for all samples: as
+    # literals they would be in the plan, and in each task, twice per sample.
+    grids = common.written(rows.sparkSession.range(1).select(
+        constants(R_GRID).alias("r_grid"), constants(LOG_C_GRID).alias("log_c_grid")), "grids")
+    least = bag.crossJoin(grids).groupBy(*keys).agg(*[
+        F.min(sample(k, F.col("r_grid"), F.col("log_c_grid"))).alias(f"s{k}") for k in range(SAMPLES)])
     return least.select(*keys, F.array(*[
         F.col(f"s{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(SAMPLES)]).alias("samples"))
 

@@ -181,6 +181,13 @@ def test_collisions_equal_generalised_jaccard(spark):
     assert abs(np.mean(share) - np.mean(want)) < 0.05
 
 
+def test_samples_share_one_copy_of_the_grids(spark):
+    found = fingerprints.sampled(spark.createDataFrame([(1, "one two three")], "i int, text string"), ["i"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert f"{fingerprints.R_GRID[0]:.12g}" not in plan and f"{fingerprints.LOG_C_GRID[0]:.12g}" not in plan
+    assert len(found.first().samples) == fingerprints.SAMPLES
+
+
 def test_toxicity_learns_and_is_whole(spark):
     rows = toxicity.op8_toxicity(spark, "/root/testdata/sf0.01").collect()
     label = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
