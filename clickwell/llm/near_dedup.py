@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickwell.llm import common
 from clickwell.llm.licenses import Hashes
@@ -288,6 +288,25 @@ def classes_of(edges: DataFrame) -> DataFrame:
         pairs.select(F.col("a").alias("id"), F.col("a").alias("class")).distinct())
 
 
+def bucket_of() -> list[Column]:
+    """How many members a bucket has, and hashes of who they are."""
+    return [F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("members"),
+            F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("again")]
+
+
+def one_of_same(buckets: DataFrame, *also: str) -> DataFrame:
+    """Of the buckets with the same members the one of the smallest key, `of`."""
+    return buckets.groupBy("n", "members", "again", *also).agg(F.min("band").alias("of"))
+
+
+def bags_of(texts: DataFrame, wanted: DataFrame, winners: DataFrame) -> DataFrame:
+    """(held, shingles) of the `wanted` ids; each text from the one row that stands for it."""
+    chosen = wanted.join(winners, F.col("wanted") == F.col("id")).select("id", "own", "best")
+    of_winner = (F.col("text_key") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("best.doc_id"))
+    bags = common.written(texts.join(chosen, of_winner).select("id", "text").mapInArrow(bag, BAG), "bags")
+    return bags.dropDuplicates(["id"]).withColumnRenamed("id", "held")
+
+
 def links_between(texts: DataFrame, winners: DataFrame) -> DataFrame:
     """Verified links (a, b) between different texts (text_key, doc_id, text) that connect all
     near duplicates found by the bands. `winners` names for each text its id and the doc_id of the
@@ -295,38 +314,37 @@ def links_between(texts: DataFrame, winners: DataFrame) -> DataFrame:
     of_winner = (F.col("text_key") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("best.doc_id"))
     signed = common.written(texts.select("text_key", "doc_id", "text").mapInArrow(sign, SIGNED).join(
         winners, of_winner).dropDuplicates(["text_key"]).select("id", "bands"), "signed")
-    # A few bands go first, the others later.
-    buckets = signed.select("id", F.posexplode("bands").alias("pos", "band")).select(
-        "id", "band", (F.col("pos") >= EARLY).alias("later")).repartition("band")
-    # Buckets of the same members are one bucket: the members' hashes stand for them.
-    chosen = buckets.groupBy("band").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("members"),
-        F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("again"), F.min("later").alias("later"),
-    ).where("n > 1").groupBy("n", "members", "again").agg(F.min(F.struct("later", "band")).alias("first")).select(
-        F.col("first.band").alias("of"), F.col("first.later").alias("_later"), "n")
-    members = common.written(buckets.join(chosen, F.col("band") == F.col("of")).select(
-        "id", "band", "n", F.col("_later").alias("later")), "buckets")
-    wanted = members.select(F.col("id").alias("wanted")).distinct().join(winners, F.col("wanted") == F.col("id")).select(
-        "id", "own", "best")
-    # Texts of candidates only go on, each from the one row that stands for it.
-    bags = common.written(texts.join(wanted, of_winner).select("id", "text").mapInArrow(bag, BAG), "bags")
-    held = bags.dropDuplicates(["id"]).withColumnRenamed("id", "held")
-
-    def with_bags(rows: DataFrame) -> DataFrame:
-        return rows.join(held, F.col("id") == F.col("held")).drop("held")
+    # A few bands go first. Buckets of the same members are one bucket: the members' hashes stand for them.
+    buckets = signed.select("id", F.explode(F.slice("bands", 1, EARLY)).alias("band")).repartition("band")
+    chosen = common.written(one_of_same(buckets.groupBy("band").agg(*bucket_of()).where("n > 1")), "chosen")
+    members = common.written(buckets.join(chosen, F.col("band") == F.col("of")).select("id", "band", "n"), "buckets")
+    held = bags_of(texts, members.select(F.col("id").alias("wanted")).distinct(), winners)
 
     # Blocks of a bucket are dealt differently in each band, so its blocks mix from band to band.
     n_blocks = F.ceil(F.col("n") / BLOCK)
-    blocked = members.withColumn("block", F.pmod(F.xxhash64("id", "band"), n_blocks))
-    early = blocked.where("NOT later").withColumn("class", F.lit(None).cast("bigint"))
-    edges = common.written(with_bags(early).groupBy("band", "block").applyInArrow(connect_block, EDGES), "edges")
-    # A bucket whose members are of one class by now has nothing to add, nor has one that was compared whole.
+    block = F.pmod(F.xxhash64("id", "band"), n_blocks)
+    blocked = members.withColumn("block", block)
+    early = blocked.withColumn("class", F.lit(None).cast("bigint")).join(held, F.col("id") == F.col("held")).drop("held")
+    edges = common.written(early.groupBy("band", "block").applyInArrow(connect_block, EDGES), "edges")
+    # A bucket whose members are of one class by now has nothing to add, nor has one that was compared
+    # whole, whatever its band: only rows of the others meet their bucket.
     classes = classes_of(edges)
     known = classes.withColumnRenamed("id", "known")
-    late = common.written(blocked.where(F.col("later") | (n_blocks > 1)).join(known, F.col("id") == F.col("known"), "left").drop(
-        "known").withColumn("class", F.coalesce("class", "id")), "late")
-    mixed = late.groupBy(F.col("band").alias("of")).agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b")
-    late = common.written(late.join(mixed, F.col("band") == F.col("of")).drop("of", "b"), "mixed")
+    class_of = F.coalesce("class", "id")
+    buckets = signed.join(known, F.col("id") == F.col("known"), "left").select(
+        "id", "class", F.explode(F.slice("bands", EARLY + 1, BANDS - EARLY)).alias("band")).repartition("band")
+    mixed = buckets.groupBy("band").agg(*bucket_of(), F.min(class_of).alias("a"), F.max(class_of).alias("z")).where("n > 1 AND a <> z")
+    mixed = one_of_same(mixed.join(chosen, ["n", "members", "again"], "left_anti"), "a")
+    late = buckets.join(mixed, F.col("band") == F.col("of")).select("id", "band", "n", block.alias("block"), class_of.alias("class"), "a")
+    large = blocked.where(n_blocks > 1).join(known, F.col("id") == F.col("known"), "left").drop("known").withColumn("class", class_of)
+    mixed = large.groupBy(F.col("band").alias("of")).agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a <> z").drop("z")
+    late = common.written(late.unionByName(large.join(mixed, F.col("band") == F.col("of")).drop("of")), "mixed")
+    more = late.select(F.col("id").alias("wanted")).distinct().join(held, F.col("wanted") == F.col("held"), "left_anti")
+    held = held.unionAll(bags_of(texts, more, winners))
+
+    def with_bags(rows: DataFrame) -> DataFrame:
+        return rows.join(held, F.col("id") == F.col("held")).drop("held")
+
     held_bands = held.join(signed.withColumnRenamed("id", "_id"), F.col("held") == F.col("_id")).drop("_id")
     blocks_of, rest = by_component(late)
     met = blocks_of.join(held_bands, F.col("id") == F.col("held")).drop("held")
@@ -355,7 +373,7 @@ def links_between(texts: DataFrame, winners: DataFrame) -> DataFrame:
 
 
 def by_component(late: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """How the rows of mixed buckets, (id, band, n, later, block, class, a) with `a` the smallest class
+    """How the rows of mixed buckets, (id, band, n, block, class, a) with `a` the smallest class
     of the bucket, are compared at the least cost: (blocks of components, buckets as they are).
 
     Classes that meet in a bucket make a component. Its main class need not be compared with itself,
@@ -390,7 +408,7 @@ def by_component(late: DataFrame) -> tuple[DataFrame, DataFrame]:
     met = met.unionAll(pairs.select(
         "comp", F.least("own", "peer").alias("left"), F.col("mains") + F.greatest("own", "peer"),
         F.when(F.col("own") != F.col("peer"), (F.col("own") > F.col("peer")).cast("int")).alias("side"), "id", "class"))
-    return met, placed.where("NOT cheap").select("id", "band", "n", "later", "block", "class")
+    return met, placed.where("NOT cheap").select("id", "band", "n", "block", "class")
 
 
 def stars(classes: DataFrame) -> DataFrame:

@@ -135,6 +135,23 @@ def test_both_ways_to_compare_components_give_the_same(spark, monkeypatch, way):
     assert way != "blocks" or used[0][0] > 0 and used[0][1] == 0
 
 
+def test_near_copies_meet_their_buckets_in_the_early_bands_only(spark, monkeypatch):
+    n, written, made = 60, near_dedup.common.written, []
+
+    def counted(rows, name):
+        done = written(rows, name)
+        if name in ("buckets", "late", "mixed"):
+            made.append(done.count())
+        return done
+
+    monkeypatch.setattr(near_dedup.common, "written", counted)
+    words = fixtures.prose(60, 400).split()
+    given = [(i, " ".join([*words[:6 * i], f"own{i}", *words[6 * i + 1:]])) for i in range(n)]
+    rows = near_dedup.group(fixtures.table(spark, given)).collect()
+    assert {(r.class_id, r.class_size) for r in rows} == {(n - 1, n)}
+    assert sum(made) <= n * near_dedup.EARLY
+
+
 def test_near_dedup_of_nothing(spark):
     assert near_dedup.group(fixtures.table(spark, [])).count() == 0
 
