@@ -32,6 +32,17 @@ def tokenizer(path: str) -> Tokenizer:
     return _open[path]
 
 
+_held: list = []  # the word table in use
+
+
+def only(table: dict) -> None:
+    """Empties the word table of another step: a worker process that is used again for the next step
+    of a pipeline holds the words of one step at a time."""
+    if _held and _held[0] is not table:
+        _held[0].forget()
+    _held[:] = [table]
+
+
 class Words(dict):
     """Word -> its ids as bytes of 32-bit numbers. When full, the words so far become the older
     half; of these the ones met again come back, the others are forgotten at the next change."""
@@ -51,6 +62,10 @@ class Words(dict):
         self[word] = ids
         return ids
 
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+
     def made(self, word: str) -> bytes:
         """The ids of a new word. A letter or digit before signs that end the word ends its
         pre-token in any context, so the word is put together from what stands before and after."""

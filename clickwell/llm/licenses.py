@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from clickwell.llm import common
-from clickwell.llm.encoding import CACHE_WORDS
+from clickwell.llm.encoding import CACHE_WORDS, only
 from clickwell.llm.toxicity import blocks
 
 K = 3
@@ -66,10 +66,14 @@ class Hashes(dict):
         self.pairs.frombytes(blake2b(word.translate(CAPITALS).encode("utf-8", "replace"), digest_size=16).digest())
         return row
 
+    def forget(self) -> None:
+        self.clear()
+        self.pairs = array("Q")
+
     def of(self, words: list[str]) -> np.ndarray:
+        only(self)
         if len(self) > CACHE_WORDS:
-            self.clear()
-            self.pairs = array("Q")
+            self.forget()
         at = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
         return np.array(self.pairs, dtype=np.uint64).reshape(-1, 2)[at] if len(at) else np.zeros((0, 2), dtype=np.uint64)
 

@@ -47,6 +47,7 @@ def encode_text(path: str, text: str) -> bytes:
     words = _words.get(path)
     if words is None:
         words = _words[path] = Words(encoding.ids_by(path))
+    encoding.only(words)
     if encoding.RARE_SPACE.search(text):
         return np.array(words.encode(text), dtype="<u4").tobytes()
     return b"".join([words[w] for w in text.split()])

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickwell.llm import common
-from clickwell.llm.encoding import CACHE_WORDS
+from clickwell.llm.encoding import CACHE_WORDS, only
 
 BITS = 20
 FEATURES = 1 << BITS
@@ -46,10 +46,14 @@ class Vocabulary(dict):
         self.parts.extend(crc32(f"{n}:{word[:n]}".encode("utf-8", "replace")) + 1 if len(word) > n else 0 for n in STEMS)
         return row
 
+    def forget(self) -> None:
+        self.clear()
+        self.parts = array("q")
+
     def rows(self, words: list[str]) -> np.ndarray:
+        only(self)
         if len(self) > CACHE_WORDS:
-            self.clear()
-            self.parts = array("q")
+            self.forget()
         at = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
         return np.array(self.parts, dtype=np.int64).reshape(-1, 1 + len(STEMS))[at] if len(at) else np.zeros((0, 1 + len(STEMS)), dtype=np.int64)
 
@@ -128,6 +132,24 @@ def fit(flat: np.ndarray, starts: np.ndarray, labels: np.ndarray) -> tuple[np.nd
     return place, weights[place]
 
 
+def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model from batches (doc_id, label, at), in their order. Features are copied into one array
+    as they come, and each batch is let go: one copy is held, besides room to grow."""
+    flat, n, lengths, labels = np.zeros(1 << 16, dtype=np.int32), 0, [], []
+    for b in batches:
+        own = b.column(2).flatten().to_numpy()
+        if n + len(own) > len(flat):
+            flat.resize(max(n + len(own), len(flat) + len(flat) // 4), refcheck=False)
+        flat[n:n + len(own)] = own
+        n += len(own)
+        lengths.append(b.column(2).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+        labels.append(b.column(1).to_numpy().copy())  # a view would hold the whole batch
+        del own, b
+    starts = np.append(0, np.cumsum(np.concatenate(lengths or [np.zeros(0, np.int64)])))
+    place, weight = fit(flat, starts, np.concatenate(labels or [np.zeros(0, np.int32)]))
+    yield pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(weight, pa.float64())], ["place", "weight"])
+
+
 def weights_of(z: np.ndarray, n: np.ndarray, free: np.ndarray | bool) -> np.ndarray:
     """The weights that a state stands for; `free` places (the intercept) have no L1 penalty."""
     l1 = np.where(free, 0.0, L1)
@@ -154,14 +176,6 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = TRAIN_
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "label", "at"])
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.Table.from_batches(list(batches), pa.schema([
-            ("doc_id", pa.int64()), ("label", pa.int32()), ("at", pa.list_(pa.int32()))])).combine_chunks()
-        at = held["at"].combine_chunks()
-        lengths = at.value_lengths().to_numpy(zero_copy_only=False)
-        place, weight = fit(at.flatten().to_numpy(), np.append(0, np.cumsum(lengths)), held["label"].to_numpy())
-        yield pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(weight, pa.float64())], ["place", "weight"])
-
     chosen = chosen.select(F.col("doc_id").alias("labelled_id"), "label")
     examples = common.written(docs.select("doc_id", common.text_of().alias("text")).join(
         chosen, F.col("doc_id") == F.col("labelled_id")).select(F.col("doc_id").cast("bigint"), "label", "text").mapInArrow(

@@ -8,11 +8,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import fixtures
-from clickwell.llm import fingerprints, licenses, lm, secrets, toxicity
+from clickwell.llm import fingerprints, licenses, lm, near_dedup, packing, secrets, toxicity
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -199,6 +200,39 @@ def test_toxicity_learns_and_is_whole(spark):
     assert np.mean([b > g for b in bad for g in good]) > 0.75
 
 
+def test_toxicity_learns_from_one_copy_of_the_features(monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [rng.integers(0, toxicity.FEATURES, int(size)).astype(np.int32) for size in rng.integers(0, 1_500, 600)]
+    labels = rng.integers(0, 2, len(rows)).astype(np.int32)
+    held, seen, started = [], [], pa.total_allocated_bytes()
+
+    def batches():
+        for i in range(0, len(rows), 50):
+            held.append(pa.total_allocated_bytes() - started)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(range(i, i + 50), pa.int64()), pa.array(labels[i:i + 50]),
+                pa.array(rows[i:i + 50], pa.list_(pa.int32()))], ["doc_id", "label", "at"])
+
+    monkeypatch.setattr(toxicity, "fit", lambda *given: seen.append(given) or (np.zeros(0, np.int64), np.zeros(0)))
+    assert len(list(toxicity.learn(batches()))) == 1
+    flat, starts, found = seen[0]
+    assert all((flat[starts[i]:starts[i + 1]] == row).all() and starts[i + 1] - starts[i] == len(row) for i, row in enumerate(rows))
+    assert (found == labels).all()
+    # Batches that were read are not held: no more than two of them at a time.
+    assert max(held) < 3 * 50 * 1_500 * 4
+
+
+def test_a_process_holds_the_words_of_one_step(spark):
+    toxicity.features_of(["some words of a text"])
+    assert len(toxicity._vocabulary) and len(toxicity._vocabulary.parts)
+    near_dedup.shingles_of(["other words of a text"])
+    assert not len(toxicity._vocabulary) and not len(toxicity._vocabulary.parts) and len(near_dedup._hashes)
+    packing.encode_text(packing.default_path(), "words of a text")
+    assert not len(near_dedup._hashes) and not len(near_dedup._hashes.pairs)
+    again = toxicity.features_of(["some words of a text"])
+    assert [x.tolist() for x in again] == [x.tolist() for x in toxicity.features_of(["some words of a text"])]
+
+
 def test_toxicity_of_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1, 1), (7, 0, 0), (7, 0, 1), (None, 1, 1), (8, 1, None)], "doc_id bigint, quality int, toxic int")
     docs = fixtures.table(spark)
