@@ -222,7 +222,7 @@ def test_toxicity_learns_from_one_copy_of_the_features(monkeypatch):
     assert max(held) < 3 * 50 * 1_500 * 4
 
 
-def test_a_process_holds_the_words_of_one_step(spark):
+def test_a_process_holds_the_words_of_one_step():
     toxicity.features_of(["some words of a text"])
     assert len(toxicity._vocabulary) and len(toxicity._vocabulary.parts)
     near_dedup.shingles_of(["other words of a text"])
