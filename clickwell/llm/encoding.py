@@ -85,13 +85,11 @@ LETTER_RUNS = "[\\p{L}]+"
 LAST = b"\xff"  # stands in no UTF-8
 
 
-def ranked(path: str) -> tuple[re.Pattern, Callable[[str], list[int]]] | None:
-    """What words are one pre-token, and their ids by ranks of the merges, which is several times
-    faster than the whole library's way. Only for plain byte-level vocabularies of two kinds, that
+def merges(path: str) -> tuple[re.Pattern, dict[bytes, int], list[int], str] | None:
+    """What words are one pre-token, the ranks of the merges, the id of each rank, and the mark of a
+    word's last sign. Only for plain byte-level vocabularies of two kinds, that
     have no special token of letters alone: a blank belongs to the word behind it, or the last sign
     of a word is marked by a suffix and all is lower-case. None for others."""
-    import tiktoken
-
     file = json.loads(tokenizer(path).to_str())
     model, cut, form = file["model"], file["pre_tokenizer"] or {}, file["normalizer"]
     steps = cut.get("pretokenizers", [])
@@ -118,12 +116,59 @@ def ranked(path: str) -> tuple[re.Pattern, Callable[[str], list[int]]] | None:
     if not all(t in vocabulary for t in tokens) or len(set(raw)) != len(raw):
         return None
     ranks = {t: i for i, t in enumerate(raw)} | ({} if LAST in raw else {LAST: len(raw)})
-    ids = [vocabulary[t] for t in tokens]
+    return words, ranks, [vocabulary[t] for t in tokens], suffix
+
+
+def ranked(path: str) -> tuple[re.Pattern, Callable[[str], list[int]]] | None:
+    """What words are one pre-token, and their ids by ranks of the merges, which is several times
+    faster than the whole library's way. None for vocabularies that merges() does not know."""
+    import tiktoken
+
+    found = merges(path)
+    if found is None:
+        return None
+    words, ranks, ids, suffix = found
     single = tiktoken.Encoding("ranked", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
     end = LAST if suffix else b""
     return words, lambda word: [ids[r] for r in single(word.encode() + end)]
 
 
+# What the byte-level vocabularies cut at, and words of signs whose kind is the same in all versions of the letter
+# tables.
+CUT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+KNOWN_SIGNS = re.compile(r"[!-~À-ÖØ-öø-ɏ]{1,256}")
+
+
+def many(path: str) -> Callable[[list[str]], dict[str, bytes]] | None:
+    """Words -> the ids of each behind a blank, as bytes of 32-bit numbers, by one call for all of
+    them: with single blanks between, no pre-token reaches over a word's ends. Words with other signs or
+    a special token are left out. None where a blank does not belong to the word behind it."""
+    import tiktoken
+
+    found = merges(path)
+    special = json.loads(tokenizer(path).to_str())["added_tokens"]
+    if found is None or found[0] is not WITH_BLANK or any(
+            t["lstrip"] or t["rstrip"] or not t["content"] or re.search(r"\s", t["content"]) for t in special):
+        return None
+    _, ranks, ids, _ = found
+    at_once = tiktoken.Encoding("many", pat_str=CUT, mergeable_ranks=ranks, special_tokens={})
+    id_of = np.array(ids, dtype="<u4")
+    begins = np.zeros(len(ids), dtype=bool)
+    begins[[r for token, r in ranks.items() if token.startswith(b" ")]] = True
+    barred = re.compile("|".join(re.escape(t["content"]) for t in special)) if special else None
+
+    def run(words: list[str]) -> dict[str, bytes]:
+        words = [w for w in words if KNOWN_SIGNS.fullmatch(w) and not (barred and barred.search(w))]
+        if not words:
+            return {}
+        got = at_once.encode_to_numpy(" " + " ".join(words), allowed_special=set(), disallowed_special=())
+        first = np.flatnonzero(begins[got])
+        out, ends = id_of[got].tobytes(), [*(first * 4).tolist(), len(got) * 4]
+        return {w: out[a:b] for w, a, b in zip(words, ends[:-1], ends[1:], strict=True)}
+
+    return run
+
+
 def alphabet() -> dict[str, int]:
     """The printable character that byte-level vocabularies write for each byte."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -58,6 +58,7 @@ class Ids(dict):
         super().__init__()
         plain, end = encoding.ids_by(path), encoding.tokenizer(path).get_vocab_size()
         self.pieces = encoding.Words(lambda piece: plain(piece) or [end])
+        self.many = encoding.many(path)
         self.end = np.array([end], dtype="<u4").tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
@@ -67,6 +68,21 @@ class Ids(dict):
         self[word] = ids
         return ids
 
+    def all(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word; new ones are encoded together where the vocabulary has a way for that."""
+        if self.many:
+            distinct = set(words)
+            new = [w for w in distinct if w not in self]
+            if len(self) + len(new) > encoding.CACHE_WORDS:
+                held = {w: self[w] for w in distinct.difference(new)}
+                self.clear()
+                self.update(held)
+            texts = {w.decode("utf-8", "replace"): w for w in new}
+            if len(texts) == len(new):
+                for text, ids in self.many(list(texts)).items():
+                    self[texts[text]] = ids
+        return [self[w] for w in words]
+
 
 _ids: dict[str, Ids] = {}
 
@@ -131,9 +147,9 @@ def pair_counts(words: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = subwords(path)
         for b in batches:
-            ids = [np.frombuffer(table[w.as_py()], dtype="<u4").astype(np.int64) for w in b.column(0)]
-            size = [len(i) for i in ids]
-            flat = np.concatenate(ids or [np.zeros(0, np.int64)])
+            ids = table.all(b.column(0).to_pylist())
+            size = [len(i) // 4 for i in ids]
+            flat = np.frombuffer(b"".join(ids), dtype="<u4").astype(np.int64)
             n = np.repeat(b.column(1).to_numpy(), size)
             first = np.zeros(len(flat), bool)
             first[np.cumsum([0, *size[:-1]])[:len(size)]] = True
@@ -232,6 +248,7 @@ def start(vocabulary: Vocabulary) -> dict[str, np.ndarray]:
 
 
 MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, dtype=np.float32), 1)
+BEFORE = np.tril(np.ones((WINDOW, WINDOW), dtype=np.float32))
 
 
 def attend(p: dict, tokens: np.ndarray) -> tuple[np.ndarray, tuple]:
@@ -264,7 +281,7 @@ def prepared(p: dict, v: Vocabulary | None = None) -> dict[str, np.ndarray]:
     qkv[:, :WIDTH] *= np.float32(WIDTH**-0.5)
     ones = np.ones(CLASSES, dtype=np.float32)
     out0 = p["out0"] if v is None else np.where(v.empty, np.float32(-1e4), p["out0"])
-    return p | {"qkv": qkv, "out0": out0, "before": np.tril(np.ones((WINDOW, WINDOW), dtype=np.float32)),
+    return p | {"qkv": qkv, "out0": out0, "before": BEFORE,
                 "ones": ones, "sums": np.stack([ones, ones if v is None else v.beginning], axis=1)}
 
 
@@ -272,14 +289,17 @@ def log_target(p: dict, tokens: np.ndarray, live: np.ndarray, target: np.ndarray
     """Log probabilities of the target class, and of any that begins a word, at each live place of
     windows: what attend() and log_classes() give, in fewer passes. Exponents are not shifted, so weights beyond a float's
     range give no finite number; such a block goes the longer way."""
-    x = p["embed"][tokens] + p["place"]
-    qkv = (x.reshape(-1, WIDTH) @ p["qkv"]).reshape(*x.shape[:2], 3 * WIDTH)
+    n, at = len(tokens), np.flatnonzero(live)
+    x = p["embed"].take(tokens.ravel(), axis=0)
+    x.reshape(n, WINDOW, WIDTH)[...] += p["place"]
+    qkv = (x @ p["qkv"]).reshape(n, WINDOW, 3 * WIDTH)
     a = qkv[:, :, :WIDTH] @ qkv[:, :, WIDTH:2 * WIDTH].transpose(0, 2, 1)
     np.exp(a, out=a)
     a *= p["before"]
-    o = a @ qkv[:, :, 2 * WIDTH:]
-    o /= (a.reshape(-1, WINDOW) @ p["ones"][:WINDOW]).reshape(*x.shape[:2], 1)
-    h = x[live] + o[live] @ p["mix"]
+    o = (a @ qkv[:, :, 2 * WIDTH:]).reshape(-1, WIDTH).take(at, axis=0)
+    o /= (a.reshape(-1, WINDOW) @ p["ones"][:WINDOW]).take(at)[:, None]
+    h = o @ p["mix"]
+    h += x.take(at, axis=0)
     u = h @ p["up"]
     u += p["up0"]
     np.maximum(u, 0, out=u)
@@ -293,29 +313,66 @@ def log_target(p: dict, tokens: np.ndarray, live: np.ndarray, target: np.ndarray
 
 
 def gradient(p: dict, tokens: np.ndarray, target: np.ndarray, live: np.ndarray) -> dict[str, np.ndarray]:
-    """Of the mean negative log probability of the target classes at the live places."""
-    g, (tokens, x, q, k, v, a, o, h, u) = attend(p, tokens)
-    flat = g[live]
-    dz = np.exp(log_classes(p, flat))
-    dz[np.arange(len(flat)), target[live]] -= 1
-    dz /= max(1, len(flat))
-    out = {"out": flat.T @ dz, "out0": dz.sum(axis=0)}
-    dg = np.zeros_like(g)
-    dg[live] = dz @ p["out"].T
-    two = lambda m: m.reshape(-1, m.shape[-1])
-    du = (dg @ p["down"].T) * (u > 0)
-    out |= {"down": two(u).T @ two(dg), "up": two(h).T @ two(du), "up0": two(du).sum(axis=0)}
-    dh = dg + du @ p["up"].T
-    out["mix"] = two(o).T @ two(dh)
-    do = dh @ p["mix"].T
+    """Of the mean negative log probability of the target classes at the live places; what is behind
+    the attention is only worked out at these."""
+    n, kind = len(tokens), p["out"].dtype.type
+    ones = np.ones(max(n * WINDOW, CLASSES), kind)
+    # The scale of attention stands within the weights of the queries.
+    scale = kind(WIDTH**-0.5)
+    weights = p["qkv"].copy()
+    weights[:, :WIDTH] *= scale
+    x = p["embed"].take(tokens.ravel(), axis=0)
+    x.reshape(n, WINDOW, WIDTH)[...] += p["place"]
+    qkv = (x @ weights).reshape(n, WINDOW, 3 * WIDTH)
+    q, k, v = qkv[:, :, :WIDTH], qkv[:, :, WIDTH:2 * WIDTH], qkv[:, :, 2 * WIDTH:]
+    a = q @ k.transpose(0, 2, 1)
+    np.minimum(a, 30, out=a)
+    np.exp(a, out=a)
+    a *= BEFORE
+    a /= (a.reshape(-1, WINDOW) @ ones[:WINDOW]).reshape(n, WINDOW, 1)
+    o = (a @ v).reshape(-1, WIDTH)
+    at = np.flatnonzero(live)
+    many = max(1, len(at))
+    own = o.take(at, axis=0)
+    h = own @ p["mix"]
+    h += x.take(at, axis=0)
+    u = h @ p["up"]
+    u += p["up0"]
+    np.maximum(u, 0, out=u)
+    g = u @ p["down"]
+    g += h
+    dz = g @ p["out"]
+    dz += p["out0"]
+    dz -= dz.max(axis=1, keepdims=True)
+    np.exp(dz, out=dz)
+    dz /= (dz @ ones[:CLASSES] * kind(many))[:, None]
+    dz[np.arange(len(at)), target.ravel().take(at)] -= kind(1 / many)
+    out = {"out": g.T @ dz, "out0": ones[:len(at)] @ dz}
+    dg = dz @ p["out"].T
+    du = dg @ p["down"].T
+    du *= u > 0
+    out |= {"down": u.T @ dg, "up": h.T @ du, "up0": ones[:len(at)] @ du}
+    dg += du @ p["up"].T
+    out["mix"] = own.T @ dg
+    dh = np.zeros_like(o)
+    dh[at] = dg
+    flat = dh @ p["mix"].T
+    do = flat.reshape(n, WINDOW, WIDTH)
     da = do @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(WIDTH**-0.5)
-    dqkv = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ do], axis=2)
-    out["qkv"] = two(x).T @ two(dqkv)
-    dx = dh + dqkv @ p["qkv"].T
-    out["place"] = dx.sum(axis=0)
-    out["embed"] = np.zeros_like(p["embed"])
-    np.add.at(out["embed"], tokens, dx)
+    da -= np.einsum("ij,ij->i", flat, o).reshape(n, WINDOW, 1)
+    da *= a
+    dqkv = np.empty_like(qkv)
+    np.matmul(da, k, out=dqkv[:, :, :WIDTH])
+    np.matmul(da.transpose(0, 2, 1), q, out=dqkv[:, :, WIDTH:2 * WIDTH])
+    np.matmul(a.transpose(0, 2, 1), do, out=dqkv[:, :, 2 * WIDTH:])
+    dqkv = dqkv.reshape(-1, 3 * WIDTH)
+    out["qkv"] = x.T @ dqkv
+    out["qkv"][:, :WIDTH] *= scale
+    dx = dqkv @ weights.T
+    dx += dh
+    out["place"] = (ones[:n] @ dx.reshape(n, -1)).reshape(WINDOW, WIDTH)
+    places = (tokens.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
+    out["embed"] = np.bincount(places, dx.ravel(), p["embed"].size).astype(kind).reshape(p["embed"].shape)
     return out
 
 
@@ -328,18 +385,32 @@ def picks(n: int, seed: int) -> Iterator[np.ndarray]:
 
 
 def fit(p: dict, tokens: np.ndarray, target: np.ndarray, seed: int) -> dict:
-    """Adam over all of the windows in random batches; -1 marks places without a target."""
-    p = {name: value.copy() for name, value in p.items()}
-    m = {name: np.zeros_like(value) for name, value in p.items()}
-    s = {name: np.zeros_like(value) for name, value in p.items()}
+    """Adam over all of the windows in random batches; -1 marks places without a target. All weights
+    are parts of one row of numbers, so that a step takes few passes."""
+    names = sorted(p)
+    flat = np.concatenate([p[name].ravel() for name in names])
+    parts = np.split(flat, np.cumsum([p[name].size for name in names])[:-1])
+    p = {name: part.reshape(p[name].shape) for name, part in zip(names, parts)}
+    m, s, grad, change = (np.zeros_like(flat) for _ in range(4))
     batches = list(picks(len(tokens), seed))
     for step, pick in enumerate(batches, 1):
-        grads = gradient(p, tokens[pick], target[pick], target[pick] >= 0)
+        want = target[pick]
+        grads = gradient(p, tokens[pick], want, want >= 0)
+        np.concatenate([grads[name].ravel() for name in names], out=grad)
         rate = RATE * min(1, 4 * (1 - step / (len(batches) + 1)))
-        for name, grad in grads.items():
-            m[name] += 0.1 * (grad - m[name])
-            s[name] += 0.01 * (grad * grad - s[name])
-            p[name] -= rate * (m[name] / (1 - 0.9**step)) / (np.sqrt(s[name] / (1 - 0.99**step)) + 1e-6)
+        m *= 0.9
+        np.multiply(grad, 0.1, out=change)
+        m += change
+        s *= 0.99
+        grad *= grad
+        grad *= 0.01
+        s += grad
+        np.sqrt(s, out=grad)
+        grad *= (1 - 0.99**step) ** -0.5
+        grad += 1e-6
+        np.multiply(m, rate / (1 - 0.9**step), out=change)
+        change /= grad
+        flat -= change
     return p
 
 
@@ -358,7 +429,7 @@ def encoded(table: Ids, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np
         own.append(END)
     flat = [w for own in words for w in own]
     each = np.array([len(own) for own in words])
-    parts = [table[w] for w in flat]
+    parts = table.all(flat)
     length = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
     ids = np.frombuffer(b"".join(parts), dtype="<u4").astype(np.int64)
     return flat, each, ids, length, np.cumsum(np.add.reduceat(length, np.cumsum(each) - each))
@@ -467,8 +538,8 @@ def log_places(p: dict, v: Vocabulary, texts: list[np.ndarray], inner: np.ndarra
     want = v.classes[ids]
     out, begin, at = np.empty(len(ids), dtype=np.float32), np.empty(len(ids), dtype=np.float32), 0
     with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
-        for i in range(0, len(tokens), 256):
-            part, fresh = tokens[i:i + 256], live[i:i + 256]
+        for i in range(0, len(tokens), 128):
+            part, fresh = tokens[i:i + 128], live[i:i + 128]
             target = want[at:at + int(fresh.sum())]
             found, starts = log_target(p, part, fresh, target)
             if not (np.isfinite(found).all() and np.isfinite(starts).all()):

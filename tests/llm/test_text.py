@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import time
 import zlib
@@ -307,6 +308,55 @@ def test_gradient_is_that_of_the_loss():
         assert abs((above - below) / 2e-5 - grad[at]) < 1e-6
 
 
+def test_training_steps_are_those_of_adam():
+    """The weights as one row of numbers move as each would alone."""
+    class Flat:
+        log_class = np.zeros(lm.CLASSES, np.float32)
+
+    rng = np.random.default_rng(2)
+    n = 3 * lm.BATCH
+    tokens = rng.integers(0, 300, (n, lm.WINDOW)).astype(np.int32)
+    target = np.where(rng.random((n, lm.WINDOW)) < 0.8, rng.integers(0, lm.CLASSES, (n, lm.WINDOW)), -1).astype(np.int32)
+    begun = lm.start(Flat)
+    held = {name: value.copy() for name, value in begun.items()}
+    got = lm.fit(begun, tokens, target, 5)
+    assert all((begun[name] == held[name]).all() for name in held)
+    p = {name: value.astype(np.float64) for name, value in held.items()}
+    m, s = ({name: np.zeros_like(value) for name, value in p.items()} for _ in range(2))
+    batches = list(lm.picks(n, 5))
+    for step, pick in enumerate(batches, 1):
+        rate = lm.RATE * min(1, 4 * (1 - step / (len(batches) + 1)))
+        for name, grad in lm.gradient(p, tokens[pick], target[pick], target[pick] >= 0).items():
+            m[name] += 0.1 * (grad - m[name])
+            s[name] += 0.01 * (grad * grad - s[name])
+            p[name] -= rate * (m[name] / (1 - 0.9**step)) / (np.sqrt(s[name] / (1 - 0.99**step)) + 1e-6)
+    assert all(np.abs(got[name] - p[name]).mean() < 1e-4 for name in p)
+
+
+def test_new_words_are_encoded_together(monkeypatch):
+    """Words of known signs cost no call each, whatever the table can hold; ids are those of the library."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rng = random.Random(3)
+    plain = ["don't", "it's'", "'ll", "a'sb", "x" * 256, "<|endof", "99bottles", "$%&", "état", "straße.", "\"q\"", "ǆ", "1,5e-9", "'"]
+    plain += ["".join(rng.choices("abcxyzÀéßɏ0189'.,-_|<>\"()", k=rng.randint(1, 12))) for _ in range(3_000)]
+    odd = ["<|endoftext|>", "a<|endoftext|>b", "x" * 257, "\u00a0a", "b\u2003\u2003c", "\x1c", "日本語", "٣٤", "e\u0301", "\U0001f600!", "\x00"]
+    library = lm.encoding.tokenizer(path)
+    want = lambda w: np.array(library.encode(" " + w, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    for limit in (lm.encoding.CACHE_WORDS, 50):
+        monkeypatch.setattr(lm.encoding, "CACHE_WORDS", limit)
+        table, alone = lm.Ids(path), []
+        encode = table.pieces.encode
+        table.pieces.encode = lambda piece: alone.append(piece) or encode(piece)
+        for words in (plain, odd + plain[:40], plain[-60:] + odd):
+            assert table.all([w.encode() for w in words] + [lm.END]) == [*map(want, words), table.end]
+        if limit > len(plain):
+            assert {w.strip() for w in alone} <= {w.strip() for w in odd}
+    assert lm.Ids(path).all([b"\xff", b"\xfe", b"ok"]) == [want("\ufffd"), want("\ufffd"), want("ok")]
+    assert lm.Ids(path).all([]) == []
+
+
 def test_windows_score_each_token_once():
     class Ids:
         inputs, classes = np.arange(100) % 50, np.arange(100) % lm.CLASSES
