@@ -269,9 +269,11 @@ def attend(p: dict, tokens: np.ndarray) -> tuple[np.ndarray, tuple]:
 
 
 def log_classes(p: dict, g: np.ndarray) -> np.ndarray:
-    z = g @ p["out"] + p["out0"]
+    z = g @ p["out"]
+    z += p["out0"]
     z -= z.max(axis=-1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=-1, keepdims=True))
+    z -= np.log(np.exp(z).sum(axis=-1, keepdims=True))
+    return z
 
 
 def prepared(p: dict, v: Vocabulary | None = None) -> dict[str, np.ndarray]:
@@ -313,12 +315,11 @@ def log_target(p: dict, tokens: np.ndarray, live: np.ndarray, target: np.ndarray
 
 
 def gradient(p: dict, tokens: np.ndarray, target: np.ndarray, live: np.ndarray) -> dict[str, np.ndarray]:
-    """Of the mean negative log probability of the target classes at the live places; what is behind
-    the attention is only worked out at these."""
-    n, kind = len(tokens), p["out"].dtype.type
-    ones = np.ones(max(n * WINDOW, CLASSES), kind)
-    # The scale of attention stands within the weights of the queries.
-    scale = kind(WIDTH**-0.5)
+    """Of the mean negative log probability of the target classes at the live places."""
+    n, at = len(tokens), np.flatnonzero(live)
+    many = max(1, len(at))
+    # The scale of attention, a power of two, stands within the weights of the queries.
+    scale = p["qkv"].dtype.type(WIDTH**-0.5)
     weights = p["qkv"].copy()
     weights[:, :WIDTH] *= scale
     x = p["embed"].take(tokens.ravel(), axis=0)
@@ -329,50 +330,44 @@ def gradient(p: dict, tokens: np.ndarray, target: np.ndarray, live: np.ndarray)
     np.minimum(a, 30, out=a)
     np.exp(a, out=a)
     a *= BEFORE
-    a /= (a.reshape(-1, WINDOW) @ ones[:WINDOW]).reshape(n, WINDOW, 1)
+    a /= a.sum(axis=2, keepdims=True)
     o = (a @ v).reshape(-1, WIDTH)
-    at = np.flatnonzero(live)
-    many = max(1, len(at))
-    own = o.take(at, axis=0)
-    h = own @ p["mix"]
-    h += x.take(at, axis=0)
+    h = o @ p["mix"]
+    h += x
     u = h @ p["up"]
     u += p["up0"]
     np.maximum(u, 0, out=u)
-    g = u @ p["down"]
-    g += h
-    dz = g @ p["out"]
-    dz += p["out0"]
-    dz -= dz.max(axis=1, keepdims=True)
+    g = (u @ p["down"]).take(at, axis=0)
+    g += h.take(at, axis=0)
+    dz = log_classes(p, g)
     np.exp(dz, out=dz)
-    dz /= (dz @ ones[:CLASSES] * kind(many))[:, None]
-    dz[np.arange(len(at)), target.ravel().take(at)] -= kind(1 / many)
-    out = {"out": g.T @ dz, "out0": ones[:len(at)] @ dz}
-    dg = dz @ p["out"].T
-    du = dg @ p["down"].T
+    dz[np.arange(len(at)), target.ravel().take(at)] -= 1
+    dz /= many
+    out = {"out": g.T @ dz, "out0": dz.sum(axis=0)}
+    dh = np.zeros_like(x)
+    dh[at] = dz @ p["out"].T
+    du = dh @ p["down"].T
     du *= u > 0
-    out |= {"down": u.T @ dg, "up": h.T @ du, "up0": ones[:len(at)] @ du}
-    dg += du @ p["up"].T
-    out["mix"] = own.T @ dg
-    dh = np.zeros_like(o)
-    dh[at] = dg
-    flat = dh @ p["mix"].T
-    do = flat.reshape(n, WINDOW, WIDTH)
-    da = do @ v.transpose(0, 2, 1)
-    da -= np.einsum("ij,ij->i", flat, o).reshape(n, WINDOW, 1)
-    da *= a
+    out |= {"down": u.T @ dh, "up": h.T @ du, "up0": du.sum(axis=0)}
+    dh += du @ p["up"].T
+    out["mix"] = o.T @ dh
+    do = (dh @ p["mix"].T).reshape(n, WINDOW, WIDTH)
+    ds = do @ v.transpose(0, 2, 1)
+    ds -= (ds * a).sum(axis=2, keepdims=True)
+    ds *= a
     dqkv = np.empty_like(qkv)
-    np.matmul(da, k, out=dqkv[:, :, :WIDTH])
-    np.matmul(da.transpose(0, 2, 1), q, out=dqkv[:, :, WIDTH:2 * WIDTH])
+    np.matmul(ds, k, out=dqkv[:, :, :WIDTH])
+    np.matmul(ds.transpose(0, 2, 1), q, out=dqkv[:, :, WIDTH:2 * WIDTH])
     np.matmul(a.transpose(0, 2, 1), do, out=dqkv[:, :, 2 * WIDTH:])
     dqkv = dqkv.reshape(-1, 3 * WIDTH)
     out["qkv"] = x.T @ dqkv
     out["qkv"][:, :WIDTH] *= scale
-    dx = dqkv @ weights.T
-    dx += dh
-    out["place"] = (ones[:n] @ dx.reshape(n, -1)).reshape(WINDOW, WIDTH)
-    places = (tokens.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
-    out["embed"] = np.bincount(places, dx.ravel(), p["embed"].size).astype(kind).reshape(p["embed"].shape)
+    dh += dqkv @ weights.T
+    out["place"] = dh.reshape(n, WINDOW, WIDTH).sum(axis=0)
+    # Numbers one by one: adding to whole rows is many times slower.
+    flat = np.zeros(p["embed"].size, dh.dtype)
+    np.add.at(flat, (tokens.reshape(-1, 1).astype(np.intp) * WIDTH + np.arange(WIDTH)).ravel(), dh.ravel())
+    out["embed"] = flat.reshape(p["embed"].shape)
     return out
 
 
@@ -398,17 +393,18 @@ def fit(p: dict, tokens: np.ndarray, target: np.ndarray, seed: int) -> dict:
         grads = gradient(p, tokens[pick], want, want >= 0)
         np.concatenate([grads[name].ravel() for name in names], out=grad)
         rate = RATE * min(1, 4 * (1 - step / (len(batches) + 1)))
-        m *= 0.9
-        np.multiply(grad, 0.1, out=change)
+        np.subtract(grad, m, out=change)
+        change *= 0.1
         m += change
-        s *= 0.99
         grad *= grad
+        grad -= s
         grad *= 0.01
         s += grad
-        np.sqrt(s, out=grad)
-        grad *= (1 - 0.99**step) ** -0.5
+        np.divide(s, 1 - 0.99**step, out=grad)
+        np.sqrt(grad, out=grad)
         grad += 1e-6
-        np.multiply(m, rate / (1 - 0.9**step), out=change)
+        np.divide(m, 1 - 0.9**step, out=change)
+        change *= rate
         change /= grad
         flat -= change
     return p
@@ -538,8 +534,8 @@ def log_places(p: dict, v: Vocabulary, texts: list[np.ndarray], inner: np.ndarra
     want = v.classes[ids]
     out, begin, at = np.empty(len(ids), dtype=np.float32), np.empty(len(ids), dtype=np.float32), 0
     with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
-        for i in range(0, len(tokens), 128):
-            part, fresh = tokens[i:i + 128], live[i:i + 128]
+        for i in range(0, len(tokens), 256):
+            part, fresh = tokens[i:i + 256], live[i:i + 256]
             target = want[at:at + int(fresh.sum())]
             found, starts = log_target(p, part, fresh, target)
             if not (np.isfinite(found).all() and np.isfinite(starts).all()):
